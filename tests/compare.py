@@ -1,0 +1,44 @@
+"""Compare every registered query with its SQL oracle, as sorted rows by column name."""
+
+from __future__ import annotations
+
+import datetime
+import decimal
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, decimal.Decimal):
+        return str(value.normalize()) if value else "0"
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(round(value, 9))
+    if isinstance(value, datetime.datetime):
+        return value.isoformat()
+    return str(value)
+
+
+def rows(names: list[str], data) -> list[tuple]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(_plain(row[i]) for i in order) for row in data)
+
+
+def spark_rows(df) -> list[tuple]:
+    return rows(df.columns, df.collect())
+
+
+def oracle_rows(con, sql: str) -> list[tuple]:
+    result = con.execute(sql)
+    return rows([column[0] for column in result.description], result.fetchall())
