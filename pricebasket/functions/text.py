@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,23 +57,25 @@ def word_count(text: Column) -> Column:
     return F.size(F.split(text, " "))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def polarity(text: Column, lexicon: dict[str, float]) -> Column:
     """Mean polarity of the opinion words in ``text``; 0 when there is none, null for null text.
 
-    Words of equal polarity form one set, so each text is tokenised and scanned once per
-    distinct polarity with hash-set lookups: a projection, with no shuffle and no Python.
+    A projection: each text is tokenised once and its tokens looked up in a hash set, with no
+    shuffle and no Python, so it runs in a stream as well.
     """
-    tokens = search_tokens(text)
+    polarities = F.create_map(*[F.lit(part) for entry in sorted(lexicon.items()) for part in entry])
+    opinions = F.filter(search_tokens(text), lambda token: token.isin(sorted(lexicon)))
 
-    def count_of(words: list[str]) -> Column:
-        return F.size(F.filter(tokens, lambda token: token.isin(words)))
+    def mean(words: Column) -> Column:
+        total = F.aggregate(words, F.lit(0.0), lambda sum_, word: sum_ + polarities[word])
+        return F.when(F.size(words) == 0, F.lit(0.0)).otherwise(total / F.size(words))
 
-    hits, total = F.lit(0), F.lit(0.0)
-    for weight in sorted(set(lexicon.values())):
-        found = count_of(sorted(word for word, value in lexicon.items() if value == weight))
-        hits = hits + found
-        total = total + found * F.lit(float(weight))
-    return F.when(text.isNull(), None).when(hits == 0, F.lit(0.0)).otherwise(total / hits)
+    return F.when(text.isNotNull(), bind(opinions, mean))
 
 
 def mentions(text: Column, keywords: list[str]) -> Column:

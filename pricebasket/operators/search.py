@@ -27,11 +27,14 @@ from pyspark.sql import functions as F
 
 from pricebasket import constants
 from pricebasket.functions import text
-from pricebasket.session import stage
+from pricebasket.session import broadcast_if_small, spread, stage
 
 # Scores compare after rounding to this many decimals.
 DECIMALS = 6
 
+# Postings up to this number are broadcast; each carries one product's impacts.
+INDEX_BROADCAST_ROWS = 200_000
+
 # Marks the posting of a name's first word.
 FIRST = "^"
 
@@ -67,8 +70,9 @@ def postings(products: DataFrame) -> tuple[DataFrame, int]:
         count = F.size(F.filter("tokens", lambda token: token == term)).cast("double")
         return tf_norm(count, length, mean_length) * rank
 
+    # Optimised plans may build the map before dropping names without a token: no null keys.
     first = F.struct(
-        F.concat(F.lit(FIRST), F.get("tokens", F.lit(0))).alias("term"),
+        F.concat(F.lit(FIRST), F.coalesce(F.get("tokens", F.lit(0)), F.lit(""))).alias("term"),
         (tf_norm(F.lit(1.0), length, mean_length) * rank).alias("impact"),
     )
     terms = F.transform(
@@ -91,49 +95,47 @@ def term_table(index: DataFrame, n_products: int) -> DataFrame:
 
 
 def request_terms(requests: DataFrame, terms: DataFrame) -> DataFrame:
-    """One row per distinct analysed request and known term: its weight and its bound.
+    """One row per request with its known terms, strongest first: term, weight, bound, reach.
 
-    ``reach`` is the sum of the bounds of this and all weaker terms of the request; ``place``
-    counts its terms from the strongest down.
+    ``bound`` is the most any product can score by the term, ``reach`` the sum of the bounds
+    of this and all weaker terms of the request. A request's own length bounds the array.
     """
     tokens = text.search_tokens(F.col("request"))
-    raw_token = F.when(F.col("request").isin("", FIRST), None).when(
-        (F.size(tokens) == 1) & (F.get(tokens, F.lit(0)) == F.col("request")), F.col("request")
-    )
     counted = F.transform(
-        F.array_distinct(tokens),
+        F.array_distinct("tokens"),
         lambda term: F.struct(
             term.alias("term"),
             term.alias("base"),
-            F.size(F.filter(tokens, lambda token: token == term)).alias("times"),
+            F.size(F.filter("tokens", lambda token: token == term)).alias("times"),
         ),
     )
-    bonus = F.when(
-        raw_token.isNotNull(),
-        F.array(F.struct(F.concat(F.lit(FIRST), raw_token).alias("term"), raw_token.alias("base"), F.lit(1).alias("times"))),
-    ).otherwise(F.slice(counted, 1, 0))
+    one_word = (F.size("tokens") == 1) & (F.get("tokens", F.lit(0)) == F.col("request"))
+    bonus = F.array(
+        F.struct(F.concat(F.lit(FIRST), F.col("request")).alias("term"), F.col("request").alias("base"), F.lit(1).alias("times"))
+    )
     # At equal bounds a word counts as stronger than a bonus: the strongest term must be one
     # whose bound some product attains.
     word = F.col("term") == F.col("base")
     rising = Window.partitionBy("request").orderBy("bound", word, "term")
-    falling = Window.partitionBy("request").orderBy(F.desc("bound"), word.desc(), F.desc("term"))
     return (
-        requests.select("request", F.explode(F.concat(counted, bonus)).alias("t"))
+        requests.withColumn("tokens", tokens)
+        .withColumn("t", F.explode(F.when(one_word, F.concat(counted, bonus)).otherwise(counted)))
         .select("request", "t.*")
         # The first-word bonus has the idf of the word itself, and no larger an impact.
         .join(terms.withColumnRenamed("term", "base"), "base")
         .withColumn("weight", F.col("idf") * F.col("times"))
         .withColumn("bound", F.col("weight") * F.col("max_impact"))
         .withColumn("reach", F.sum("bound").over(rising))
-        .withColumn("place", F.row_number().over(falling))
-        .select("request", "term", "weight", "bound", "reach", "place")
+        .withColumn("strength", F.row_number().over(rising))
+        .groupBy("request")
+        .agg(F.sort_array(F.collect_list(F.struct("strength", "term", "weight", "bound", "reach")), asc=False).alias("terms"))
     )
 
 
 def _best(candidates: DataFrame) -> DataFrame:
     """The best-scored product of each request among its candidates."""
     score = F.aggregate(
-        "weights",
+        "terms",
         F.lit(0.0),
         lambda total, entry: total + entry["weight"] * F.coalesce(F.element_at("impacts", entry["term"]), F.lit(0.0)),
     )
@@ -170,32 +172,41 @@ def product_search(requests: DataFrame, products: DataFrame) -> DataFrame:
     index, n_products = postings(products)
     index = stage(index, "search-index")
     distinct = requests.select("request").filter(F.col("request").isNotNull()).distinct()
-    terms = stage(request_terms(distinct, term_table(index, n_products)), "search-terms")
-    weights = terms.groupBy("request").agg(
-        F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("weights")
-    )
+    asked = stage(request_terms(distinct, term_table(index, n_products)), "search-requests")
+    index = broadcast_if_small(index, INDEX_BROADCAST_ROWS)
+    # A request meets as many products as share its word.
+    asked = spread(asked, "request")
 
-    strongest = terms.filter(F.col("place") == 1).select("request", "term", "weight", F.col("bound").alias("floor"), "reach")
+    strongest = F.get("terms", F.lit(0))
     round1 = (
-        strongest.join(weights, "request")
+        asked.select("request", "terms", strongest.alias("own"))
+        .withColumn("term", F.col("own.term"))
         .join(index, "term")
-        # The strongest word's best product alone scores ``floor``; weaker words can lift a
+        # The strongest word's best product alone scores ``bound``; weaker words can lift a
         # product by no more than the rest of ``reach``.
-        .filter(_within_reach(F.col("reach") - F.col("floor") + F.col("weight") * F.col("impact"), F.col("floor")))
+        .filter(
+            _within_reach(
+                F.col("own.reach") - F.col("own.bound") + F.col("own.weight") * F.col("impact"), F.col("own.bound")
+            )
+        )
     )
     first = stage(_best(round1), "search-first")
 
-    open_terms = (
-        terms.filter(F.col("place") > 1)
-        .join(first.select("request", F.col("score").alias("reached")), "request")
-        .filter(_within_reach(F.col("reach"), F.col("reached")))
+    open_terms = F.filter(
+        F.slice("terms", 2, F.greatest(F.size("terms") - 1, F.lit(0))),
+        lambda entry: _within_reach(entry["reach"], F.col("reached")),
     )
-    total = terms.filter(F.col("place") == 1).select("request", F.col("reach").alias("ceiling"))
     round2 = (
-        open_terms.join(total, "request")
-        .join(weights, "request")
+        asked.join(first.select("request", F.col("score").alias("reached")), "request")
+        .select("request", "terms", "reached", F.explode(open_terms).alias("own"))
+        .withColumn("term", F.col("own.term"))
         .join(index, "term")
-        # This product scores at most the ceiling less what it misses on this word.
-        .filter(_within_reach(F.col("ceiling") - F.col("bound") + F.col("weight") * F.col("impact"), F.col("reached")))
+        # This product scores at most what all terms can reach less what it misses on this one.
+        .filter(
+            _within_reach(
+                F.get("terms", F.lit(0))["reach"] - F.col("own.bound") + F.col("own.weight") * F.col("impact"),
+                F.col("reached"),
+            )
+        )
     )
     return _winner(first.unionByName(_best(round2)))

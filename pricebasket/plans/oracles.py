@@ -323,7 +323,7 @@ ORACLES: dict[str, str] = {
     "product_search": f"""WITH {ALL_DATES}, {_search('''SELECT p_name || ' ' || p_brand AS request FROM part
           UNION ALL SELECT p_name FROM part UNION ALL SELECT string_split(p_name, ' ')[1] FROM part
           UNION ALL SELECT p_brand || ' ' || p_type || ' ' || p_name || ' ' || p_name FROM part''')}
-        SELECT request, name, round(score, 4) AS score FROM found""",
+        SELECT request, name, score FROM found""",
     "consolidate": f"WITH {MONTHLY} SELECT snapshot, {LONG} FROM priced",
     "multi_chain_products": f"WITH {MONTHLY} SELECT snapshot, {LONG} FROM priced WHERE chains_count > 1",
     "merge_by_id": f"WITH {MONTHLY} SELECT snapshot, {LONG} FROM cat",

@@ -330,8 +330,7 @@ def product_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = texts[0]
     for more in texts[1:]:
         requests = requests.unionByName(more)
-    found = search.product_search(requests, products)
-    return found.withColumn("score", F.round("score", 4))
+    return search.product_search(requests, products)
 
 
 # ---- aggregations -------------------------------------------------------------------------

@@ -78,3 +78,11 @@ def broadcast_if_small(staged: DataFrame, max_rows: int = 1_000_000) -> DataFram
     Past the bound it is left to Spark's shuffle joins. The count reads only file footers.
     """
     return F.broadcast(staged) if staged.count() <= max_rows else staged
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` into the session's full number of shuffle partitions.
+
+    For rows about to fan out in a join: AQE would size partitions by the few bytes before it.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
