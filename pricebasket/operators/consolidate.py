@@ -4,94 +4,127 @@ Observations carry ``chain, chain_rank, store_id, item_code, item_name, price, s
 ``seq`` orders arrivals within a chain and ``chain_rank`` the chains, so results do not
 depend on row order. ``by`` names snapshot columns: one catalogue per value of them.
 
-The first step shrinks the raw rows with a map-side combine on the full key, so a product
-or store that holds a large share of all rows costs one partial row per task. Later steps
-only see one row per (product, chain, store).
+Raw rows are shuffled once, after a map-side combine on the full key, so a product or store
+that holds a large share of all rows costs one partial row per task. All rules about products
+then work on one row per product, and a single join brings prices back: no step gathers the
+prices of one product, or the products of one code, in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricebasket import schemas
+from pricebasket.session import broadcast_if_small, stage
 
 
 def last_prices(obs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The last price seen per product, chain and store, and when the triple was first seen."""
-    return obs.groupBy(*by, "item_name", "chain", "store_id").agg(
+    keys = [*by, F.col("item_name").alias("name"), "chain", "store_id"]
+    # These aggregates sort. Led by a hash, rows compare by one number; names and dates alone
+    # share long prefixes and would be compared whole.
+    lead = F.xxhash64(*by, "item_name", "chain", "store_id").alias("lead")
+    return obs.groupBy(lead, *keys).agg(
         F.max_by("price", "seq").alias("price"),
         F.min(F.struct("chain_rank", "seq", "item_code")).alias("first_seen"),
-    )
+    ).drop("lead")
 
 
-def consolidate(obs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One product per exact name, in long form: a row per chain and store that prices it.
+@dataclass(frozen=True)
+class Consolidated:
+    """``prices``: one row per product, chain and store. ``products``: one row per exact name."""
 
-    The product's id is the code it was first seen with. ``first_seen`` of the product is
-    kept for ``merge_by_id``.
-    """
-    product = Window.partitionBy(*by, "name")
-    return (
-        last_prices(obs, by)
-        .withColumnRenamed("item_name", "name")
-        .withColumn("first_seen", F.min("first_seen").over(product))
-        .withColumn("chains_count", F.size(F.collect_set("chain").over(product)))
-        .withColumn("stores_count", F.count(F.lit(1)).over(product).cast("int"))
-        .select(
-            *by, F.col("first_seen.item_code").alias("id"), "name", "chain", "store_id", "price",
-            "chains_count", "stores_count", "first_seen",
+    prices: DataFrame
+    products: DataFrame
+    by: tuple[str, ...]
+
+    def long(self, products: DataFrame | None = None) -> DataFrame:
+        """Prices of ``products`` (all by default) with the products' columns.
+
+        ``products`` may rename: prices are those of ``source``, listed under ``name``.
+        """
+        if products is None:
+            products = self.products.withColumn("source", F.col("name"))
+        dim = products.select(
+            *[F.col(column).alias(f"product_{column}") for column in self.by],
+            "source", "id", F.col("name").alias("listed"), "chains_count", "stores_count",
+        )
+        # A blank name is a product too, so nulls must meet.
+        same: Column = F.col("name").eqNullSafe(F.col("source"))
+        for column in self.by:
+            same = same & (F.col(column) == F.col(f"product_{column}"))
+        return self.prices.join(broadcast_if_small(dim), same).select(
+            *self.by, "id", F.col("listed").alias("name"), "chain", "store_id", "price", "chains_count", "stores_count"
         )
+
+
+def consolidate(obs: DataFrame, by: Sequence[str] = ()) -> Consolidated:
+    """One product per exact name; its id is the code it was first seen with."""
+    prices = stage(last_prices(obs, by), "last-prices")
+    chain_bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("first_seen.chain_rank"))
+    products = prices.groupBy(*by, "name").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.bit_count(F.bit_or(chain_bit)).alias("chains_count"),
+        F.count(F.lit(1)).cast("int").alias("stores_count"),
     )
+    products = products.withColumn("id", F.col("first_seen.item_code"))
+    return Consolidated(prices, stage(products, "products"), tuple(by))
 
 
-def multi_chain_products(consolidated: DataFrame) -> DataFrame:
+def multi_chain_products(products: DataFrame) -> DataFrame:
     """Only products that several chains price."""
-    return consolidated.filter(F.col("chains_count") > 1)
+    return products.filter(F.col("chains_count") > 1).withColumn("source", F.col("name"))
 
 
-def merge_by_id(consolidated: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Merge single-chain products that share an id.
+def merge_by_id(products: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Merge single-chain products that share an id: one row per product whose prices stay.
 
     The merged name is the smallest one. Per chain the prices are those of the product
-    first seen last; they replace earlier products' prices as a whole. Products
+    first seen last, ``source``; they replace earlier products' prices as a whole. Products
     without an id drop out (``dropped_without_id`` counts them).
-
-    A code may be shared by very many products, so each product is first folded to one row
-    (its prices are at most one per store) and the codes are then reduced with a map-side
-    combine that keeps one winner per code and chain.
     """
-    one_id = Window.partitionBy(*by, "id")
+    per_chain = (
+        products.filter((F.col("chains_count") == 1) & F.col("id").isNotNull())
+        .groupBy(*by, "id", F.col("first_seen.chain_rank").alias("chain_rank"))
+        .agg(
+            F.max_by(F.struct(F.col("name").alias("source"), "stores_count"), "first_seen").alias("kept"),
+            F.min("name").alias("name"),
+        )
+    )
     return (
-        consolidated.filter((F.col("chains_count") == 1) & F.col("id").isNotNull())
-        .groupBy(*by, "name", "id", "chain", "first_seen")
-        .agg(F.collect_list(F.struct("store_id", "price")).alias("prices"))
-        .groupBy(*by, "id", "chain")
-        .agg(F.max_by("prices", "first_seen").alias("prices"), F.min("name").alias("name"))
-        # Counts come before the explode, over one row per chain.
-        .withColumn("name", F.min("name").over(one_id))
-        .withColumn("chains_count", F.count(F.lit(1)).over(one_id).cast("int"))
-        .withColumn("stores_count", F.sum(F.size("prices")).over(one_id).cast("int"))
-        .withColumn("store_price", F.explode("prices"))
-        .select(*by, "id", "name", "chain", "store_price.store_id", "store_price.price", "chains_count", "stores_count")
+        per_chain.groupBy(*by, "id")
+        .agg(
+            F.min("name").alias("name"),
+            F.count(F.lit(1)).cast("int").alias("chains_count"),
+            F.sum("kept.stores_count").cast("int").alias("stores_count"),
+            # At most one entry per chain.
+            F.collect_list("kept").alias("kept"),
+        )
+        .withColumn("kept", F.explode("kept"))
+        .select(*by, "kept.source", "id", "name", "chains_count", "stores_count")
     )
 
 
-def dropped_without_id(consolidated: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def dropped_without_id(products: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """How many single-chain products ``merge_by_id`` leaves out for want of an id."""
-    return (
-        consolidated.filter((F.col("chains_count") == 1) & F.col("id").isNull())
-        .groupBy(*by)
-        .agg(F.count_distinct(F.coalesce("name", F.lit(""))).alias("dropped_products"))
-    )
+    lost = products.filter((F.col("chains_count") == 1) & F.col("id").isNull())
+    return lost.groupBy(*by).agg(F.count(F.lit(1)).alias("dropped_products"))
+
+
+def kept_products(consolidated: Consolidated) -> DataFrame:
+    """The catalogue's products: multi-chain ones as they are, single-chain ones merged by id."""
+    merged = merge_by_id(consolidated.products, consolidated.by)
+    return multi_chain_products(consolidated.products).select(*merged.columns).unionByName(merged)
 
 
 def catalog(obs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """The whole catalogue in long form: multi-chain products and merged single-chain ones."""
+    """The whole catalogue in long form: a row per product, chain and store."""
     consolidated = consolidate(obs, by)
-    return multi_chain_products(consolidated).drop("first_seen").unionByName(merge_by_id(consolidated, by))
+    return consolidated.long(stage(kept_products(consolidated), "kept-products"))
 
 
 def catalog_products(prices: DataFrame, by: Sequence[str] = ()) -> DataFrame:

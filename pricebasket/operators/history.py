@@ -10,11 +10,7 @@ from pricebasket.operators.consolidate import last_prices
 
 def daily_prices(obs: DataFrame) -> DataFrame:
     """The price each store ended each day with."""
-    return (
-        last_prices(obs, ["pulling_date"])
-        .drop("first_seen")
-        .withColumnRenamed("item_name", "name")
-    )
+    return last_prices(obs, ["pulling_date"]).drop("first_seen")
 
 
 def price_history(daily: DataFrame, period: str = "month") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +25,14 @@ class DailyInputs:
 
 
 def daily_products(spark: SparkSession, inputs: DailyInputs, run_date: str) -> DataFrame:
-    """The day's catalogue in long form, from price files of allowed stores."""
-    obs = None
+    """The day's catalogue in long form, from the newest price file of each allowed store."""
+    parts = []
     for chain in constants.CHAINS:
-        part = files.read_price_files(spark, inputs.price_paths[chain], chain, run_date)
-        obs = part if obs is None else obs.unionByName(part)
-    return consolidate.catalog(stores.apply_allowlist(obs, inputs.allowed))
+        allowed = inputs.allowed.get(chain) if inputs.allowed else None
+        paths = files.price_file_paths(spark, inputs.price_paths[chain], allowed)
+        if paths:
+            parts.append(files.read_price_files(spark, paths, chain, run_date))
+    return consolidate.catalog(reduce(DataFrame.unionByName, parts))
 
 
 def daily_stores(spark: SparkSession, inputs: DailyInputs, run_date: str) -> DataFrame:

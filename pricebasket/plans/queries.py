@@ -338,13 +338,13 @@ def product_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def consolidate_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consolidate.consolidate(tables.price_obs(spark, sf_dir), SNAPSHOT).select(*SNAPSHOT, *LONG)
+    return consolidate.consolidate(tables.price_obs(spark, sf_dir), SNAPSHOT).long()
 
 
 @query
 def multi_chain_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_products = consolidate.consolidate(tables.price_obs(spark, sf_dir), SNAPSHOT)
-    return consolidate.multi_chain_products(all_products).select(*SNAPSHOT, *LONG)
+    consolidated = consolidate.consolidate(tables.price_obs(spark, sf_dir), SNAPSHOT)
+    return consolidated.long(consolidate.multi_chain_products(consolidated.products))
 
 
 @query

@@ -26,6 +26,8 @@ def build_session(app: str = "pricebasket", master: str | None = None, **conf) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
     }
     settings.update({key: str(value) for key, value in conf.items()})

@@ -29,7 +29,24 @@ STORE_FIELDS = {
 ITEM_FIELDS = "ItemCode STRING, ItemName STRING, ItemPrice STRING, PriceUpdateDate STRING"
 
 
-def read_price_files(spark: SparkSession, path: str, chain: str, pulling_date: str) -> DataFrame:
+def price_file_paths(spark: SparkSession, folder: str, allowed: list[str] | None = None) -> list[str]:
+    """Paths to read for a day: the newest full price file of each store, of allowed stores if given.
+
+    Only the listing is looked at. The result holds one path per store.
+    """
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        .select("path", F.regexp_extract("path", r"PriceFull\d+-\d+-\d+", 0).alias("file_name"))
+        .filter(F.col("file_name") != "")
+        .withColumn("parsed", parse_file_name(F.col("file_name")))
+    )
+    if allowed is not None:
+        listing = listing.filter(text.zero_padded(F.col("parsed.store_id")).isin(allowed))
+    newest = listing.groupBy("parsed.chain_id", "parsed.store_id").agg(F.max_by("path", "parsed.stamp").alias("path"))
+    return sorted(row["path"] for row in newest.collect())
+
+
+def read_price_files(spark: SparkSession, path: str | list[str], chain: str, pulling_date: str) -> DataFrame:
     """Price observations from one chain's XML price files (``.gz`` is unpacked).
 
     Every repeated item element is a row, so a file is streamed and never held whole, and a

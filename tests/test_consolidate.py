@@ -34,7 +34,7 @@ def test_last_price_wins_and_first_chain_names_the_id(spark):
         ("victory", "002", "V2", "milk", "6.50"),
         ("shufersal", "001", "S1", "milk", "7.00"),
     ])
-    assert long_rows(consolidate.consolidate(obs)) == [
+    assert long_rows(consolidate.consolidate(obs).long()) == [
         ("V1", "milk", "ramilevi", "043", "5.00", 3, 3),
         ("V1", "milk", "shufersal", "001", "7.00", 3, 3),
         ("V1", "milk", "victory", "002", "6.50", 3, 3),
@@ -73,7 +73,7 @@ def test_products_without_id_drop_out_and_are_counted(spark):
     ])
     consolidated = consolidate.consolidate(obs)
     assert [r[0] for r in long_rows(consolidate.catalog(obs))] == ["B"]
-    assert consolidate.dropped_without_id(consolidated).first()["dropped_products"] == 1
+    assert consolidate.dropped_without_id(consolidated.products).first()["dropped_products"] == 1
 
 
 def test_blank_names_form_one_group(spark):
@@ -81,7 +81,7 @@ def test_blank_names_form_one_group(spark):
         ("victory", "002", "X", None, "1.00"),
         ("shufersal", "001", "Y", None, "2.00"),
     ])
-    assert {(r["id"], r["chains_count"]) for r in consolidate.consolidate(obs).collect()} == {("X", 2)}
+    assert {(r["id"], r["chains_count"]) for r in consolidate.consolidate(obs).long().collect()} == {("X", 2)}
 
 
 def test_nested_form_and_back(spark):

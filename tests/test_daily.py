@@ -12,6 +12,8 @@ def inputs(spark, folder, milk):
         prices[chain] = str(folder / chain / "prices")
         shops[chain] = str(folder / chain / "stores")
         write_price_file(folder / chain / "prices", chain, store[chain], "202301010300", [("7", "milk", milk), ("8", f"only {chain}", "2")])
+        # An older file of the same store and a store that is not listed: neither is read.
+        write_price_file(folder / chain / "prices", chain, store[chain], "202212310300", [("7", "milk", "99"), ("9", "old", "1")])
         write_price_file(folder / chain / "prices", chain, "999", "202301010300", [("7", "milk", "0.01")])
         (folder / chain / "stores").mkdir(parents=True, exist_ok=True)
         (folder / chain / "stores" / "s.xml").write_bytes(STORE_XML[chain].encode("utf-16" if chain == "ramilevi" else "utf-8"))
@@ -28,6 +30,7 @@ def test_days_accumulate_and_the_current_table_follows(spark, tmp_path):
     assert {(r["chain"], r["store_id"], str(r["price"]), r["chains_count"]) for r in milk} == {
         ("victory", "002", "6.00", 3), ("shufersal", "001", "6.00", 3), ("ramilevi", "043", "6.00", 3),
     }
+    assert tables["products"].filter("name = 'old'").count() == 0
     # Code 8 names one product per chain: they merge under the smallest name.
     merged = tables["products"].filter("id = '8'").collect()
     assert {(r["name"], r["chain"], r["stores_count"]) for r in merged} == {
