@@ -30,10 +30,10 @@ def _lon(key: str) -> str:
 
 STORE_DIM = f"""
 store_dim AS (
-  SELECT s_suppkey, s_nationkey, s_name, n_name, n_regionkey AS chain_rank,
-         CASE n_regionkey WHEN 0 THEN 'victory' WHEN 1 THEN 'shufersal' WHEN 2 THEN 'ramilevi' END AS chain,
+  SELECT s_suppkey, s_nationkey, s_name, n_name, n_regionkey % 3 AS chain_rank,
+         CASE n_regionkey % 3 WHEN 0 THEN 'victory' WHEN 1 THEN 'shufersal' WHEN 2 THEN 'ramilevi' END AS chain,
          {_padded('s_suppkey')} AS store_id
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 3)"""
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
 
 OBS = f"""{STORE_DIM},
 obs AS (
@@ -232,7 +232,8 @@ sentiments AS (
 
 GEOCODED = f"""
 addressed AS (
-  SELECT c_custkey, lower(c_mktsegment || ' 1, ' || n_name) AS full_address, n_nationkey, n_regionkey
+  SELECT c_custkey, lower(c_mktsegment || ' ' || (1 + c_custkey % 2) || ', ' || n_name) AS full_address, n_nationkey,
+    c_custkey % 2 = n_nationkey % 2 AS known
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 ALLOWED = ", ".join(f"('{chain}', '{store}')" for chain, ids in constants.STORE_ALLOWLIST.items() for store in ids)
@@ -311,10 +312,10 @@ ORACLES: dict[str, str] = {
           {_lat('d.s_suppkey')} AS latitude, {_lon('d.s_suppkey')} AS longitude
         FROM candidates c LEFT JOIN store_dim d ON c.store_id = d.store_id AND c.chain = d.chain""",
     "geocode_join": f"""WITH {GEOCODED}
-        SELECT c_custkey AS customer_id, full_address, CASE WHEN n_regionkey < 4 THEN {_lat('n_nationkey')} END AS latitude,
-          CASE WHEN n_regionkey < 4 THEN {_lon('n_nationkey')} END AS longitude, n_regionkey < 4 AS resolved FROM addressed""",
+        SELECT c_custkey AS customer_id, full_address, CASE WHEN known THEN {_lat('n_nationkey')} END AS latitude,
+          CASE WHEN known THEN {_lon('n_nationkey')} END AS longitude, known AS resolved FROM addressed""",
     "unresolved_addresses": f"""WITH {GEOCODED}
-        SELECT full_address, count(*) AS rows FROM addressed WHERE n_regionkey >= 4 GROUP BY full_address""",
+        SELECT full_address, count(*) AS rows FROM addressed WHERE NOT known GROUP BY full_address""",
     "latest_file": f"""WITH {OBS}, newest AS (
           SELECT chain, store_id, strftime(max(pulling_date), '%Y%m%d') || '0300' AS stamp FROM obs GROUP BY chain, store_id)
         SELECT 'PriceFull' AS file_type, {_case('chain', constants.CHAIN_IDS)} AS chain_id, store_id,
