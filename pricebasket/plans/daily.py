@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pricebasket import constants
 from pricebasket.operators import basket, consolidate, stores
-from pricebasket.session import stage
+from pricebasket.session import stage, work_area
 from pricebasket.sources import files
 
 
@@ -45,18 +46,19 @@ def daily_stores(spark: SparkSession, inputs: DailyInputs, run_date: str) -> Dat
 def run_day(spark: SparkSession, inputs: DailyInputs, run_date: str, out: str) -> dict[str, DataFrame]:
     """Products, then stores: JSON and Parquet snapshots of the day and fresh current tables."""
     day = F.lit(run_date).cast("date")
-    prices = stage(daily_products(spark, inputs, run_date), "daily-products").withColumn("pulling_date", day)
-    nested = consolidate.nest_prices(prices, ["pulling_date"])
-    files.write_snapshot(nested, f"{out}/products/json", "json")
-    files.write_snapshot(prices, f"{out}/products/parquet")
-    shops = stage(daily_stores(spark, inputs, run_date), "daily-stores")
-    files.write_snapshot(shops, f"{out}/stores/json", "json")
-    files.write_snapshot(shops, f"{out}/stores/parquet")
-    version = spark.sparkContext.applicationId
-    return {
-        "products": files.publish_current(prices, "products", f"{out}/current/products/{run_date}-{version}"),
-        "stores": files.publish_current(shops, "stores", f"{out}/current/stores/{run_date}-{version}"),
-    }
+    version = f"{run_date}-{uuid.uuid4().hex}"
+    with work_area(spark):
+        prices = stage(daily_products(spark, inputs, run_date), "daily-products").withColumn("pulling_date", day)
+        nested = consolidate.nest_prices(prices, ["pulling_date"])
+        files.write_snapshot(nested, f"{out}/products/json", "json")
+        files.write_snapshot(prices, f"{out}/products/parquet")
+        shops = stage(daily_stores(spark, inputs, run_date), "daily-stores")
+        files.write_snapshot(shops, f"{out}/stores/json", "json")
+        files.write_snapshot(shops, f"{out}/stores/parquet")
+        return {
+            "products": files.publish_current(prices, "products", f"{out}/current/products/{version}"),
+            "stores": files.publish_current(shops, "stores", f"{out}/current/stores/{version}"),
+        }
 
 
 @dataclass(frozen=True)

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
+_AREA: ContextVar[list[str] | None] = ContextVar("work_area", default=None)
 
 
 def build_session(app: str = "pricebasket", master: str | None = None, **conf) -> SparkSession:
@@ -58,7 +62,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_dir(spark: SparkSession, label: str) -> str:
     """A path no other run uses, below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _AREA.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def work_area(spark: SparkSession) -> Iterator[None]:
+    """Delete the folders made inside the block when it ends, so that a job leaves only its results.
+
+    Nothing computed in the block may be read lazily after it.
+    """
+    made: list[str] = []
+    token = _AREA.set(made)
+    try:
+        yield
+    finally:
+        _AREA.reset(token)
+        for path in made:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

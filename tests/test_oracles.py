@@ -4,6 +4,7 @@ import __spark_entry__ as contract
 import compare
 import pytest
 from pricebasket.plans.queries import QUERIES
+from pricebasket.session import work_area
 
 
 @pytest.fixture(scope="module")
@@ -17,8 +18,9 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, sf_dir, con, name):
-    df = contract.queries()[name](spark, sf_dir)
-    assert compare.spark_rows(df) == compare.oracle_rows(con, contract.oracle_sql()[name])
+    with work_area(spark):
+        got = compare.spark_rows(contract.queries()[name](spark, sf_dir))
+    assert got == compare.oracle_rows(con, contract.oracle_sql()[name])
 
 
 def test_entry_runs(spark):

@@ -36,12 +36,13 @@ def test_top_k_and_per_group_limits(spark, sf_dir):
 
 
 def test_coverage_does_not_shuffle_after_the_fan_out(spark):
-    prices = spark.createDataFrame([("1", "p", "victory", "002", Decimal(1), 1, 1)], "id STRING, name STRING, chain STRING, store_id STRING, price DECIMAL(12,2), chains_count INT, stores_count INT")
+    offers = spark.createDataFrame([("p", 7)], "name STRING, slot LONG")
     carts = basket.cart_products(spark.createDataFrame([(1, "p", Decimal(1))], "cart_id INT, name STRING, quantity DECIMAL(12,3)"))
-    text = plan(basket.covering_stores(carts, prices))
-    assert "hashpartitioning(cart_id" in text and "word" not in "".join(
-        line for line in text.split("\n") if "hashpartitioning" in line and "Exchange" in line
-    )
+    covering = basket.covering_slots(carts, offers)
+    assert [tuple(row) for row in covering.collect()] == [(1, 7)]
+    shuffles = [line for line in plan(covering).split("\n") if "hashpartitioning" in line]
+    assert any("hashpartitioning(cart_id" in line for line in shuffles)
+    assert not any("word" in line for line in shuffles)
 
 
 N = 30_000

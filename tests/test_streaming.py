@@ -4,7 +4,7 @@ import json
 
 from pricebasket import schemas
 from pricebasket.operators import consolidate, posts
-from pricebasket.session import new_dir
+from pricebasket.session import new_dir, stage, work_area
 from pricebasket.streaming import jobs
 
 
@@ -95,3 +95,14 @@ def test_work_folders_lie_in_the_named_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert new_dir(spark, "x").startswith(named + "/x-")
     assert new_dir(spark, "x") != new_dir(spark, "x")
+
+
+def test_a_work_area_leaves_nothing(spark):
+    with work_area(spark):
+        kept = stage(spark.range(3), "numbers")
+        path = kept.inputFiles()[0]
+        assert kept.count() == 3
+    assert spark.read.format("binaryFile").load(spark.conf.get("spark.checkpoint.dir")).filter(f"path = '{path}'").count() == 0
+    outside = new_dir(spark, "kept")
+    spark.range(1).write.parquet(outside)
+    assert spark.read.parquet(outside).count() == 1
