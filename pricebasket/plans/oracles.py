@@ -132,7 +132,8 @@ messages AS (
   SELECT p_partkey AS cart_id, CASE p_type
     WHEN 'STANDARD' THEN whole || ', ' || p_name || ' 2'
     WHEN 'PROMO' THEN '  ' || upper(p_name) || '   1.5,' || whole
-    WHEN 'LARGE' THEN whole || ',small ring 1, red widget 2, blue bolt 3, old gear 1, new plate 1, hot rod 2, cold anvil 1, large gizmo 4, ' || whole
+    WHEN 'LARGE' THEN whole || ',small ring ' || p_brand || ' 2,red widget ' || p_brand || ' 2,blue bolt ' || p_brand
+      || ' 2,old gear ' || p_brand || ' 2,new plate ' || p_brand || ' 2,' || whole
     WHEN 'SMALL' THEN whole || ','
     WHEN 'ECONOMY' THEN whole || ', ' || p_brand || ' x'
     ELSE whole || ', unheard pack 1' END AS message

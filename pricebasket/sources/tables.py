@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pricebasket import constants, schemas
 from pricebasket.functions import text
 
-# The middle of a long shopping list: few stores carry all of it.
-LONG_LIST = ",small ring 1, red widget 2, blue bolt 3, old gear 1, new plate 1, hot rod 2, cold anvil 1, large gizmo 4, "
+# What a long shopping list asks for besides its own part, each of the part's brand.
+LONG_LIST = ("small ring", "red widget", "blue bolt", "old gear", "new plate")
 
 SEQ = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
@@ -158,10 +158,11 @@ def cart_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     full = F.concat_ws(" ", "p_name", "p_brand", "p_size")
     kind = F.col("p_type")
+    others = [F.concat_ws(" ", F.lit(name), "p_brand", F.lit("2")) for name in LONG_LIST]
     message = (
         F.when(kind == "STANDARD", F.concat_ws(", ", full, F.concat(F.col("p_name"), F.lit(" 2"))))
         .when(kind == "PROMO", F.concat(F.lit("  "), F.upper("p_name"), F.lit("   1.5,"), full))
-        .when(kind == "LARGE", F.concat(full, F.lit(LONG_LIST), full))
+        .when(kind == "LARGE", F.concat_ws(",", full, *others, full))
         .when(kind == "SMALL", F.concat(full, F.lit(",")))
         .when(kind == "ECONOMY", F.concat_ws(", ", full, F.concat(F.col("p_brand"), F.lit(" x"))))
         .otherwise(F.concat_ws(", ", full, F.lit("unheard pack 1")))
