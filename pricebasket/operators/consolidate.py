@@ -159,6 +159,14 @@ def drop_empty_chains(products: DataFrame) -> DataFrame:
     return products.withColumn("chains", F.map_filter("chains", lambda _, stores: F.size(stores) > 0))
 
 
+def count_chains(products: DataFrame) -> DataFrame:
+    """Set chains_count and stores_count of published rows from their maps; empty chains do not count."""
+    sizes = F.transform(F.map_values("chains"), lambda stores: F.size(stores))
+    return products.withColumn("chains_count", F.size(F.filter(sizes, lambda size: size > 0))).withColumn(
+        "stores_count", F.aggregate(sizes, F.lit(0), lambda total, size: total + size)
+    )
+
+
 def flatten_prices(products: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Published rows back to one row per product, chain and store."""
     rest = [*by, "id", "name", "chains_count", "stores_count"]

@@ -453,7 +453,7 @@ def stream_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = new_dir(spark, "requests")
     _finish(jobs.append_table(rows, path, new_dir(spark, "requests-log")))
-    return _stored(spark, path).withColumn("stamped", F.col("current_ts").isNotNull()).drop("current_ts")
+    return files.read_requests(spark, path).withColumn("stamped", F.col("current_ts").isNotNull()).drop("current_ts")
 
 
 @query

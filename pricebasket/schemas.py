@@ -36,6 +36,7 @@ REQUEST_MESSAGE = (
     "product_list STRING, user_id STRING, chat_id STRING, user_first_name STRING, "
     "user_last_name STRING, user_user_name STRING, min_aff STRING, min_price STRING"
 )
+STORED_REQUEST = REQUEST_MESSAGE + ", current_ts STRING"
 # A post as its producer sends it, and the flat record the stream jobs read.
 RAW_POST = (
     "created_at STRING, id STRING, text STRING, "

@@ -123,6 +123,11 @@ def read_daily_json(spark: SparkSession, path: str, one_array_per_file: bool = F
     return spark.read.schema(schemas.PRODUCT_MESSAGE).option("multiLine", str(one_array_per_file).lower()).json(path)
 
 
+def read_requests(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Stored shopping requests, by a fixed schema rather than one inferred from the rows."""
+    return spark.read.schema(schemas.STORED_REQUEST).format(fmt).load(path)
+
+
 def write_snapshot(rows: DataFrame, path: str, fmt: str = "parquet", day: str = "pulling_date") -> None:
     """Write a folder per day; days present in ``rows`` are replaced, all others kept."""
     (
@@ -151,6 +156,14 @@ def json_messages(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
 
 
+def send_messages(messages: DataFrame, servers: str, topic: str | None = None) -> None:
+    """Write ``value`` rows to Kafka, to ``topic`` or to each row's ``topic`` column. Needs the connector."""
+    writer = messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
+    if topic:
+        writer = writer.option("topic", topic)
+    writer.save()
+
+
 def links(html: Column) -> Column:
     """Targets of a page's anchors, in order."""
     return F.regexp_extract_all(html, F.lit(r'<a href="([^"]*)"'), F.lit(1))

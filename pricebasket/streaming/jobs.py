@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pricebasket.operators.consolidate import dedup_first
 
@@ -34,12 +35,19 @@ def parse_messages(messages: DataFrame, schema: str) -> DataFrame:
     return messages.select(F.from_json("value", schema).alias("message")).select("message.*")
 
 
-def append_table(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (), available_now: bool = True):
-    """Append the stream to Parquet files, exactly once, until the source is used up.
+def append_table(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition_by: Sequence[str] = (),
+    available_now: bool = True,
+    fmt: str = "parquet",
+) -> StreamingQuery:
+    """Append the stream to Parquet (or JSON) files, exactly once, until the source is used up.
 
     ``available_now=False`` keeps it running.
     """
-    writer = stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if available_now:
@@ -69,7 +77,9 @@ def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Se
     fresh.select(*batch.columns).write.mode("append").parquet(path)
 
 
-def insert_stream(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]):
+def insert_stream(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
+) -> StreamingQuery:
     """Run ``insert_if_absent`` on every batch until the source is used up."""
 
     def write(batch: DataFrame, _: int) -> None:

@@ -4,6 +4,7 @@ import random
 
 from pricebasket import constants
 from pricebasket.operators import consolidate
+from pyspark.sql import functions as F
 
 OBS = "chain STRING, chain_rank INT, store_id STRING, item_code STRING, item_name STRING, price DECIMAL(12,2), seq INT"
 
@@ -104,6 +105,8 @@ def test_empty_chains_leave_a_published_row(spark):
         "id STRING, name STRING, chains_count INT, stores_count INT, chains MAP<STRING, MAP<STRING, STRING>>",
     )
     assert consolidate.drop_empty_chains(nested).first()["chains"] == {"victory": {"002": "5"}}
+    counted = consolidate.count_chains(nested.withColumns({"chains_count": F.lit(9), "stores_count": F.lit(9)})).first()
+    assert (counted["chains_count"], counted["stores_count"]) == (1, 1)
 
 
 def test_dedup_keeps_the_first(spark):

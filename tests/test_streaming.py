@@ -55,8 +55,8 @@ def test_fan_out_keeps_topics_whole(spark, tmp_path):
     inbox = tmp_path / "in"
     drop(inbox, "1.json", [{"value": "x"}, {"value": "y"}])
     stream = jobs.fan_out(source(spark, inbox, "value STRING"), ["archive", "data"])
-    jobs.append_table(stream, str(tmp_path / "t"), str(tmp_path / "log"), ["topic"]).awaitTermination()
-    got = sorted((r["topic"], r["value"]) for r in spark.read.parquet(str(tmp_path / "t")).collect())
+    jobs.append_table(stream, str(tmp_path / "t"), str(tmp_path / "log"), ["topic"], fmt="json").awaitTermination()
+    got = sorted((r["topic"], r["value"]) for r in spark.read.json(str(tmp_path / "t")).collect())
     assert got == [("archive", "x"), ("archive", "y"), ("data", "x"), ("data", "y")]
 
 
