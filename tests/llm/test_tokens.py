@@ -1,0 +1,112 @@
+"""Token files and packing against the tokenizer itself and their own invariants."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pricebasket.llm import packing, token_files, tokens
+from pricebasket.session import new_dir
+from pyspark.sql import functions as F
+
+
+@pytest.fixture(scope="module")
+def direct():
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokens.default_path())
+    return lambda text, end: np.array([*whole.encode(text or "", add_special_tokens=False).ids, end], "<u4")
+
+
+def key_of(row):
+    return (row[0] is not None, row[0] or 0)
+
+
+def test_pieces_give_the_ids_of_the_whole_text(direct, plain, odd):
+    coder = tokens.Encoder(tokens.default_path(), keep=500)
+    texts = [text for _, text in plain] + [r["text"] for r in odd.collect()]
+    texts += ["A.B, c.. d,, é. x<|endoftext|>. <|ENDOFTEXT|>", "don't DON'T we're. ́a .́ \x1c \x85x", "", None]
+    for text in texts:
+        assert np.array_equal(coder.encode(text, 7), direct(text, 7)), repr(text)[:80]
+
+
+@pytest.mark.parametrize("which", ["docs", "odd"])
+def test_files_round_trip(request, spark, direct, which):
+    docs = request.getfixturevalue(which)
+    got = sorted((tuple(r) for r in token_files.write_and_read(docs, shards=3, bucket_keys=4).collect()), key=lambda r: r[1])
+    source = [(r["doc_id"], direct(r["text"], 1)) for r in docs.collect()]
+    assert [key_of(r) for r in got] == sorted(key_of(r) for r in source)
+    assert Counter((r[0], r[2], r[3]) for r in got) == Counter((k, x.size, zlib.crc32(x)) for k, x in source)
+    assert [r[1] for r in got] == [0, *np.cumsum([r[2] for r in got])[:-1].tolist()]
+
+
+def test_keyed_access_and_absent_keys(spark, odd, direct):
+    folder = new_dir(spark, "token-files")
+    token_files.write(odd, folder, shards=4, bucket_keys=3)
+    keys = spark.createDataFrame([(7,), (12,), (5,), (1000,), (None,)], "doc_id long")
+    hashed = {r[0]: r[1] for r in keys.select("doc_id", F.xxhash64("doc_id")).collect()}
+    found = token_files.get(folder, [hashed[k] for k in (7, 12, 5, 1000, None)])
+    assert [len(x) for x in found] == [1, 2, 2, 0, 2]
+    assert np.array_equal(found[0][0], direct(odd.filter("doc_id = 7").first()["text"], 1))
+
+
+def test_perfect_hash_is_minimal_and_rejects_strangers():
+    keys = np.unique(np.random.default_rng(1).integers(0, 2**63, 50_000, dtype=np.uint64))
+    made = token_files.PerfectHash.build(keys)
+    assert np.array_equal(np.sort(made.slots(keys)), np.arange(keys.size))
+    assert made.bits.size * 64 < 5 * keys.size
+    prints = np.empty(keys.size, "<u4")
+    prints[made.slots(keys)] = token_files.fingerprint(keys)
+    strangers = keys + np.uint64(2**63)
+    slots = made.slots(strangers)
+    assert ((slots >= 0) & (prints[slots] == token_files.fingerprint(strangers))).sum() <= 1
+
+
+def test_empty_tables(docs):
+    none = docs.limit(0)
+    assert token_files.write_and_read(none).collect() == []
+    assert packing.pack(none).collect() == []
+
+
+@pytest.mark.parametrize("which", ["docs", "odd"])
+def test_packing_keeps_every_id_once(request, direct, which):
+    docs, capacity = request.getfixturevalue(which), 256
+    rows = packing.pack(docs, capacity=capacity, group_pieces=50).collect()
+    per_doc, per_window = defaultdict(list), defaultdict(list)
+    for r in rows:
+        per_doc[(r["doc_id"], r["doc_tokens"])].append(r)
+        per_window[r["sequence_id"]].append(r)
+    source = Counter()
+    for r in docs.collect():
+        ids = direct(r["text"], 2)
+        for start in range(0, ids.size, capacity):
+            part = ids[start : start + capacity]
+            source[(r["doc_id"], start, part.size, zlib.crc32(part), ids.size)] += 1
+    assert Counter(tuple(r)[:5] for r in rows) == source
+    assert sorted(per_window) == list(range(len(per_window)))
+    for pieces in per_window.values():
+        pieces.sort(key=lambda r: r["offset"])
+        ends = [r["offset"] + r["length"] for r in pieces]
+        assert [r["offset"] for r in pieces] == [0, *ends[:-1]] and ends[-1] <= capacity
+
+
+def test_levels_follow_the_sum_of_squares():
+    packer, fills, rng = packing.Packer(16), {}, np.random.default_rng(3)
+    for size in rng.integers(1, 17, 400).tolist():
+        levels = Counter(f for f in fills.values() if f < 16)
+        def total(h):
+            after = Counter(levels)
+            if h:
+                after[h] -= 1
+            if h + size < 16:
+                after[h + size] += 1
+            return sum(n * n for n in after.values())
+        best = min([0, *(h for h in levels if h + size <= 16)], key=lambda h: (total(h), -h)) if size < 16 else 0
+        window, level = packer.place(size)
+        assert level == best and fills.get(window, 0) == level
+        fills[window] = level + size
+
+
+def test_padding_is_little(docs):
+    rows = packing.pack(docs, capacity=512).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert sum(r["n"] for r in rows) > 0.97 * 512 * len(rows)
