@@ -60,11 +60,11 @@ def cut(docs: DataFrame, capacity: int, end: int, tokenizer: str) -> DataFrame:
     """One row per piece: full windows from a document's start on, then what is left of it."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = tokens.encoder(tokenizer).encode
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                ids = encode(text, end).astype("<u4")
+            every = tokens.encoded(tokenizer, batch["text"].tolist(), end)
+            for doc_id, ids in zip(batch["doc_id"].tolist(), every):
+                ids = ids.astype("<u4")
                 for start in range(0, ids.size, capacity):
                     part = ids[start : start + capacity]
                     rows.append((doc_id, start, part.size, zlib.crc32(part), ids.size))

@@ -127,10 +127,9 @@ def write(
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, at = TaskContext.get().partitionId(), 0
-        coder = tokens.encoder(tokenizer)
         with files.writer(f"{folder}/ids-{shard}.bin") as out:
             for batch in batches:
-                found = [coder.encode(text, end) for text in batch["text"].tolist()]
+                found = list(tokens.encoded(tokenizer, batch["text"].tolist(), end))
                 sizes = np.array([each.size for each in found], np.int64)
                 out.write(b"".join(each.tobytes() for each in found))
                 yield pd.DataFrame({

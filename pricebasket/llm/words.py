@@ -9,6 +9,8 @@ BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+ALNUM = np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -48,9 +50,10 @@ class Words:
     followed by a blank; ``texts`` has the place where each text begins (and the end of all).
 
     A word's hash is a sum of random byte values times powers of an odd number, modulo 2**64, mixed.
+    With ``tails``, one stop or comma that ends a word after a letter or digit of ASCII is a word of its own.
     """
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None], tails: bool = False):
         raw = [(text or "").encode("utf-8", "replace") for text in texts]
         self.texts = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(each) + 1 for each in raw], out=self.texts[1:])
@@ -58,9 +61,21 @@ class Words:
         blank = BLANK[self.data]
         edges = np.diff(blank.astype(np.int8), prepend=1)
         self.first, self.last = np.flatnonzero(edges < 0), np.flatnonzero(edges > 0)
+        if tails and self.first.size:
+            self._split_tails()
         self.hashes = self._hash()
         self.bounds = np.searchsorted(self.first, self.texts)
 
+    def _split_tails(self) -> None:
+        stop = self.data[self.last - 1]
+        cut = ((stop == 46) | (stop == 44)) & (self.last - self.first > 1) & ALNUM[self.data[self.last - 2]]
+        place = np.repeat(np.arange(cut.size), 1 + cut)
+        second = np.concatenate([[False], place[1:] == place[:-1]])
+        head = np.concatenate([second[1:], [False]])
+        first, last = self.first[place], self.last[place]
+        self.first = np.where(second, last - 1, first)
+        self.last = np.where(head, last - 1, last)
+
     def _hash(self) -> np.ndarray:
         """Over blocks of some megabytes that end between words, to bound the memory."""
         found, at = [], 0

@@ -26,8 +26,9 @@ def test_pieces_give_the_ids_of_the_whole_text(direct, plain, odd):
     coder = tokens.Encoder(tokens.default_path(), keep=500)
     texts = [text for _, text in plain] + [r["text"] for r in odd.collect()]
     texts += ["A.B, c.. d,, é. x<|endoftext|>. <|ENDOFTEXT|>", "don't DON'T we're. ́a .́ \x1c \x85x", "", None]
-    for text in texts:
-        assert np.array_equal(coder.encode(text, 7), direct(text, 7)), repr(text)[:80]
+    texts += ["K\u0327 I\u0307 \u0130 \u03a3\u03a3 \u00c9. 5,6. '.S's. .\u00e9, ,.", "a.b. ;, x;. y\u0301. ''. \u2028z\u3000."]
+    for text, ids in zip(texts, [ids for at in range(0, len(texts), 9) for ids in coder.encode(texts[at : at + 9], 7)]):
+        assert np.array_equal(ids, direct(text, 7)), repr(text)[:80]
 
 
 @pytest.mark.parametrize("which", ["docs", "odd"])
