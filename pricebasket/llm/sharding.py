@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from pricebasket.session import stage
 
 
+#: Members of a linked group that one lane holds.
+LANE = 500
+
+
 def ranked(rows: DataFrame, group: str, *order: str) -> DataFrame:
     """Add ``slot``: each row's number within its group, gapless from 0, in the given order.
 
@@ -42,9 +46,12 @@ def propagate(members: DataFrame, labels: DataFrame, shards: int, rounds: int =
     nodes of the other shard, which lose nothing, fill up the quota. So no round changes the size
     of any shard. The rounds end early when nobody can move.
     """
+    # A large group's members are dealt over ``spread`` lanes, each of which gets the group's decisions.
+    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    spread = F.ceil(F.col("_n") / LANE).cast("int")
     linked = stage(
-        members.join(members.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("grp"), "grp")
-        .select("node", "grp"), "linked")
+        members.join(sizes, "grp").select("node", "grp", spread.alias("spread"), F.pmod(F.xxhash64("node"), spread).alias("lane")),
+        "linked")
     labels = stage(labels.select("node", "shard"), "labels")
     for _ in range(rounds):
         wishes = stage(_wishes(linked, labels), "wishes")
@@ -81,7 +88,7 @@ def quotas(wanted: dict, free: dict, shards: int) -> tuple[dict, dict]:
 def _wishes(linked: DataFrame, labels: DataFrame) -> DataFrame:
     """Every node with its shard, whether it is linked, and the shard and gain it wishes for (null: stay)."""
     here = linked.join(labels, "node")
-    counts = here.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
+    counts = here.groupBy("grp", "spread", "shard").agg(F.count(F.lit(1)).alias("n"))
     # A shard that one group fills is closed to it: the rest of the group gathers elsewhere.
     full = F.broadcast(labels.groupBy("shard").agg(F.count(F.lit(1)).alias("rows")))  # a row per shard
     counts = counts.join(full, "shard").withColumn("closed", F.col("n") == F.col("rows")).drop("rows")
@@ -89,11 +96,10 @@ def _wishes(linked: DataFrame, labels: DataFrame) -> DataFrame:
     best = counts.filter("not closed").groupBy("grp").agg(
         F.max(F.struct("n", (-F.col("shard")).alias("minus"))).alias("best"))
     to = (-F.col("best.minus")).cast("int")
-    wish = (
-        here.join(counts, ["grp", "shard"]).join(best, "grp", "left")
-        .select("node", F.when(~F.col("closed") & (to != F.col("shard")), to).alias("target"),
-                (F.col("best.n") - F.col("n") + 1).alias("gain"))
-    )
+    decided = counts.join(best, "grp", "left").select(
+        "grp", "shard", F.when(~F.col("closed") & (to != F.col("shard")), to).alias("target"),
+        (F.col("best.n") - F.col("n") + 1).alias("gain"), F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("lane"))
+    wish = here.join(decided, ["grp", "lane", "shard"]).select("node", "target", "gain")
     return labels.join(wish.withColumn("linked", F.lit(True)), "node", "left").select(
         "node", "shard", F.coalesce("linked", F.lit(False)).alias("linked"), "gain",
         "target",
