@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricebasket.llm import lm_scoring, packing, sharding, token_files
+from pricebasket.llm import lm_scoring, packing, quality, sharding, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(documents(spark, sf_dir))
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.judge(docs, quality.good_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), shards=16)

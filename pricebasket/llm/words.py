@@ -9,6 +9,7 @@ BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+SAME = np.arange(256, dtype=np.uint8)
 ALNUM = np.zeros(256, bool)
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -43,7 +44,7 @@ def powers(base: int, count: int) -> np.ndarray:
 
 
 class Words:
-    """The words `[^\\x20\\x09-\\x0D]+` of texts, after lower-casing A-Z.
+    """The words `[^\\x20\\x09-\\x0D]+` of texts, after lower-casing A-Z unless ``lower`` is off.
 
     ``hashes`` holds all words behind one another; document i has those from ``bounds[i]`` to
     ``bounds[i + 1]``. ``first`` and ``last`` are byte places in ``data``, all texts' UTF-8 bytes, each
@@ -53,7 +54,8 @@ class Words:
     With ``tails``, one stop or comma that ends a word after a letter or digit of ASCII is a word of its own.
     """
 
-    def __init__(self, texts: list[str | None], tails: bool = False):
+    def __init__(self, texts: list[str | None], tails: bool = False, lower: bool = True):
+        self._case = LOWER if lower else SAME
         raw = [(text or "").encode("utf-8", "replace") for text in texts]
         self.texts = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(each) + 1 for each in raw], out=self.texts[1:])
@@ -87,7 +89,7 @@ class Words:
             power, inverse = _tables(stop - start + 1)
             with np.errstate(over="ignore"):
                 sums = np.zeros(stop - start + 1, np.uint64)
-                np.cumsum(_BYTE[LOWER[self.data[start:stop]]] * power[: stop - start], out=sums[1:])
+                np.cumsum(_BYTE[self._case[self.data[start:stop]]] * power[: stop - start], out=sums[1:])
                 first, last = self.first[at:upto] - start, self.last[at:upto] - start
                 value = (sums[last] - sums[first]) * inverse[first]
                 found.append(finalize(value + (last - first).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)))
