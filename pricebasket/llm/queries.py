@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricebasket.llm import lm_scoring, packing, quality, sharding, token_files
+from pricebasket.llm import lm_scoring, near_dup, packing, quality, sharding, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.good_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+@query
+def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir), size=2, percent=80)
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), shards=16)
