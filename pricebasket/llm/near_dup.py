@@ -73,10 +73,10 @@ def _signed(texts: list[str | None], size: int) -> dict:
     return {"n_shingles": n, "node": digest[0].view(np.int64), "check": digest[1].view(np.int64), "sig": [row.tobytes() for row in least]}
 
 
-def _tables(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _tables(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFrame]:
     """Rows (key, x) of all tables for each class.
 
-    Of members of one entry that meet in a block, those past the first ``HEADS`` go no further: each is a
+    Of members of one entry that meet in a block, those past the first ``heads`` go no further: each is a
     candidate with the first of them, (key, x, y). So a frequent entry has few rows per block.
     """
     for batch in parts:
@@ -92,7 +92,7 @@ def _tables(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             order = np.lexsort((node, key))
             key, node = key[order].view(np.int64), node[order]
             place, start = _places(key)
-            far = place >= HEADS
+            far = place >= heads
             yield pd.DataFrame({"key": key, "x": node, "y": pd.arrays.IntegerArray(node[start], ~far)})
 
 
@@ -105,7 +105,7 @@ def _places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(key.size) - start, start
 
 
-def _candidates(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFrame]:
     """From rows sorted by key and node: (null, x, y) to compare, and all (key, x, null) of large entries."""
     open_key, open_nodes, seen = None, np.zeros(0, np.int64), 0
     for batch in parts:
@@ -123,15 +123,15 @@ def _candidates(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The carried rows stand for ``before`` rows; later ones of the run come after those.
         place = np.where((start == 0) & fresh, place - skip + before, place) if skip else place
         x, y = [early["y"].to_numpy(np.int64)], [early["x"].to_numpy(np.int64)]
-        for k in range(HEADS):
+        for k in range(heads):
             rows = np.flatnonzero(fresh & (place > k))
             x.append(node[start[rows] + k])
             y.append(node[rows])
         x, y = np.concatenate(x), np.concatenate(y)
         distinct = np.unique(pair(x.view(np.uint64), y.view(np.uint64)), return_index=True)[1]
-        large = fresh & (place > HEADS)
-        turned = np.flatnonzero(fresh & (place == HEADS + 1))
-        first = (start[turned][:, None] + np.arange(HEADS + 1)).reshape(-1)
+        large = fresh & (place > heads)
+        turned = np.flatnonzero(fresh & (place == heads + 1))
+        first = (start[turned][:, None] + np.arange(heads + 1)).reshape(-1)
         rows = np.concatenate([np.flatnonzero(large), first])
         if distinct.size or rows.size:
             paired = np.arange(distinct.size + rows.size) < distinct.size
@@ -143,7 +143,7 @@ def _candidates(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if key.size:
             last = int(start[-1])
             open_key, seen = key[-1], int(place[-1]) + 1
-            open_nodes = node[last : last + HEADS + 1]
+            open_nodes = node[last : last + heads + 1]
 
 
 def _similar(size: int, percent: int):
@@ -181,7 +181,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     return batches.with_columns(both, ["tx", "ty"], _similar(size, percent), "linked boolean", ("tx", "ty")).filter("linked").select("x", "y")
 
 
-def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, rounds: int = 6) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, size: int = 2, percent: int = 80, rounds: int = 6, heads: int = HEADS
+) -> DataFrame:
     """Link all ``docs`` (doc_id, text) whose shingle sets have 100 * intersection >= percent * union.
 
     Words are lower-cased (A-Z) and split at blanks; shingles have ``size`` words. Result, one row per input
@@ -191,7 +193,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, rounds: i
     member has one, and is kept only where it stands alone. An empty table gives no rows.
 
     Equal sets are one class first (a map-side sum, so thousands of copies are one row). Table entries
-    send a few rows per block of classes. In an entry, the first ``HEADS`` classes are compared with all
+    send a few rows per block of classes. In an entry, the first ``heads`` classes are compared with all
     others; entries with more classes are gone through again as long as they join different
     components, each time with another class compared with all those outside its component, until
     a round finds no link (``rounds`` at most). So no entry, however large, has all its pairs formed.
@@ -206,8 +208,8 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, rounds: i
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     triple = "key long, x long, y long"
     found = stage(
-        classes.select("node", "sig").mapInPandas(_tables, triple).repartition(parts, "key").sortWithinPartitions("key", "x")
-        .mapInPandas(_candidates, triple), "candidates")
+        classes.select("node", "sig").mapInPandas(lambda parts: _tables(parts, heads), triple).repartition(parts, "key").sortWithinPartitions("key", "x")
+        .mapInPandas(lambda parts: _candidates(parts, heads), triple), "candidates")
     tested = stage(found.filter("key is null").select("x", "y").distinct(), "pairs")
     links = stage(_verified(tested, classes, rows, size, percent), "links")
     roots = components(links)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricebasket.llm import lm_scoring, near_dup, packing, quality, sharding, token_files
+from pricebasket.llm import lm_scoring, near_dup, packing, quality, sharding, suffix_dedup, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(documents(spark, sf_dir))
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), length=100)
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)

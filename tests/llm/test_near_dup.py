@@ -67,8 +67,7 @@ def test_groups_of_copies_and_chains(spark):
     assert got == brute(docs)
 
 
-def test_large_entries_are_gone_through_again(spark, monkeypatch):
-    monkeypatch.setattr(near_dup, "HEADS", 1)
+def test_large_entries_are_gone_through_again(spark):
     rng = np.random.default_rng(6)
     common = [f"c{i}" for i in range(60)]
     docs = []
@@ -76,7 +75,7 @@ def test_large_entries_are_gone_through_again(spark, monkeypatch):
         own = [f"f{family}x{rng.integers(0, 10**6)}" for _ in range(25)]
         for member in range(4):
             docs.append((len(docs), " ".join([*common, *own, f"m{member}"])))
-    got = Counter(tuple(r) for r in near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), rounds=12).collect())
+    got = Counter(tuple(r) for r in near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), rounds=12, heads=1).collect())
     assert got == brute(docs)
 
 
@@ -86,7 +85,7 @@ def test_runs_across_batches():
     expected = {(a, b) for k, a in rows for j, b in rows if k == j and a < b and a < k * 100 + near_dup.HEADS}
     for step in (1, 3, 7, 100):
         parts = [whole.iloc[i : i + step].reset_index(drop=True) for i in range(0, len(whole), step)]
-        out = pd.concat(list(near_dup._candidates(iter(parts))))
+        out = pd.concat(list(near_dup._candidates(iter(parts), near_dup.HEADS)))
         pairs = out[out["key"].isna()]
         assert set(zip(pairs["x"], pairs["y"])) == expected and len(pairs) == len(expected)
         large = out[out["y"].isna()]
