@@ -74,10 +74,11 @@ def _signed(texts: list[str | None], size: int) -> dict:
 
 
 def _tables(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFrame]:
-    """Rows (key, x) of all tables for each class.
+    """Rows (key, x) of all tables for each class, and the number by which they are dealt.
 
-    Of members of one entry that meet in a block, those past the first ``heads`` go no further: each is a
-    candidate with the first of them, (key, x, y). So a frequent entry has few rows per block.
+    Where more than ``heads`` members of one entry meet in a block, those past the first ``heads`` are dealt
+    apart from it: each is a candidate with the first of them, (key, x, y). So a frequent entry sends few
+    rows per block to its place. The others then carry themselves as y.
     """
     for batch in parts:
         for at in range(0, len(batch), 4096):
@@ -93,7 +94,10 @@ def _tables(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFrame]
             key, node = key[order].view(np.int64), node[order]
             place, start = _places(key)
             far = place >= heads
-            yield pd.DataFrame({"key": key, "x": node, "y": pd.arrays.IntegerArray(node[start], ~far)})
+            full = np.bincount(start, minlength=key.size)[start] > heads
+            yield pd.DataFrame({
+                "key": key, "x": node, "y": pd.arrays.IntegerArray(np.where(far, node[start], node), ~full),
+                "deal": np.where(far, node, key)})
 
 
 def _places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,8 +113,9 @@ def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFr
     """From rows sorted by key and node: (null, x, y) to compare, and all (key, x, null) of large entries."""
     open_key, open_nodes, seen = None, np.zeros(0, np.int64), 0
     for batch in parts:
-        done = batch["y"].notna().to_numpy()
-        early = batch[done]
+        full = batch["y"].notna().to_numpy()
+        done = full & (batch["y"].fillna(0).to_numpy(np.int64) != batch["x"].to_numpy())
+        early, known = batch[done], batch[full]
         key, node = batch["key"].to_numpy()[~done], batch["x"].to_numpy()[~done]
         if key.size and open_key == key[0]:
             before, skip = seen, open_nodes.size
@@ -133,12 +138,14 @@ def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFr
         turned = np.flatnonzero(fresh & (place == heads + 1))
         first = (start[turned][:, None] + np.arange(heads + 1)).reshape(-1)
         rows = np.concatenate([np.flatnonzero(large), first])
-        if distinct.size or rows.size:
-            paired = np.arange(distinct.size + rows.size) < distinct.size
+        keys = np.concatenate([key[rows], known["key"].to_numpy()])
+        nodes = np.concatenate([node[rows], known["x"].to_numpy()])
+        if distinct.size or keys.size:
+            paired = np.arange(distinct.size + keys.size) < distinct.size
             yield pd.DataFrame({
-                "key": pd.arrays.IntegerArray(np.concatenate([np.zeros(distinct.size, np.int64), key[rows]]), paired),
-                "x": np.concatenate([x[distinct], node[rows]]),
-                "y": pd.arrays.IntegerArray(np.concatenate([y[distinct], np.zeros(rows.size, np.int64)]), ~paired),
+                "key": pd.arrays.IntegerArray(np.concatenate([np.zeros(distinct.size, np.int64), keys]), paired),
+                "x": np.concatenate([x[distinct], nodes]),
+                "y": pd.arrays.IntegerArray(np.concatenate([y[distinct], np.zeros(keys.size, np.int64)]), ~paired),
             })
         if key.size:
             last = int(start[-1])
@@ -208,12 +215,13 @@ def near_duplicates(
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     triple = "key long, x long, y long"
     found = stage(
-        classes.select("node", "sig").mapInPandas(lambda parts: _tables(parts, heads), triple).repartition(parts, "key").sortWithinPartitions("key", "x")
-        .mapInPandas(lambda parts: _candidates(parts, heads), triple), "candidates")
+        classes.select("node", "sig").mapInPandas(lambda some: _tables(some, heads), f"{triple}, deal long")
+        .repartition(parts, "deal").drop("deal").sortWithinPartitions("key", "x")
+        .mapInPandas(lambda some: _candidates(some, heads), triple), "candidates")
     tested = stage(found.filter("key is null").select("x", "y").distinct(), "pairs")
     links = stage(_verified(tested, classes, rows, size, percent), "links")
     roots = components(links)
-    large = found.filter("y is null").select("key", F.col("x").alias("node"))
+    large = found.filter("y is null").select("key", F.col("x").alias("node")).distinct()
     for turn in range(rounds):
         named = large.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         heads = named.groupBy("key").agg(
