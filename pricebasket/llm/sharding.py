@@ -47,7 +47,8 @@ def propagate(members: DataFrame, labels: DataFrame, shards: int, rounds: int =
     of any shard. The rounds end early when nobody can move.
     """
     # A large group's members are dealt over ``spread`` lanes, each of which gets the group's decisions.
-    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    # Written first, so that the join below is of two plain exchanges, whose skew Spark can split.
+    sizes = stage(members.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "groups")
     spread = F.ceil(F.col("_n") / LANE).cast("int")
     linked = stage(
         members.join(sizes, "grp").select("node", "grp", spread.alias("spread"), F.pmod(F.xxhash64("node"), spread).alias("lane")),
