@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricebasket.llm import decontaminate, lm_scoring, near_dup, packing, quality, sharding, suffix_dedup, token_files
+from pricebasket.llm import decontaminate, html_main, lm_scoring, near_dup, packing, quality, sharding, suffix_dedup, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +53,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@query
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), shards=16)
