@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricebasket.llm import decontaminate, html_main, lm_scoring, near_dup, packing, quality, sharding, suffix_dedup, token_files
+from pricebasket.llm import decontaminate, html_main, language_id, lm_scoring, near_dup, packing, quality, sharding, suffix_dedup, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), shards=16)
 
 
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), capacity=4096, end=2)
