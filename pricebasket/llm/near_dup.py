@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebasket.llm import batches
@@ -188,16 +188,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     return batches.with_columns(both, ["tx", "ty"], _similar(size, percent), "linked boolean", ("tx", "ty")).filter("linked").select("x", "y")
 
 
-def near_duplicates(
-    docs: DataFrame, size: int = 2, percent: int = 80, rounds: int = 6, heads: int = HEADS
-) -> DataFrame:
-    """Link all ``docs`` (doc_id, text) whose shingle sets have 100 * intersection >= percent * union.
-
-    Words are lower-cased (A-Z) and split at blanks; shingles have ``size`` words. Result, one row per input
-    row: doc_id, n_shingles, component_id (least doc_id reachable over links), kept (the row with that
-    doc_id). Documents without words are linked with nothing. Rows that share a doc_id are separate
-    rows; of equal rows all are kept or none. A null doc_id never names a component as long as another
-    member has one, and is kept only where it stands alone. An empty table gives no rows.
+def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) -> DataFrame:
+    """(doc_id, h, n_shingles, root) of all rows; ``h`` is the text's xxhash64, ``root`` names the group of links.
 
     Equal sets are one class first (a map-side sum, so thousands of copies are one row). Table entries
     send a few rows per block of classes. In an entry, the first ``heads`` classes are compared with all
@@ -238,9 +230,41 @@ def near_duplicates(
             break
         links = links.unionByName(new)
         roots = components(links)
-    named = measured.join(roots, "node", "left").withColumn(
-        "root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")))
+    return measured.join(roots, "node", "left").select(
+        "doc_id", "h", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).alias("root"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, rounds: int = 6, heads: int = HEADS) -> DataFrame:
+    """Link all ``docs`` (doc_id, text) whose shingle sets have 100 * intersection >= percent * union.
+
+    Words are lower-cased (A-Z) and split at blanks; shingles have ``size`` words. Result, one row per input
+    row: doc_id, n_shingles, component_id (least doc_id reachable over links), kept (the row with that
+    doc_id). Documents without words are linked with nothing. Rows that share a doc_id are separate
+    rows; of equal rows all are kept or none. A null doc_id never names a component as long as another
+    member has one, and is kept only where it stands alone. An empty table gives no rows. See `groups`.
+    """
+    named = groups(docs, size, percent, rounds, heads)
     least = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return named.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = 6, heads: int = HEADS) -> DataFrame:
+    """The rows of ``docs`` that stay when each group of near-duplicates keeps one: that of the least doc_id.
+
+    A row without words is a group of its own. Rows equal in doc_id and text are one document, of which
+    one row stays; among rows with one doc_id or none, the one of the least text hash stays (null last).
+    """
+    named = groups(docs, size, percent, rounds, heads)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("one")
+    grouped = named.filter("root is not null").groupBy("root").agg(least).select("one.doc_id", "one.h")
+    stays = grouped.unionByName(named.filter("root is null").select("doc_id", "h").distinct())
+    keys = {"_none": F.col("doc_id").isNull(), "_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))}
+    rows = docs.withColumns({**keys, "_h": F.xxhash64(F.col("text").cast("string"))})
+    chosen = stays.withColumns(keys).select("_none", "_key", F.col("h").alias("_h"))
+    first = Window.partitionBy("_none", "_key", "_h").orderBy("_key")
+    return (
+        rows.join(chosen, ["_none", "_key", "_h"], "left_semi").withColumn("_at", F.row_number().over(first))
+        .filter("_at = 1").select(*docs.columns)
+    )

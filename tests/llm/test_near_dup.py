@@ -9,8 +9,12 @@ import pytest
 from pricebasket.llm import components, near_dup
 
 
+def sets_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
 def sets(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    words = sets_words(text)
     return set(zip(words, words[1:])) if len(words) > 1 else {tuple(words)} if words else set()
 
 
