@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebasket.llm import batches
-from pricebasket.llm.components import components
+from pricebasket.llm.components import components, joined
 from pricebasket.llm.words import Words, finalize, pair
 from pricebasket.session import stage
 
 ROWS, BANDS = 2, 12
 HASHES = 2 * ROWS * BANDS
 #: Members of a table entry that are compared with all others of it at first.
-HEADS = 8
+HEADS = 2
 #: Of 48 minhashes, a pair of similarity 0.8 shares fewer than these once in 10**8 pairs.
 AGREE = 22
 _rng = np.random.default_rng(80_02)
@@ -90,7 +90,7 @@ def _tables(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFrame]
             number = np.arange(BANDS * BANDS, dtype=np.uint64).reshape(BANDS, BANDS)
             key = pair(pair(band[:, 0, :, None], band[:, 1, None, :]), np.broadcast_to(number, (len(part), BANDS, BANDS))).reshape(-1)
             node = np.repeat(part["node"].to_numpy(), BANDS * BANDS)
-            order = np.lexsort((node, key))
+            order = np.lexsort((node ^ key.view(np.int64), key))
             key, node = key[order].view(np.int64), node[order]
             place, start = _places(key)
             far = place >= heads
@@ -110,7 +110,10 @@ def _places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFrame]:
-    """From rows sorted by key and node: (null, x, y) to compare, and all (key, x, null) of large entries."""
+    """From rows sorted by key: (null, x, y) to compare, and all (key, x, null) of large entries.
+
+    The rows of a key come in an order of its own, so that entries of the same classes have different heads.
+    """
     open_key, open_nodes, seen = None, np.zeros(0, np.int64), 0
     for batch in parts:
         full = batch["y"].notna().to_numpy()
@@ -133,6 +136,7 @@ def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFr
             x.append(node[start[rows] + k])
             y.append(node[rows])
         x, y = np.concatenate(x), np.concatenate(y)
+        x, y = np.minimum(x, y), np.maximum(x, y)
         distinct = np.unique(pair(x.view(np.uint64), y.view(np.uint64)), return_index=True)[1]
         large = fresh & (place > heads)
         turned = np.flatnonzero(fresh & (place == heads + 1))
@@ -155,10 +159,12 @@ def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFr
 
 def _similar(size: int, percent: int):
     def test(texts: list[str], others: list[str]) -> dict:
-        found, bounds = shingles([*texts, *others], size)
+        number: dict[str, int] = {}
+        pairs = [[number.setdefault(text, len(number)) for text in side] for side in (texts, others)]
+        found, bounds = shingles(list(number), size)
         linked = np.zeros(len(texts), bool)
-        for i in range(len(texts)):
-            a, b = (found[bounds[k] : bounds[k + 1]] for k in (i, len(texts) + i))
+        for i, (one, other) in enumerate(zip(*pairs)):
+            a, b = (found[bounds[k] : bounds[k + 1]] for k in (one, other))
             both = np.intersect1d(a, b, assume_unique=True).size
             linked[i] = both > 0 and 100 * both >= percent * (a.size + b.size - both)
         return {"linked": linked}
@@ -208,11 +214,10 @@ def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) ->
     triple = "key long, x long, y long"
     found = stage(
         classes.select("node", "sig").mapInPandas(lambda some: _tables(some, heads), f"{triple}, deal long")
-        .repartition(parts, "deal").drop("deal").sortWithinPartitions("key", "x")
+        .repartition(parts, "deal").drop("deal").sortWithinPartitions("key", F.col("x").bitwiseXOR(F.col("key")))
         .mapInPandas(lambda some: _candidates(some, heads), triple), "candidates")
     tested = stage(found.filter("key is null").select("x", "y").distinct(), "pairs")
-    links = stage(_verified(tested, classes, rows, size, percent), "links")
-    roots = components(links)
+    roots = components(_verified(tested, classes, rows, size, percent))
     large = found.filter("y is null").select("key", F.col("x").alias("node")).distinct()
     for turn in range(rounds):
         named = large.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
@@ -228,8 +233,7 @@ def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) ->
         tested = tested.unionByName(more)
         if new.isEmpty():
             break
-        links = links.unionByName(new)
-        roots = components(links)
+        roots = joined(roots, new)
     return measured.join(roots, "node", "left").select(
         "doc_id", "h", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).alias("root"))
 

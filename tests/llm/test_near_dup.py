@@ -86,10 +86,11 @@ def test_large_entries_are_gone_through_again(spark):
 def test_runs_across_batches():
     rows = sorted((k, n) for k, size in ((1, 30), (2, 2), (3, 1), (4, 12)) for n in range(k * 100, k * 100 + size))
     whole = pd.DataFrame({"key": [k for k, _ in rows], "x": [n for _, n in rows], "y": pd.array([None] * len(rows), "Int64")})
-    expected = {(a, b) for k, a in rows for j, b in rows if k == j and a < b and a < k * 100 + near_dup.HEADS}
+    heads = 8
+    expected = {(a, b) for k, a in rows for j, b in rows if k == j and a < b and a < k * 100 + heads}
     for step in (1, 3, 7, 100):
         parts = [whole.iloc[i : i + step].reset_index(drop=True) for i in range(0, len(whole), step)]
-        out = pd.concat(list(near_dup._candidates(iter(parts), near_dup.HEADS)))
+        out = pd.concat(list(near_dup._candidates(iter(parts), heads)))
         pairs = out[out["key"].isna()]
         assert set(zip(pairs["x"], pairs["y"])) == expected and len(pairs) == len(expected)
         large = out[out["y"].isna()]
@@ -101,6 +102,10 @@ def test_components(spark):
     links = path + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (2000, 2001)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "x long, y long")).collect()}
     groups = [range(201), range(1000, 1100), (2000, 2001)]
+    first = components.components(spark.createDataFrame(links[::2], "x long, y long"))
+    later = {r["node"]: r["root"] for r in components.joined(first, spark.createDataFrame(links[1::2], "x long, y long")).collect()}
+    assert set(later) == set(got)
+    assert [len({later[n] for n in g}) for g in groups] == [1, 1, 1] and len(set(later.values())) == 3
     assert set(got) == {n for g in groups for n in g}
     assert [len({got[n] for n in g}) for g in groups] == [1, 1, 1] and len(set(got.values())) == 3
 
