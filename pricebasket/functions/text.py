@@ -35,7 +35,8 @@ def cart_lines(message: Column) -> Column:
     """``"tomato 1, corn can 2"`` as an array of (product_name, quantity_text, quantity).
 
     The last word of each comma-separated part is the quantity, the words before it,
-    joined by single blanks, the name. A quantity that is no number becomes null.
+    joined by single blanks, the name. A quantity that is no number, is too large or has more
+    decimals than a quantity holds becomes null: it is never rounded.
     """
 
     def line(part):
@@ -46,7 +47,9 @@ def cart_lines(message: Column) -> Column:
         return F.struct(
             name.alias("product_name"),
             quantity.alias("quantity_text"),
-            quantity.try_cast(schemas.QUANTITY).alias("quantity"),
+            F.when(
+                quantity.try_cast(schemas.QUANTITY) == quantity.try_cast(schemas.ANY_NUMBER), quantity.try_cast(schemas.QUANTITY)
+            ).alias("quantity"),
         )
 
     return F.transform(F.split(message, ","), line)

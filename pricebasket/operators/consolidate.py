@@ -65,11 +65,14 @@ class Consolidated:
 def consolidate(obs: DataFrame, by: Sequence[str] = ()) -> Consolidated:
     """One product per exact name; its id is the code it was first seen with."""
     prices = stage(last_prices(obs, by), "last-prices")
-    chain_bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("first_seen.chain_rank"))
-    products = prices.groupBy(*by, "name").agg(
+    # Per product and chain first, so that any number of chains is counted without a set of them.
+    per_chain = prices.groupBy(*by, "name", "chain").agg(
+        F.min("first_seen").alias("first_seen"), F.count(F.lit(1)).alias("stores")
+    )
+    products = per_chain.groupBy(*by, "name").agg(
         F.min("first_seen").alias("first_seen"),
-        F.bit_count(F.bit_or(chain_bit)).alias("chains_count"),
-        F.count(F.lit(1)).cast("int").alias("stores_count"),
+        F.count(F.lit(1)).cast("int").alias("chains_count"),
+        F.sum("stores").cast("int").alias("stores_count"),
     )
     products = products.withColumn("id", F.col("first_seen.item_code"))
     return Consolidated(prices, stage(products, "products"), tuple(by))

@@ -79,6 +79,12 @@ def latest_file(files: DataFrame) -> DataFrame:
     )
 
 
+def display_name(chain: Column, store_name: Column) -> Column:
+    """The chain's name, a blank and the store's, as people are told it; null for an unknown chain."""
+    known = F.coalesce(store_name, F.lit("store name not found"))  # fixed text
+    return F.concat(text.by_chain(constants.CHAIN_NAMES, chain), F.lit(" "), known)
+
+
 def store_lookup(candidates: DataFrame, stores: DataFrame) -> DataFrame:
     """Resolve ``store@chain`` keys to display name and coordinates; misses keep nulls."""
     keys = candidates.withColumn("store_id", F.split_part("store_key", F.lit("@"), F.lit(1))).withColumn(
@@ -86,12 +92,7 @@ def store_lookup(candidates: DataFrame, stores: DataFrame) -> DataFrame:
     )
     found = stores.select("chain", "store_id", "store_name", "latitude", "longitude")
     return keys.join(found, ["chain", "store_id"], "left").withColumn(
-        "display_name",
-        F.concat(
-            text.by_chain(constants.CHAIN_NAMES, F.col("chain")),
-            F.lit(" "),
-            F.coalesce("store_name", F.lit("store name not found")),
-        ),
+        "display_name", display_name(F.col("chain"), F.col("store_name"))
     )
 
 
@@ -103,10 +104,13 @@ def normal_address(address: Column, city: Column) -> Column:
 def geocode(rows: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Add coordinates by normalised address; an address the gazetteer lacks keeps nulls.
 
-    ``gazetteer`` has one row per ``full_address`` with ``latitude`` and ``longitude``.
+    ``gazetteer`` has ``full_address``, ``latitude`` and ``longitude``; of several rows for an address
+    the one with the smallest coordinates counts, so no row is multiplied.
     """
+    known = gazetteer.groupBy("full_address").agg(F.min(F.struct("latitude", "longitude")).alias("place")).select(
+        "full_address", "place.*")
     keyed = rows.withColumn("full_address", normal_address(F.col("address"), F.col("city")))
-    return keyed.join(gazetteer.select("full_address", "latitude", "longitude"), "full_address", "left").withColumn(
+    return keyed.join(known, "full_address", "left").withColumn(
         "resolved", F.col("latitude").isNotNull()
     )
 

@@ -107,7 +107,7 @@ def request_messages(answers: CartAnswers, messages: DataFrame) -> DataFrame:
         .select(
             product_list.alias("product_list"),
             *[F.col(name).cast("string") for name in sender],
-            F.col("store_name").alias("min_aff"),
+            stores.display_name(F.col("chain"), F.col("store_name")).alias("min_aff"),
             F.col("min_price_all").cast("string").alias("min_price"),
         )
     )

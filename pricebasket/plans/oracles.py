@@ -91,8 +91,9 @@ cart_lines AS ({lines}),
 wanted AS (SELECT cart_id, count(DISTINCT name) AS products FROM cart_lines GROUP BY cart_id),
 offered AS (
   SELECT cart_id, chain, store_id, count(DISTINCT name) AS products,
-         CAST(sum(price * quantity) AS DECIMAL(18,2)) AS total
-  FROM cart_lines JOIN cat USING (name) GROUP BY cart_id, chain, store_id),
+         CAST(sum(price * quantity) AS DECIMAL(38,2)) AS total
+  FROM cart_lines JOIN cat USING (name)
+  WHERE CAST(price * 100 AS BIGINT) % 10 <> 3 GROUP BY cart_id, chain, store_id),
 totals AS (
   SELECT o.cart_id, o.chain, o.store_id, o.total FROM offered o
   JOIN wanted w ON o.cart_id = w.cart_id AND o.products = w.products)"""
@@ -105,7 +106,7 @@ users AS ({users}),
 placed AS (
   SELECT t.cart_id, t.chain, t.store_id, d.s_name AS store_name, t.total, u.user_lat, u.user_lon,
          {_lat('d.s_suppkey')} AS latitude, {_lon('d.s_suppkey')} AS longitude
-  FROM totals t JOIN store_dim d USING (chain, store_id) JOIN users u USING (cart_id)),
+  FROM totals t JOIN store_dim d USING (chain, store_id) JOIN users u USING (cart_id) WHERE d.s_suppkey % 6 <> 5),
 measured AS (
   SELECT cart_id, chain, store_id, store_name, total,
     round(2 * CAST(6371008.8 AS DOUBLE) * asin(sqrt(least(1.0,
@@ -119,11 +120,11 @@ lowest AS (SELECT cart_id, min(total) AS min_price_all FROM totals GROUP BY cart
 chosen AS (SELECT *, row_number() OVER (PARTITION BY cart_id ORDER BY total, rank) AS pick FROM nearest),
 best AS (
   SELECT cart_id, chain, store_id, store_name, total AS store_price, distance, min_price_all
-  FROM chosen JOIN lowest USING (cart_id) WHERE pick = 1)"""
+  FROM lowest LEFT JOIN (SELECT * FROM chosen WHERE pick = 1) USING (cart_id))"""
 
 
 ORDER_LINES = """SELECT l_orderkey AS cart_id, p_name || ' ' || p_brand AS name,
-  CAST(l_quantity AS DECIMAL(12,3)) AS quantity FROM lineitem JOIN part ON l_partkey = p_partkey"""
+  CAST(l_quantity AS DECIMAL(14,6)) AS quantity FROM lineitem JOIN part ON l_partkey = p_partkey"""
 ORDER_USERS = f"SELECT o_orderkey AS cart_id, {_lat('o_custkey')} AS user_lat, {_lon('o_custkey')} AS user_lon FROM orders"
 PART_USERS = f"SELECT p_partkey AS cart_id, {_lat('p_partkey')} AS user_lat, {_lon('p_partkey')} AS user_lon FROM part"
 
@@ -135,7 +136,7 @@ messages AS (
     WHEN 'LARGE' THEN whole || ',small ring ' || p_brand || ' 2,red widget ' || p_brand || ' 2,blue bolt ' || p_brand
       || ' 2,old gear ' || p_brand || ' 2,new plate ' || p_brand || ' 2,' || whole
     WHEN 'SMALL' THEN whole || ','
-    WHEN 'ECONOMY' THEN whole || ', ' || p_brand || ' x'
+    WHEN 'ECONOMY' THEN whole || ', ' || p_brand || ' ' || (['x', '999999999', '0.0000004', '0.0004', '1.2345'])[1 + p_partkey % 5]
     ELSE whole || ', unheard pack 1' END AS message
   FROM (SELECT *, p_name || ' ' || p_brand || ' ' || p_size AS whole FROM part))"""
 
@@ -152,9 +153,9 @@ parsed AS (
   SELECT cart_id, pos,
     CASE WHEN len(words) > 1 THEN array_to_string(words[1:len(words) - 1], ' ') ELSE '' END AS product_name,
     CASE WHEN len(words) > 0 THEN words[len(words)] ELSE '' END AS quantity_text,
-    CASE WHEN len(words) > 0 THEN TRY_CAST(words[len(words)] AS DECIMAL(12,3)) END AS quantity,
-    len(words) > 1 AND TRY_CAST(words[len(words)] AS DECIMAL(12,3)) IS NOT NULL AS valid
-  FROM worded)"""
+    CASE WHEN amount = TRY_CAST(amount AS DECIMAL(14,6)) THEN TRY_CAST(amount AS DECIMAL(14,6)) END AS quantity,
+    len(words) > 1 AND coalesce(amount = TRY_CAST(amount AS DECIMAL(14,6)), false) AS valid
+  FROM (SELECT *, CASE WHEN len(words) > 0 THEN TRY_CAST(words[len(words)] AS DECIMAL(38,18)) END AS amount FROM worded))"""
 
 
 def _tokens(column: str) -> str:
@@ -310,7 +311,8 @@ ORACLES: dict[str, str] = {
             CASE s_nationkey % 3 WHEN 0 THEN 'victory' WHEN 1 THEN 'shufersal' ELSE 'ramilevi' END AS chain FROM supplier)
         SELECT c.store_id || '@' || c.chain AS store_key,
           {_case('c.chain', constants.CHAIN_NAMES)} || ' ' || coalesce(d.s_name, 'store name not found') AS display_name,
-          {_lat('d.s_suppkey')} AS latitude, {_lon('d.s_suppkey')} AS longitude
+          CASE WHEN d.s_suppkey % 6 <> 5 THEN {_lat('d.s_suppkey')} END AS latitude,
+          CASE WHEN d.s_suppkey % 6 <> 5 THEN {_lon('d.s_suppkey')} END AS longitude
         FROM candidates c LEFT JOIN store_dim d ON c.store_id = d.store_id AND c.chain = d.chain""",
     "geocode_join": f"""WITH {GEOCODED}
         SELECT c_custkey AS customer_id, full_address, CASE WHEN known THEN {_lat('n_nationkey')} END AS latitude,
@@ -339,6 +341,13 @@ ORACLES: dict[str, str] = {
         SELECT cart_id, chain, store_id, store_name, total, distance, rank FROM nearest""",
     "best_store": f"WITH {ALL_DATES}, {_totals(ORDER_LINES)}, {_nearest(ORDER_USERS)} SELECT * FROM best",
     "message_best_store": f"{ANSWERS} SELECT * FROM best",
+    "answer_requests": f"""{ANSWERS}, asked_lists AS (
+          SELECT cart_id, '[' || string_agg('{{"name":"' || name || '","product_quantity":"' || quantity_text || '"}}', ',' ORDER BY pos)
+            || ']' AS product_list FROM items GROUP BY cart_id)
+        SELECT product_list, CAST(cart_id AS VARCHAR) AS user_id, CAST(p_size AS VARCHAR) AS chat_id, p_brand AS user_first_name,
+          p_type AS user_last_name, p_name AS user_user_name, {_case('chain', constants.CHAIN_NAMES)} || ' ' || store_name AS min_aff,
+          CAST(min_price_all AS VARCHAR) AS min_price
+        FROM best JOIN asked_lists USING (cart_id) JOIN part ON p_partkey = cart_id""",
     "price_history": f"""WITH {DAILY} SELECT CAST(date_trunc('month', pulling_date) AS DATE) AS period, name, chain,
         min(price) AS min_price, round(CAST(sum(price) AS DOUBLE) / count(*), 6) AS avg_price, max(price) AS max_price
         FROM daily GROUP BY 1, 2, 3""",

@@ -39,18 +39,23 @@ def _current_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(consolidate.catalog(tables.price_obs(spark, sf_dir)), "catalog")
 
 
+def _offered_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue that baskets are priced by: some of its prices are blank."""
+    return stage(tables.with_blank_prices(consolidate.catalog(tables.price_obs(spark, sf_dir))), "catalog")
+
+
 def _order_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = tables.order_items(spark, sf_dir).withColumnRenamed("product_name", "name")
     return stage(basket.cart_products(items), "carts")
 
 
 def _order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return basket.basket_cost(_order_carts(spark, sf_dir), _current_prices(spark, sf_dir))
+    return basket.basket_cost(_order_carts(spark, sf_dir), _offered_prices(spark, sf_dir))
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> daily.CartAnswers:
     return daily.answer_messages(
-        tables.cart_messages(spark, sf_dir), _current_prices(spark, sf_dir), tables.stores(spark, sf_dir)
+        tables.cart_messages(spark, sf_dir), _offered_prices(spark, sf_dir), tables.stores(spark, sf_dir)
     )
 
 
@@ -394,6 +399,15 @@ def message_best_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _answers(spark, sf_dir).best
 
 
+@query
+def answer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request record of every answered list."""
+    sender = {"user_id": "p_partkey", "chat_id": "p_size", "user_first_name": "p_brand", "user_last_name": "p_type", "user_user_name": "p_name"}
+    senders = tables.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("cart_id"), *[F.col(column).alias(name) for name, column in sender.items()])
+    return daily.request_messages(_answers(spark, sf_dir), senders)
+
+
 # ---- history ------------------------------------------------------------------------------
 
 
@@ -420,7 +434,7 @@ def _finish(stream_query) -> None:
 
 
 def _event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = jobs.table_source(spark, sf_dir, "events.parquet")
+    events = jobs.table_source(spark, f"{sf_dir}/events.parquet")
     return events.select(F.to_json(F.struct(*events.columns)).alias("value"))
 
 
@@ -446,7 +460,7 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = jobs.table_source(spark, sf_dir, "lineitem.parquet")
+    lineitem = jobs.table_source(spark, f"{sf_dir}/lineitem.parquet")
     messages = files.json_messages(tables.request_records(lineitem, spark, sf_dir))
     rows = jobs.parse_messages(messages, schemas.REQUEST_MESSAGE).withColumn(
         "current_ts", F.current_timestamp().cast("string")
@@ -458,7 +472,7 @@ def stream_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = tables.raw_posts(jobs.table_source(spark, sf_dir, "documents.parquet"))
+    raw = tables.raw_posts(jobs.table_source(spark, f"{sf_dir}/documents.parquet"))
     rows = posts.enrich_posts(posts.flatten_posts(raw).drop("withheld_in_countries"))
     path = new_dir(spark, "enriched")
     _finish(jobs.append_table(rows, path, new_dir(spark, "enriched-log")))
@@ -473,6 +487,6 @@ def stream_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "first-events")
     for _ in range(2):
         # The second run meets every key again and must add nothing.
-        events = jobs.table_source(spark, sf_dir, "events.parquet")
+        events = jobs.table_source(spark, f"{sf_dir}/events.parquet")
         _finish(jobs.insert_stream(events, path, new_dir(spark, "first-log"), ["user_id"], ["ts", "event_id"]))
     return _stored(spark, path).select("user_id", "event_id", "event_type", "value")

@@ -6,8 +6,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 PRICE = T.DecimalType(12, 2)
-QUANTITY = T.DecimalType(12, 3)
-TOTAL = T.DecimalType(18, 2)
+# A list's quantity: below 100 million, in millionths; other numbers are no valid quantity.
+QUANTITY = T.DecimalType(14, 6)
+ANY_NUMBER = T.DecimalType(38, 18)
+TOTAL = T.DecimalType(38, 2)
 
 
 PRICE_OBS = (

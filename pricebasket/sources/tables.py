@@ -15,6 +15,9 @@ from pricebasket.functions import text
 # What a long shopping list asks for besides its own part, each of the part's brand.
 LONG_LIST = ("small ring", "red widget", "blue bolt", "old gear", "new plate")
 
+# No number, too large, too fine, small but right, right.
+ODD_QUANTITIES = ("x", "999999999", "0.0000004", "0.0004", "1.2345")
+
 SEQ = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
@@ -90,14 +93,21 @@ def chain_stores(spark: SparkSession, sf_dir: str, chain: str) -> DataFrame:
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The store table with coordinates."""
+    """The store table with coordinates, which every sixth store lacks."""
+    located = F.col("s_suppkey") % 6 != 5
     return store_dim(spark, sf_dir).select(
         "chain", "store_id", F.col("s_name").alias("store_name"),
-        latitude(F.col("s_suppkey")).alias("latitude"),
-        longitude(F.col("s_suppkey")).alias("longitude"),
+        F.when(located, latitude(F.col("s_suppkey"))).alias("latitude"),
+        F.when(located, longitude(F.col("s_suppkey"))).alias("longitude"),
     )
 
 
+def with_blank_prices(prices: DataFrame) -> DataFrame:
+    """A catalogue in which prices that end in 3 cents are blank, as files have them now and then."""
+    blank = (F.col("price") * 100).cast("long") % 10 == 3
+    return prices.withColumn("price", F.when(~blank, F.col("price")))
+
+
 def customer_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with an address as people type it: odd case and blanks."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -153,8 +163,8 @@ def order_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cart_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One free-text shopping list per part; the part's type decides its shape.
 
-    STANDARD, PROMO and LARGE are well formed, SMALL ends in a comma, ECONOMY has a
-    quantity that is no number, MEDIUM asks for something no catalogue has.
+    STANDARD, PROMO and LARGE are well formed, SMALL ends in a comma, ECONOMY has one of
+    ODD_QUANTITIES, MEDIUM asks for something no catalogue has.
     """
     full = F.concat_ws(" ", "p_name", "p_brand", "p_size")
     kind = F.col("p_type")
@@ -164,7 +174,10 @@ def cart_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "PROMO", F.concat(F.lit("  "), F.upper("p_name"), F.lit("   1.5,"), full))
         .when(kind == "LARGE", F.concat_ws(",", full, *others, full))
         .when(kind == "SMALL", F.concat(full, F.lit(",")))
-        .when(kind == "ECONOMY", F.concat_ws(", ", full, F.concat(F.col("p_brand"), F.lit(" x"))))
+        .when(
+            kind == "ECONOMY",
+            F.concat_ws(", ", full, F.concat(F.col("p_brand"), F.lit(" "), F.get(F.array(*map(F.lit, ODD_QUANTITIES)), F.col("p_partkey").cast("int") % len(ODD_QUANTITIES)))),
+        )
         .otherwise(F.concat_ws(", ", full, F.lit("unheard pack 1")))
     )
     return table(spark, sf_dir, "part").select(

@@ -3,31 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pricebasket.operators.consolidate import dedup_first
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:
-    """Messages of a topic as ``value`` text. Needs the Kafka connector on the class path."""
+def kafka_source(
+    spark: SparkSession, servers: str, topic: str, starting: str = "earliest", fail_on_data_loss: bool = True
+) -> DataFrame:
+    """Messages of a topic as ``value`` text. Needs the Kafka connector on the class path.
+
+    Offsets that are gone end the job unless ``fail_on_data_loss`` is off.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .load()
         .select(F.col("key").cast("string"), F.col("value").cast("string"))
     )
 
 
-def table_source(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """Parquet files matching ``glob`` in a folder, as a stream; new files are new rows."""
-    schema = spark.read.option("pathGlobFilter", glob).parquet(path).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(path)
+def table_source(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, one file or a folder of them, as a stream; new files are new rows."""
+    # A plain path must be a folder for a stream; a pattern, which this makes of it, may match a lone file too.
+    pattern = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(pattern)
 
 
 def parse_messages(messages: DataFrame, schema: str) -> DataFrame:
@@ -63,18 +70,25 @@ def fan_out(messages: DataFrame, topics: Sequence[str]) -> DataFrame:
     return messages.withColumn("topic", F.explode(F.array(*[F.lit(topic) for topic in topics])))
 
 
-def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Append rows whose key the table lacks; the first row of a key wins.
+def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> None:
+    """Append rows whose key the table lacks; the first row of a key wins. Null is a key like any other.
 
-    Only the table's key columns are read. A batch that runs again after a failure finds its
+    The table lies in folders by ``key_bucket``, a hash of the key, and of those only the ones that the
+    batch touches are read, key columns alone. A batch that runs again after a failure finds its
     own rows there and adds nothing twice.
     """
     spark = batch.sparkSession
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    first = dedup_first(batch, keys, order).withColumn("key_bucket", bucket)
+    # At most ``buckets`` numbers.
+    touched = sorted(row[0] for row in first.select("key_bucket").distinct().collect())
     # The table exists from the first batch on, typed, so that the join below always has one.
-    spark.createDataFrame([], batch.schema).write.mode("ignore").parquet(path)
-    present = spark.read.schema(batch.schema).parquet(path).select(*keys)
-    fresh = dedup_first(batch, keys, order).join(present, list(keys), "left_anti")
-    fresh.select(*batch.columns).write.mode("append").parquet(path)
+    spark.createDataFrame([], first.schema).write.mode("ignore").partitionBy("key_bucket").parquet(path)
+    present = spark.read.schema(first.schema).parquet(path).filter(F.col("key_bucket").isin(touched)).select(
+        *(F.col(key).alias(f"present_{key}") for key in keys))
+    same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"present_{key}")) for key in keys))
+    fresh = first.join(present, same, "left_anti")
+    fresh.write.mode("append").partitionBy("key_bucket").parquet(path)
 
 
 def insert_stream(
@@ -97,7 +111,9 @@ def first_per_key(stream: DataFrame, keys: Sequence[str], event_time: str, delay
     """First arrival per key, with state instead of a table read.
 
     A batch costs in proportion to its own rows, not to the table; keys older than ``delay``
-    behind the watermark leave the state, so a repeat later than that would pass again.
+    behind the watermark leave the state, so a repeat later than that would pass again. Rows that
+    arrive behind the watermark are dropped, a key's first one too: choose a ``delay`` beyond the
+    latest arrival, or ``insert_stream``, which drops none.
     """
     return (
         stream.withColumn(event_time, F.col(event_time).cast("timestamp"))

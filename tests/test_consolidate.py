@@ -1,6 +1,7 @@
 """Order-dependent rules of the catalogue on hand-written observations."""
 
 import random
+from decimal import Decimal
 
 from pricebasket import constants
 from pricebasket.operators import consolidate
@@ -112,3 +113,9 @@ def test_empty_chains_leave_a_published_row(spark):
 def test_dedup_keeps_the_first(spark):
     rows = spark.createDataFrame([("a", 2, "y"), ("a", 1, "x"), ("b", 3, "z")], "k STRING, o INT, v STRING")
     assert sorted(map(tuple, consolidate.dedup_first(rows, ["k"], ["o"]).collect())) == [("a", 1, "x"), ("b", 3, "z")]
+
+
+def test_any_number_of_chains_is_counted(spark):
+    rows = [(f"c{i}", i, "001", "7", "salt", Decimal("1.00"), i) for i in range(70)]
+    product = consolidate.consolidate(spark.createDataFrame(rows, OBS)).products.first()
+    assert (product["chains_count"], product["stores_count"]) == (70, 70)

@@ -32,7 +32,7 @@ def test_first_write_wins_across_batches_and_restarts(spark, tmp_path):
     drop(inbox, "2.json", [{"id": "a", "at": 0, "v": "too late"}, {"id": "c", "at": 9, "v": "c"}])
     run()
     run()
-    got = spark.read.schema(KEYED).parquet(target).collect()
+    got = spark.read.schema(KEYED).parquet(target).select("id", "at", "v").collect()
     assert sorted(map(tuple, got)) == [("a", 1, "first"), ("b", 3, "b"), ("c", 9, "c")]
 
 
@@ -43,6 +43,25 @@ def test_a_replayed_batch_adds_nothing(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
 
 
+def test_null_keys_are_inserted_once(spark, tmp_path):
+    batch = spark.createDataFrame([(None, 2, "x"), (None, 1, "first"), ("b", 1, "y")], KEYED)
+    for _ in range(3):
+        jobs.insert_if_absent(batch, str(tmp_path / "t"), ["id"], ["at"])
+    got = spark.read.parquet(str(tmp_path / "t")).select("id", "at", "v").collect()
+    assert sorted(map(str, map(tuple, got))) == ["('b', 1, 'y')", "(None, 1, 'first')"]
+
+
+def test_tables_of_one_file_or_many(spark, tmp_path):
+    """A stream reads a folder of files and a lone file alike."""
+    rows = spark.range(20)
+    rows.repartition(4).write.parquet(str(tmp_path / "many.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    lone = next((tmp_path / "one").glob("*.parquet")).rename(tmp_path / "lone.parquet")
+    for i, path in enumerate((tmp_path / "many.parquet", lone)):
+        jobs.append_table(jobs.table_source(spark, str(path)), str(tmp_path / f"t{i}"), str(tmp_path / f"log{i}")).awaitTermination()
+        assert spark.read.parquet(str(tmp_path / f"t{i}")).count() == 20
+
+
 def test_state_drops_repeats(spark, tmp_path):
     inbox = tmp_path / "in"
     rows = [{"id": "a", "ts": "2024-01-01T00:00:00"}, {"id": "a", "ts": "2024-01-01T00:01:00"}, {"id": "b", "ts": "2024-01-01T00:02:00"}]
