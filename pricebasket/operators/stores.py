@@ -31,8 +31,12 @@ def canonical_stores(rows: DataFrame, chain: str) -> DataFrame:
 
 
 def stores_union(per_chain: dict[str, DataFrame]) -> DataFrame:
+    """All chains' stores, one row per store: of several the first by its columns, in their order."""
     parts = [canonical_stores(rows, chain) for chain, rows in per_chain.items()]
-    return reduce(DataFrame.unionByName, parts)
+    every = reduce(DataFrame.unionByName, parts)
+    rest = [name for name in every.columns if name not in ("chain", "store_id")]
+    return every.groupBy("chain", "store_id").agg(F.min(F.struct(*rest)).alias("one")).select(
+        "store_id", "chain", *(F.col(f"one.{name}") for name in rest))
 
 
 def allowlist_table(spark: SparkSession, allowed: dict[str, list[str]]) -> DataFrame:
@@ -79,6 +83,18 @@ def latest_file(files: DataFrame) -> DataFrame:
     )
 
 
+def store_messages(stores: DataFrame, pulling_date: str) -> DataFrame:
+    """Stores under the fields of the published message (`schemas.STORE_MESSAGE`)."""
+    has = set(stores.columns)
+    address = F.col("address") if "address" in has else F.lit(None).cast("string")
+    return stores.select(
+        F.col("store_name").alias("StoreName"), address.alias("Address"), F.col("city").alias("City"), "store_id",
+        text.by_chain(constants.CHAIN_IDS, F.col("chain")).alias("ChainId"),
+        text.by_chain(constants.CHAIN_NAMES, F.col("chain")).alias("ChainName"),
+        F.lit(pulling_date).alias("pulling_date"), F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"),
+    )
+
+
 def display_name(chain: Column, store_name: Column) -> Column:
     """The chain's name, a blank and the store's, as people are told it; null for an unknown chain."""
     known = F.coalesce(store_name, F.lit("store name not found"))  # fixed text

@@ -26,19 +26,26 @@ class DailyInputs:
 
 
 def daily_products(spark: SparkSession, inputs: DailyInputs, run_date: str) -> DataFrame:
-    """The day's catalogue in long form, from the newest price file of each allowed store."""
+    """The day's catalogue in long form, from the newest price file of each allowed store.
+
+    A chain without any file ends the job: the day's tables replace whole ones.
+    """
     parts = []
     for chain in constants.CHAINS:
         allowed = inputs.allowed.get(chain) if inputs.allowed else None
         paths = files.price_file_paths(spark, inputs.price_paths[chain], allowed)
-        if paths:
-            parts.append(files.read_price_files(spark, paths, chain, run_date))
+        if not paths:
+            raise ValueError(f"no price file of {chain} in {inputs.price_paths[chain]}")
+        parts.append(files.read_price_files(spark, paths, chain, run_date))
     return consolidate.catalog(reduce(DataFrame.unionByName, parts))
 
 
 def daily_stores(spark: SparkSession, inputs: DailyInputs, run_date: str) -> DataFrame:
     """The day's stores of all chains with coordinates."""
-    rows = {chain: files.read_store_files(spark, inputs.store_paths[chain], chain) for chain in constants.CHAINS}
+    rows = {
+        chain: files.read_store_files(spark, files.newest_store_files(spark, inputs.store_paths[chain]), chain)
+        for chain in constants.CHAINS
+    }
     union = stores.apply_allowlist(stores.stores_union(rows), inputs.allowed)
     return stores.geocode(union, inputs.gazetteer).withColumn("pulling_date", F.lit(run_date).cast("date"))
 

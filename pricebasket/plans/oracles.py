@@ -258,9 +258,10 @@ ORACLES: dict[str, str] = {
     "xml_price_scan": f"""WITH {OBS} SELECT chain, chain_rank, {_case('chain', constants.CHAIN_IDS)} AS chain_id, store_id,
         item_code, item_name, price, pulling_date AS price_update_date, DATE '2023-01-01' AS pulling_date FROM obs""",
     "xml_store_scan": f"WITH {STORE_DIM} {STORES}",
-    "html_links": """SELECT page_id, CAST(unnest(range(len(hrefs))) AS INTEGER) AS pos, unnest(hrefs) AS href,
-        contains(unnest(hrefs), 'the') AS wanted
-        FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs FROM pages)""",
+    "html_links": """SELECT page_id, CAST(pos AS INTEGER) AS pos, href, contains(href, 'the') AS wanted FROM (
+        SELECT page_id, unnest(range(len(pieces) - 1)) AS pos,
+          unnest(list_transform(pieces[2:], lambda piece: replace(split_part(piece, '"', 1), '&amp;', '&'))) AS href
+        FROM (SELECT page_id, string_split(html, '<a href="') AS pieces FROM pages))""",
     "daily_json_scan": f"WITH {MONTHLY} SELECT snapshot AS pulling_date, {LONG} FROM cat",
     "scan_head": "SELECT event_id, user_id, event_type FROM events ORDER BY ts, event_id LIMIT 10",
     "snapshot_roundtrip": f"WITH {MONTHLY} SELECT snapshot AS pulling_date, {LONG} FROM cat",
@@ -373,6 +374,11 @@ ORACLES: dict[str, str] = {
     "stream_enrich": f"""WITH {SENTIMENT} SELECT CAST(doc_id AS VARCHAR) AS tweet_id, 'user ' || (doc_id % 1000) AS name,
         CAST(len(string_split(text, ' ')) AS INTEGER) AS wordCount, sentiment, true AS hour_fits
         FROM documents JOIN sentiments USING (doc_id)""",
+    "stream_products": f"WITH {ALL_DATES} SELECT {LONG} FROM cat",
+    "stream_stores": f"""WITH {STORE_DIM} SELECT s_name AS "StoreName", n_name AS "City", store_id,
+        {_case('chain', constants.CHAIN_IDS)} AS "ChainId", {_case('chain', constants.CHAIN_NAMES)} AS "ChainName",
+        '2023-01-01' AS pulling_date, CASE WHEN s_suppkey % 6 <> 5 THEN {_lat('s_suppkey')} END AS "Latitude",
+        CASE WHEN s_suppkey % 6 <> 5 THEN {_lon('s_suppkey')} END AS "Longitude" FROM store_dim""",
     "stream_insert_if_absent": """SELECT user_id, event_id, event_type, value FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events) WHERE place = 1""",
 }

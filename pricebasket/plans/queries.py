@@ -482,6 +482,28 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published products as messages, read back by a stream into one row per price."""
+    nested = consolidate.nest_prices(_current_prices(spark, sf_dir))
+    inbox, path = new_dir(spark, "product-messages"), new_dir(spark, "streamed-products")
+    files.json_messages(nested).write.parquet(inbox)
+    messages = jobs.parse_messages(jobs.table_source(spark, inbox), schemas.PRODUCT_MESSAGE)
+    _finish(jobs.append_table(consolidate.flatten_prices(messages), path, new_dir(spark, "products-log")))
+    return _stored(spark, path).select(*LONG)
+
+
+@query
+def stream_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published stores as messages, read back by a stream under the fields of the message."""
+    shops = tables.stores(spark, sf_dir).join(tables.store_dim(spark, sf_dir).select("chain", "store_id", "n_name"), ["chain", "store_id"])
+    inbox, path = new_dir(spark, "store-messages"), new_dir(spark, "streamed-stores")
+    files.json_messages(stores.store_messages(shops.withColumnRenamed("n_name", "city"), RUN_DATE)).write.parquet(inbox)
+    rows = jobs.parse_messages(jobs.table_source(spark, inbox), schemas.STORE_MESSAGE)
+    _finish(jobs.append_table(rows, path, new_dir(spark, "stores-log")))
+    return _stored(spark, path).drop("Address")
+
+
 @query
 def stream_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "first-events")

@@ -32,7 +32,8 @@ ITEM_FIELDS = "ItemCode STRING, ItemName STRING, ItemPrice STRING, PriceUpdateDa
 def price_file_paths(spark: SparkSession, folder: str, allowed: list[str] | None = None) -> list[str]:
     """Paths to read for a day: the newest full price file of each store, of allowed stores if given.
 
-    Only the listing is looked at. The result holds one path per store.
+    Only the listing is looked at. The result holds one path per store; `1` and `001` are one
+    store, and of files with one stamp the last by path is taken.
     """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
@@ -42,7 +43,8 @@ def price_file_paths(spark: SparkSession, folder: str, allowed: list[str] | None
     )
     if allowed is not None:
         listing = listing.filter(text.zero_padded(F.col("parsed.store_id")).isin(allowed))
-    newest = listing.groupBy("parsed.chain_id", "parsed.store_id").agg(F.max_by("path", "parsed.stamp").alias("path"))
+    store = text.zero_padded(F.col("parsed.store_id"))
+    newest = listing.groupBy("parsed.chain_id", store).agg(F.max_by("path", F.struct("parsed.stamp", "path")).alias("path"))
     return sorted(row["path"] for row in newest.collect())
 
 
@@ -51,8 +53,9 @@ def read_price_files(spark: SparkSession, path: str | list[str], chain: str, pul
 
     Every repeated item element is a row, so a file is streamed and never held whole, and a
     file with one item needs no care. Only the four used elements are parsed. Chain and store
-    come from the file's name, ``PriceFull<chain>-<store>-<stamp>``. ``seq`` is the place of the
-    item: file, then order within it.
+    come from the file's name, ``PriceFull<chain>-<store>-<stamp>``; a file of another name ends
+    the job, as its rows would belong to no store. ``seq`` is the place of the item: file, then
+    order within it.
     """
     items = (
         spark.read.format("xml")
@@ -63,7 +66,10 @@ def read_price_files(spark: SparkSession, path: str | list[str], chain: str, pul
         .select("*", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("place"))
     )
     name = parse_file_name(F.regexp_extract("file_path", r"PriceFull\d+-\d+-\d+", 0))
-    return items.withColumn("file", name).select(
+    unknown = F.raise_error(F.concat(F.lit("no price file's name: "), F.col("file_path")))
+    return items.withColumn("file", name).withColumn(
+        "file", F.when(F.col("file.store_id") != "", F.col("file")).otherwise(unknown.cast(items.select(name.alias("n")).schema["n"].dataType))
+    ).select(
         F.lit(chain).alias("chain"),
         F.lit(constants.CHAINS.index(chain)).alias("chain_rank"),
         F.col("file.chain_id").alias("chain_id"),
@@ -84,7 +90,18 @@ def missing_stores(obs: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
-def read_store_files(spark: SparkSession, path: str, chain: str) -> DataFrame:
+def newest_store_files(spark: SparkSession, folder: str) -> list[str]:
+    """The newest ``Stores<chain>-<number>-<stamp>`` file of each chain in a folder; the folder if it has none such."""
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        .select("path", parse_file_name(F.regexp_extract("path", r"Stores[A-Za-z]*\d+-\d+-\d+", 0)).alias("parsed"))
+        .filter(F.col("parsed.stamp") != "")
+    )
+    newest = listing.groupBy("parsed.chain_id").agg(F.max_by("path", F.struct("parsed.stamp", "path")).alias("path"))
+    return sorted(row["path"] for row in newest.collect()) or [folder]
+
+
+def read_store_files(spark: SparkSession, path: str | list[str], chain: str) -> DataFrame:
     """One chain's store rows under the file's own column names."""
     row_tag, encoding = STORE_TAGS[chain]
     return (
@@ -143,11 +160,18 @@ def write_snapshot(rows: DataFrame, path: str, fmt: str = "parquet", day: str =
 def publish_current(rows: DataFrame, name: str, path: str) -> DataFrame:
     """Full refresh of a current table: write a fresh version at ``path``, then point ``name`` at it.
 
+    ``name`` is a table of the catalogue, which all sessions see; its location moves in one step.
     Readers see the old version until the new one is complete, never an empty table.
     """
     spark = rows.sparkSession
     rows.write.parquet(path)
-    spark.read.schema(rows.schema).parquet(path).createOrReplaceTempView(name)
+    if spark.catalog.tableExists(name) and spark.table(name).schema.names != rows.schema.names:
+        spark.sql(f"DROP TABLE {name}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=path, source="parquet", schema=rows.schema)
     return spark.table(name)
 
 
@@ -164,9 +188,23 @@ def send_messages(messages: DataFrame, servers: str, topic: str | None = None) -
     writer.save()
 
 
+# Character references that targets hold; the ampersand last, so that no text is decoded twice.
+REFERENCES = {"&quot;": '"', "&#39;": "'", "&apos;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+
+
 def links(html: Column) -> Column:
-    """Targets of a page's anchors, in order."""
-    return F.regexp_extract_all(html, F.lit(r'<a href="([^"]*)"'), F.lit(1))
+    """Targets of a page's anchors, in order, whatever the case, order and quotes of their attributes."""
+    quoted = r"""[^>"']++|"[^"]*+"|'[^']*+'"""
+    anchors = F.regexp_extract_all(html, F.lit(rf"(?is)<a(?=\s)((?:{quoted})*+)>"), F.lit(1))
+    target = r"""(?is)^(?:[^"'\s]++|\s++(?!href\s*=)|"[^"]*+"|'[^']*+')*+\s*href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+    def decoded(attributes: Column) -> Column:
+        value = F.concat(*(F.regexp_extract(attributes, target, group) for group in (1, 2, 3)))
+        for reference, character in REFERENCES.items():
+            value = F.replace(value, F.lit(reference), F.lit(character))
+        return value
+
+    return F.transform(F.filter(anchors, lambda attributes: attributes.rlike(target)), decoded)
 
 
 def listing_links(pages: DataFrame, wanted: str = "PriceFull") -> DataFrame:
@@ -178,5 +216,5 @@ def listing_links(pages: DataFrame, wanted: str = "PriceFull") -> DataFrame:
 
 def last_page(html: Column) -> Column:
     """Number of the last listing page: the tail of the ``>>`` anchor's target; null without one."""
-    number = F.regexp_extract(html, r'<a [^>]*href="[^"]*=(\d+)"[^>]*>\s*(?:>>|&gt;&gt;)', 1)
+    number = F.regexp_extract(html, r"""(?i)<a\s[^>]*href\s*=\s*["']?[^"'>]*=(\d+)["']?[^>]*>\s*(?:>>|&gt;&gt;)""", 1)
     return number.try_cast("int")

@@ -125,10 +125,39 @@ def test_listing_pages(spark):
     html = '<a href="/f/PriceFull729-001-2023.gz?x=1">d</a> <a href="/o">o</a> <a data-x="1" href="/FileObject?catID=2&page=17">&gt;&gt;</a>'
     pages = spark.createDataFrame([(1, html), (2, "none")], "page_id INT, html STRING")
     got = files.listing_links(pages).collect()
-    assert [(r["pos"], r["href"], r["wanted"]) for r in got] == [(0, "/f/PriceFull729-001-2023.gz?x=1", True), (1, "/o", False)]
+    assert [(r["pos"], r["href"], r["wanted"]) for r in got] == [
+        (0, "/f/PriceFull729-001-2023.gz?x=1", True), (1, "/o", False), (2, "/FileObject?catID=2&page=17", False)]
     assert [r[0] for r in pages.orderBy("page_id").select(files.last_page(F.col("html"))).collect()] == [17, None]
 
 
+@pytest.mark.parametrize("anchor, href", [
+    ('<a target="_blank" href="/x">', "/x"), ("<A HREF=/y class=c>", "/y"), ("<a href='/z?a=1&amp;b=&quot;2&quot;'>", '/z?a=1&b="2"'),
+    ("<a\n  data-href='/no' title=\" href='/never'\"\n  href = \"/yes\">", "/yes"), ('<a href="">', ""),
+    ('<a name="x">', None), ('<abbr href="/no">', None), ('<a title="a>b" href="/gt">', "/gt")])
+def test_anchors_of_all_kinds(spark, anchor, href):
+    pages = spark.createDataFrame([(1, f"<p>{anchor}t</a>")], "page_id INT, html STRING")
+    assert [r["href"] for r in files.listing_links(pages).collect()] == ([] if href is None else [href])
+
+
+def test_one_row_per_store(spark):
+    rows = spark.createDataFrame([("2", "b", "x", "y"), ("002", "a", "x", "y"), ("3", "c", "x", "y")], "StoreID STRING, StoreName STRING, Address STRING, City STRING")
+    got = stores.stores_union({"victory": rows}).collect()
+    assert sorted((r["store_id"], r["store_name"]) for r in got) == [("002", "a"), ("003", "c")]
+
+
+def test_other_sessions_see_the_current_table(spark, tmp_path):
+    files.publish_current(spark.range(3), "shared_numbers", str(tmp_path / "v1"))
+    files.publish_current(spark.range(5), "shared_numbers", str(tmp_path / "v2"))
+    assert spark.newSession().table("shared_numbers").count() == 5
+    spark.sql("DROP TABLE shared_numbers")
+
+
+def test_duplicate_addresses_multiply_nothing(spark):
+    rows = spark.createDataFrame([("a", "b")], "address STRING, city STRING")
+    known = spark.createDataFrame([("a, b", 2.0, 1.0), ("a, b", 1.0, 9.0)], "full_address STRING, latitude DOUBLE, longitude DOUBLE")
+    assert [(r["latitude"], r["longitude"]) for r in stores.geocode(rows, known).collect()] == [(1.0, 9.0)]
+
+
 def test_newest_file_per_store(spark):
     names = ["PriceFull729-001-202301010300.gz", "PriceFull729-001-202301020300.gz", "PriceFull729-1234-2022.gz", "Stores729-000-2021.xml"]
     got = stores.latest_file(spark.createDataFrame([(n,) for n in names], "file_name STRING"))
