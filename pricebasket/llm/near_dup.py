@@ -22,8 +22,10 @@ from pricebasket.session import stage
 
 ROWS, BANDS = 2, 12
 HASHES = 2 * ROWS * BANDS
-#: Members of a table entry that are compared with all others of it at first.
-HEADS = 2
+#: The first members of a table entry, and the members that are compared with those at first.
+HEADS, NEAR = 2, 32
+#: The tables are gone through again in so many parts, until so many parts in a row bring no link.
+PARTS, QUIET = 8, 8
 #: Of 48 minhashes, a pair of similarity 0.8 shares fewer than these once in 10**8 pairs.
 AGREE = 22
 _rng = np.random.default_rng(80_02)
@@ -73,12 +75,12 @@ def _signed(texts: list[str | None], size: int) -> dict:
     return {"n_shingles": n, "node": digest[0].view(np.int64), "check": digest[1].view(np.int64), "sig": [row.tobytes() for row in least]}
 
 
-def _tables(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFrame]:
+def _tables(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (key, x) of all tables for each class, and the number by which they are dealt.
 
-    Where more than ``heads`` members of one entry meet in a block, those past the first ``heads`` are dealt
-    apart from it: each is a candidate with the first of them, (key, x, y). So a frequent entry sends few
-    rows per block to its place. The others then carry themselves as y.
+    Where more than ``NEAR`` members of one entry meet in a block, those past the first ``NEAR`` are dealt
+    apart from it, so that a frequent entry sends few rows per block to its place. All members of
+    such an entry carry themselves as y.
     """
     for batch in parts:
         for at in range(0, len(batch), 4096):
@@ -93,11 +95,9 @@ def _tables(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFrame]
             order = np.lexsort((node ^ key.view(np.int64), key))
             key, node = key[order].view(np.int64), node[order]
             place, start = _places(key)
-            far = place >= heads
-            full = np.bincount(start, minlength=key.size)[start] > heads
+            full = np.bincount(start, minlength=key.size)[start] > NEAR
             yield pd.DataFrame({
-                "key": key, "x": node, "y": pd.arrays.IntegerArray(np.where(far, node[start], node), ~full),
-                "deal": np.where(far, node, key)})
+                "key": key, "x": node, "y": pd.arrays.IntegerArray(node, ~full), "deal": np.where(place >= NEAR, node, key)})
 
 
 def _places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,10 +116,8 @@ def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFr
     """
     open_key, open_nodes, seen = None, np.zeros(0, np.int64), 0
     for batch in parts:
-        full = batch["y"].notna().to_numpy()
-        done = full & (batch["y"].fillna(0).to_numpy(np.int64) != batch["x"].to_numpy())
-        early, known = batch[done], batch[full]
-        key, node = batch["key"].to_numpy()[~done], batch["x"].to_numpy()[~done]
+        known = batch[batch["y"].notna()]
+        key, node = batch["key"].to_numpy(), batch["x"].to_numpy()
         if key.size and open_key == key[0]:
             before, skip = seen, open_nodes.size
             key = np.concatenate([np.full(skip, open_key), key])
@@ -130,9 +128,9 @@ def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFr
         fresh = np.arange(key.size) >= skip
         # The carried rows stand for ``before`` rows; later ones of the run come after those.
         place = np.where((start == 0) & fresh, place - skip + before, place) if skip else place
-        x, y = [early["y"].to_numpy(np.int64)], [early["x"].to_numpy(np.int64)]
+        x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k in range(heads):
-            rows = np.flatnonzero(fresh & (place > k))
+            rows = np.flatnonzero(fresh & (place > k) & (place < NEAR))
             x.append(node[start[rows] + k])
             y.append(node[rows])
         x, y = np.concatenate(x), np.concatenate(y)
@@ -172,36 +170,57 @@ def _similar(size: int, percent: int):
     return test
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (x, y) of nodes whose sets are similar: by size, then by minhashes, then on the full sets."""
-    def side(name: str) -> DataFrame:
-        return classes.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("sig").alias(f"s{name}"))
+class Verifier:
+    """Confirms pairs (x, y) of classes: by size, by minhashes, then on the full sets of their texts.
 
-    def agree(one: list[bytes], other: list[bytes]) -> dict:
-        a, b = (np.frombuffer(b"".join(each), "<u4").reshape(-1, HASHES) for each in (one, other))
-        return {"same": (a == b).sum(axis=1)}
+    Texts are fetched once, when a class first takes part in a likely pair: late pairs are mostly of known
+    classes, and then no text is shuffled by document again.
+    """
 
-    sized = pairs.distinct().join(side("x"), "x").join(side("y"), "y").filter(
-        100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    likely = stage(batches.with_columns(sized.select("x", "y", "sx", "sy"), ["sx", "sy"], agree, "same long", ("sx", "sy")).filter(
-        F.col("same") >= AGREE).select("x", "y"), "likely")
-    need = likely.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(classes.select("node", "doc_id", "h"), "node")
-    texts = stage(
-        docs.join(need, docs["doc_id"].eqNullSafe(need["doc_id"]) & (docs["h"] == need["h"])).select("node", "text")
-        .groupBy("node").agg(F.first("text").alias("text")), "texts")
-    x, y = (texts.select(F.col("node").alias(name), F.col("text").alias(f"t{name}")) for name in "xy")
-    both = likely.join(x, "x").join(y, "y")
-    return batches.with_columns(both, ["tx", "ty"], _similar(size, percent), "linked boolean", ("tx", "ty")).filter("linked").select("x", "y")
+    def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int):
+        self.classes, self.docs, self.size, self.percent = classes, docs, size, percent
+        self.texts: DataFrame | None = None
+
+    def _side(self, name: str) -> DataFrame:
+        return self.classes.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("sig").alias(f"s{name}"))
+
+    def _fetch(self, likely: DataFrame) -> DataFrame:
+        need = likely.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+        if self.texts is not None:
+            need = need.join(self.texts.select("node"), "node", "left_anti")
+        need = stage(need.join(self.classes.select("node", "doc_id", "h"), "node"), "need")
+        docs = self.docs
+        found = stage(
+            docs.join(need, docs["doc_id"].eqNullSafe(need["doc_id"]) & (docs["h"] == need["h"])).select("node", "text")
+            .groupBy("node").agg(F.first("text").alias("text")), "texts")
+        self.texts = found if self.texts is None else self.texts.unionByName(found)
+        return self.texts
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        def agree(one: list[bytes], other: list[bytes]) -> dict:
+            a, b = (np.frombuffer(b"".join(each), "<u4").reshape(-1, HASHES) for each in (one, other))
+            return {"same": (a == b).sum(axis=1)}
+
+        sized = pairs.join(self._side("x"), "x").join(self._side("y"), "y").filter(
+            100 * F.least("nx", "ny") >= self.percent * F.greatest("nx", "ny"))
+        likely = stage(batches.with_columns(sized.select("x", "y", "sx", "sy"), ["sx", "sy"], agree, "same long", ("sx", "sy")).filter(
+            F.col("same") >= AGREE).select("x", "y"), "likely")
+        texts = self._fetch(likely)
+        x, y = (texts.select(F.col("node").alias(name), F.col("text").alias(f"t{name}")) for name in "xy")
+        both = likely.join(x, "x").join(y, "y")
+        return batches.with_columns(
+            both, ["tx", "ty"], _similar(self.size, self.percent), "linked boolean", ("tx", "ty")).filter("linked").select("x", "y")
 
 
 def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) -> DataFrame:
     """(doc_id, h, n_shingles, root) of all rows; ``h`` is the text's xxhash64, ``root`` names the group of links.
 
     Equal sets are one class first (a map-side sum, so thousands of copies are one row). Table entries
-    send a few rows per block of classes. In an entry, the first ``heads`` classes are compared with all
-    others; entries with more classes are gone through again as long as they join different
-    components, each time with another class compared with all those outside its component, until
-    a round finds no link (``rounds`` at most). So no entry, however large, has all its pairs formed.
+    send a few rows per block of classes. In an entry, the first ``heads`` classes are compared with some
+    others; entries with more classes are gone through again, part of the tables by part, as long as
+    they join different components: each time another class is compared with all those outside
+    its component, until ``QUIET`` parts in a row bring no link (``rounds`` passes over all at most). So
+    no entry, however large, has all its pairs formed.
     """
     raw = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     rows = raw.withColumn("h", F.xxhash64("text"))
@@ -213,32 +232,35 @@ def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) ->
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     triple = "key long, x long, y long"
     found = stage(
-        classes.select("node", "sig").mapInPandas(lambda some: _tables(some, heads), f"{triple}, deal long")
+        classes.select("node", "sig").mapInPandas(_tables, f"{triple}, deal long")
         .repartition(parts, "deal").drop("deal").sortWithinPartitions("key", F.col("x").bitwiseXOR(F.col("key")))
         .mapInPandas(lambda some: _candidates(some, heads), triple), "candidates")
     tested = stage(found.filter("key is null").select("x", "y").distinct(), "pairs")
-    roots = components(_verified(tested, classes, rows, size, percent))
-    large = found.filter("y is null").select("key", F.col("x").alias("node")).distinct()
-    for turn in range(rounds):
-        named = large.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        heads = named.groupBy("key").agg(
+    verifier = Verifier(classes, rows, size, percent)
+    roots = components(verifier.linked(tested))
+    large = stage(found.filter("y is null").select("key", F.col("x").alias("node")).distinct(), "large")
+    quiet = 0
+    for turn in range(rounds * PARTS):
+        named = large.filter(F.pmod("key", F.lit(PARTS)) == turn % PARTS).join(roots, "node", "left").select(
+            "key", "node", F.coalesce("root", "node").alias("root"))
+        heads_ = named.groupBy("key").agg(
             F.min_by(F.struct("node", "root"), F.xxhash64("node", "key", F.lit(turn))).alias("head"),
             F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key", "head")
-        more = named.join(heads, "key").filter("root <> head.root").select(
+        more = named.join(heads_, "key").filter("root <> head.root").select(
             F.least("node", "head.node").alias("x"), F.greatest("node", "head.node").alias("y")).distinct()
         more = stage(more.join(tested, ["x", "y"], "left_anti"), "pairs")
-        if more.isEmpty():
-            break
-        new = stage(_verified(more, classes, rows, size, percent), "links")
+        new = stage(verifier.linked(more), "links")
         tested = tested.unionByName(more)
-        if new.isEmpty():
+        quiet = quiet + 1 if new.isEmpty() else 0
+        if quiet == QUIET:
             break
-        roots = joined(roots, new)
+        if not quiet:
+            roots = joined(roots, new)
     return measured.join(roots, "node", "left").select(
         "doc_id", "h", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).alias("root"))
 
 
-def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, rounds: int = 6, heads: int = HEADS) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, rounds: int = 12, heads: int = HEADS) -> DataFrame:
     """Link all ``docs`` (doc_id, text) whose shingle sets have 100 * intersection >= percent * union.
 
     Words are lower-cased (A-Z) and split at blanks; shingles have ``size`` words. Result, one row per input
@@ -254,7 +276,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, rounds: i
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = 6, heads: int = HEADS) -> DataFrame:
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = 12, heads: int = HEADS) -> DataFrame:
     """The rows of ``docs`` that stay when each group of near-duplicates keeps one: that of the least doc_id.
 
     A row without words is a group of its own. Rows equal in doc_id and text are one document, of which

@@ -84,10 +84,10 @@ def test_large_entries_are_gone_through_again(spark):
 
 
 def test_runs_across_batches():
-    rows = sorted((k, n) for k, size in ((1, 30), (2, 2), (3, 1), (4, 12)) for n in range(k * 100, k * 100 + size))
+    rows = sorted((k, n) for k, size in ((1, 40), (2, 2), (3, 1), (4, 12)) for n in range(k * 100, k * 100 + size))
     whole = pd.DataFrame({"key": [k for k, _ in rows], "x": [n for _, n in rows], "y": pd.array([None] * len(rows), "Int64")})
     heads = 8
-    expected = {(a, b) for k, a in rows for j, b in rows if k == j and a < b and a < k * 100 + heads}
+    expected = {(a, b) for k, a in rows for j, b in rows if k == j and a < b < k * 100 + near_dup.NEAR and a < k * 100 + heads}
     for step in (1, 3, 7, 100):
         parts = [whole.iloc[i : i + step].reset_index(drop=True) for i in range(0, len(whole), step)]
         out = pd.concat(list(near_dup._candidates(iter(parts), heads)))
