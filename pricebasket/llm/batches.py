@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Characters of text handled at once.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 
 def with_columns(rows: DataFrame, reads: list[str], compute: Callable[..., dict], schema: str, drop: tuple[str, ...] = ()) -> DataFrame:

@@ -83,8 +83,8 @@ def _tables(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     such an entry carry themselves as y.
     """
     for batch in parts:
-        for at in range(0, len(batch), 4096):
-            part = batch.iloc[at : at + 4096]
+        for at in range(0, len(batch), 1024):
+            part = batch.iloc[at : at + 1024]
             sig = np.frombuffer(b"".join(part["sig"]), "<u4").reshape(len(part), 2, BANDS, ROWS).astype(np.uint64)
             band = np.zeros(sig.shape[:3], np.uint64)
             for row in range(ROWS):

@@ -129,9 +129,10 @@ def write(
         shard, at = TaskContext.get().partitionId(), 0
         with files.writer(f"{folder}/ids-{shard}.bin") as out:
             for batch in batches:
-                found = list(tokens.encoded(tokenizer, batch["text"].tolist(), end))
-                sizes = np.array([each.size for each in found], np.int64)
-                out.write(b"".join(each.tobytes() for each in found))
+                sizes = np.zeros(len(batch), np.int64)
+                for row, ids in enumerate(tokens.encoded(tokenizer, batch["text"].tolist(), end)):
+                    out.write(ids.tobytes())
+                    sizes[row] = ids.size
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].astype("Int64"), "shard": shard,
                     "offset": at + np.cumsum(sizes) - sizes, "n_tokens": sizes,

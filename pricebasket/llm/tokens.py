@@ -13,7 +13,7 @@ from pricebasket.llm.words import Words
 
 
 #: Texts encoded at once.
-BATCH = 1024
+BATCH = 256
 
 
 def default_path() -> str:
@@ -31,7 +31,7 @@ class Encoder:
     stand are encoded in one go.
     """
 
-    def __init__(self, path: str, keep: int = 1_500_000):
+    def __init__(self, path: str, keep: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
