@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricebasket.llm import files, hash_arrays, kneser_ney
+from pricebasket.llm.batches import released
 from pricebasket.llm.words import Words, pair
 from pricebasket.session import new_dir
 
@@ -148,10 +149,10 @@ def train(docs: DataFrame, folder: str) -> None:
     def with_empty(rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
         return rows.unionByName(empty.withColumns({name: F.lit(bytearray()) for name in kinds}))
 
-    pairs = with_empty(docs.select("text").mapInPandas(count, _schema(PAIRS)), PAIRS)
+    pairs = with_empty(docs.select("text").mapInPandas(released(count), _schema(PAIRS)), PAIRS)
     by_shard = pairs.repartition(shards, "shard").sortWithinPartitions("shard")
     singles_at = f"{folder}/singles"
-    by_shard.mapInPandas(merge, _schema(SINGLE) + ", k1 long, k2 long, k3 long, k4 long").write.parquet(singles_at)
+    by_shard.mapInPandas(released(merge), _schema(SINGLE) + ", k1 long, k2 long, k3 long, k4 long").write.parquet(singles_at)
     singles = spark.read.parquet(singles_at)
     classes = singles.agg(*(F.sum(f"k{i}") for i in (1, 2, 3, 4))).first()
     upper = kneser_ney.discounts([int(n or 0) for n in classes])
@@ -173,7 +174,7 @@ def train(docs: DataFrame, folder: str) -> None:
 
     sums = (
         with_empty(singles.select("shard", *SINGLE), SINGLE).repartition(shards, "shard").sortWithinPartitions("shard")
-        .mapInPandas(words, "a long, b long, c long, d long, e long, f long, g long, h long")
+        .mapInPandas(released(words), "a long, b long, c long, d long, e long, f long, g long, h long")
         .agg(*(F.sum(name) for name in "abcdefgh")).first()
     )
     tokens, types, continuations, followed, *once = (int(n or 0) for n in sums)
@@ -282,4 +283,4 @@ def score(docs: DataFrame) -> DataFrame:
                     "train_tokens": model.about["tokens"], **model.score(part["text"].tolist()),
                 })[["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]]
 
-    return rows.withColumn("held_out", held_out(F.col("doc_id"))).mapInPandas(scored, SCORED)
+    return rows.withColumn("held_out", held_out(F.col("doc_id"))).mapInPandas(released(scored), SCORED)

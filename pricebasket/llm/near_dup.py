@@ -232,9 +232,9 @@ def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) ->
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     triple = "key long, x long, y long"
     found = stage(
-        classes.select("node", "sig").mapInPandas(_tables, f"{triple}, deal long")
+        classes.select("node", "sig").mapInPandas(batches.released(_tables), f"{triple}, deal long")
         .repartition(parts, "deal").drop("deal").sortWithinPartitions("key", F.col("x").bitwiseXOR(F.col("key")))
-        .mapInPandas(lambda some: _candidates(some, heads), triple), "candidates")
+        .mapInPandas(batches.released(lambda some: _candidates(some, heads)), triple), "candidates")
     tested = stage(found.filter("key is null").select("x", "y").distinct(), "pairs")
     verifier = Verifier(classes, rows, size, percent)
     roots = components(verifier.linked(tested))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebasket.llm import tokens
+from pricebasket.llm.batches import released
 from pricebasket.session import stage
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -71,7 +72,7 @@ def cut(docs: DataFrame, capacity: int, end: int, tokenizer: str) -> DataFrame:
             frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
             yield frame.astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(pieces, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(released(pieces), PIECES)
 
 
 def pack(
@@ -115,7 +116,7 @@ def pack(
         .repartition(groups, "grp")
         .sortWithinPartitions("grp", "piece")
     )
-    placed = stage(dealt.mapInPandas(place, PACKED), "packed")
+    placed = stage(dealt.mapInPandas(released(place), PACKED), "packed")
     return _numbered(placed).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

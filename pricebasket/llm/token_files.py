@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricebasket.llm import files, tokens
+from pricebasket.llm.batches import released
 from pricebasket.session import new_dir, stage
 
 SPOTS = "doc_id long, shard int, offset long, n_tokens long"
@@ -141,7 +142,7 @@ def write(
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("tie", F.xxhash64("text"))
     ranged = rows.repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
-    spots = stage(ranged.mapInPandas(encode, SPOTS), "spots")
+    spots = stage(ranged.mapInPandas(released(encode), SPOTS), "spots")
 
     # One row per shard comes to the driver.
     held = sorted((r["shard"], r["ids"], r["docs"]) for r in spots.groupBy("shard").agg(

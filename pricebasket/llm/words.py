@@ -15,7 +15,7 @@ ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-_STEP = 1 << 22
+_STEP = 1 << 18
 
 
 def finalize(x: np.ndarray) -> np.ndarray:
@@ -79,7 +79,7 @@ class Words:
         self.last = np.where(head, last - 1, last)
 
     def _hash(self) -> np.ndarray:
-        """Over blocks of some megabytes that end between words, to bound the memory."""
+        """Over blocks that end between words, so that their tables of powers stay small."""
         found, at = [], 0
         while at < self.first.size:
             start = int(self.first[at])
