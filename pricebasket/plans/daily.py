@@ -72,7 +72,6 @@ def run_day(spark: SparkSession, inputs: DailyInputs, run_date: str, out: str) -
 class CartAnswers:
     items: DataFrame
     status: DataFrame
-    nearest: DataFrame
     best: DataFrame
     summary: DataFrame
 
@@ -87,10 +86,11 @@ def answer_messages(messages: DataFrame, prices: DataFrame, shops: DataFrame) ->
     items = stage(basket.match_products(basket.parse_carts(messages), products), "cart-items")
     complete = basket.complete_items(items)
     users = messages.select("cart_id", "user_lat", "user_lon")
-    totals, nearest, best = basket.answer_carts(complete, users, shops, prices)
-    status = basket.cart_status(items, totals)
+    carts = stage(basket.cart_products(complete), "carts")
+    best = basket.cheapest_near(basket.basket_cost(carts, prices), users, shops)
+    status = basket.cart_status(items, basket.served_carts(carts, prices))
     served = status.filter("status = 'ok'").select("cart_id")
-    return CartAnswers(items, status, nearest, best, basket.cart_summary(items.join(served, "cart_id", "left_semi")))
+    return CartAnswers(items, status, best, basket.cart_summary(items.join(served, "cart_id", "left_semi")))
 
 
 def request_messages(answers: CartAnswers, messages: DataFrame) -> DataFrame:

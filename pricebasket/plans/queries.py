@@ -388,9 +388,7 @@ def nearest_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def best_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = stage(_order_totals(spark, sf_dir), "totals")
-    nearest = basket.nearest_stores(totals, tables.order_users(spark, sf_dir), tables.stores(spark, sf_dir))
-    return basket.best_store(totals, nearest)
+    return basket.cheapest_near(_order_totals(spark, sf_dir), tables.order_users(spark, sf_dir), tables.stores(spark, sf_dir))
 
 
 @query

@@ -99,12 +99,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(staged: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Mark a staged table of narrow rows for broadcast, if a count shows it is small.
+#: Bytes of Parquet, compressed, that a broadcast table may have.
+BROADCAST_BYTES = 16 << 20
 
-    Past the bound it is left to Spark's shuffle joins. The count reads only file footers.
+
+def stored_bytes(staged: DataFrame) -> int:
+    """The size of a staged table's files, from a listing."""
+    paths = staged.inputFiles()
+    if not paths:
+        return 0
+    listing = staged.sparkSession.read.format("binaryFile").load(paths)
+    return listing.agg(F.sum("length")).first()[0] or 0
+
+
+def broadcast_if_small(staged: DataFrame, max_rows: int = 1_000_000, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a staged table for broadcast, if its files and its number of rows show that it is small.
+
+    Past either bound it is left to Spark's shuffle joins. Only file footers and a listing are read.
     """
-    return F.broadcast(staged) if staged.count() <= max_rows else staged
+    return F.broadcast(staged) if stored_bytes(staged) <= max_bytes and staged.count() <= max_rows else staged
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -36,15 +36,20 @@ def test_top_k_and_per_group_limits(spark, sf_dir):
 
 
 def test_coverage_does_not_shuffle_after_the_fan_out(spark):
-    offers = spark.createDataFrame([("p", 7)], "name STRING, slot LONG")
-    carts = basket.cart_products(spark.createDataFrame([(1, "p", Decimal(1))], "cart_id INT, name STRING, quantity DECIMAL(12,3)"))
-    covering = basket.covering_slots(carts, offers)
-    assert [tuple(row) for row in covering.collect()] == [(1, 7)]
+    offers = spark.createDataFrame([("p", 7, Decimal(3))], "name STRING, slot LONG, price DECIMAL(12,2)")
+    carts = basket.cart_products(spark.createDataFrame([(1, "p", Decimal(1))], "cart_id INT, name STRING, quantity DECIMAL(14,6)"))
+    covering = basket.common_words(carts, basket.product_words(offers))
+    assert [tuple(row) for row in covering.collect()] == [(1, 0, 1 << 7)]
     shuffles = [line for line in plan(covering).split("\n") if "hashpartitioning" in line]
     assert any("hashpartitioning(cart_id" in line for line in shuffles)
     assert not any("word" in line for line in shuffles)
 
 
+def test_baskets_are_priced_without_dealing_rows_by_store(spark, sf_dir):
+    text = plan(QUERIES["basket_cost"](spark, sf_dir))
+    assert not any("hashpartitioning" in line and "slot" in line for line in text.split("\n"))
+
+
 N = 30_000
 
 
