@@ -307,6 +307,8 @@ ORACLES: dict[str, str] = {
     "obs_store_join": f"""WITH {OBS}, shops AS ({STORES})
         SELECT chain, store_id, item_code, item_name, price, pulling_date, chain_id, chain_name, store_name, address, city
         FROM obs JOIN shops USING (chain, store_id)""",
+    "missing_stores": f"""WITH {STORE_DIM} SELECT chain, store_id FROM store_dim
+        WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem)""",
     "store_lookup": f"""WITH {STORE_DIM}, candidates AS (
           SELECT {_padded('s_suppkey')} AS store_id,
             CASE s_nationkey % 3 WHEN 0 THEN 'victory' WHEN 1 THEN 'shufersal' ELSE 'ramilevi' END AS chain FROM supplier)

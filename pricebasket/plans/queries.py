@@ -74,11 +74,10 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
 # ---- scans ------------------------------------------------------------------------------
 
 
-def _write_price_files(spark: SparkSession, sf_dir: str, chain: str, path: str) -> None:
+def _write_price_files(observations: DataFrame, chain: str, path: str) -> None:
     name = F.concat_ws("-", F.concat(F.lit("PriceFull" + constants.CHAIN_IDS[chain])), "store_id", F.lit(STAMP))
     rows = (
-        tables.raw_observations(spark, sf_dir)
-        .filter(F.col("chain") == chain)
+        observations.filter(F.col("chain") == chain)
         .select(
             name.alias("file"),
             F.date_format("l_shipdate", "yyyy-MM-dd HH:mm").alias("PriceUpdateDate"),
@@ -95,9 +94,12 @@ def _write_price_files(spark: SparkSession, sf_dir: str, chain: str, path: str)
 @query
 def xml_price_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
+    # Joined once; each chain's files have a form of their own.
+    observations = stage(tables.raw_observations(spark, sf_dir).select(
+        "chain", "store_id", "l_shipdate", "item_code", "item_name", "l_extendedprice"), "observations")
     for chain in constants.CHAINS:
         path = new_dir(spark, f"prices-{chain}")
-        _write_price_files(spark, sf_dir, chain, path)
+        _write_price_files(observations, chain, path)
         part = files.read_price_files(spark, path, chain, RUN_DATE).drop("seq")
         out = part if out is None else out.unionByName(part)
     return out
@@ -289,6 +291,12 @@ def obs_store_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stores.join_stores(obs, shops)
 
 
+@query
+def missing_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores of which no price file came."""
+    return files.missing_stores(tables.price_obs(spark, sf_dir), tables.stores(spark, sf_dir))
+
+
 @query
 def store_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every supplier as a candidate key, in a chain it need not belong to."""
