@@ -12,20 +12,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricebasket.llm import batches
 from pricebasket.llm.components import components, joined
 from pricebasket.llm.words import Words, finalize, pair
-from pricebasket.session import stage
+from pricebasket.session import new_dir, stage
 
 ROWS, BANDS = 2, 12
 HASHES = 2 * ROWS * BANDS
 #: The first members of a table entry, and the members that are compared with those at first.
 HEADS, NEAR = 2, 32
 #: The tables are gone through again in so many parts, until so many parts in a row bring no link.
-PARTS, QUIET = 8, 8
+PARTS, QUIET = 4, 4
 #: Of 48 minhashes, a pair of similarity 0.8 shares fewer than these once in 10**8 pairs.
 AGREE = 22
 _rng = np.random.default_rng(80_02)
@@ -170,6 +170,20 @@ def _similar(size: int, percent: int):
     return test
 
 
+class Grown:
+    """A table in the shared folder to which rounds append: later plans read one table, however many rounds there were."""
+
+    def __init__(self, spark: SparkSession, label: str, schema: str):
+        self.spark, self.path, self.schema = spark, new_dir(spark, label), schema
+        spark.createDataFrame([], schema).write.parquet(self.path)
+
+    def add(self, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(self.path)
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 class Verifier:
     """Confirms pairs (x, y) of classes: by size, by minhashes, then on the full sets of their texts.
 
@@ -179,22 +193,21 @@ class Verifier:
 
     def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int):
         self.classes, self.docs, self.size, self.percent = classes, docs, size, percent
-        self.texts: DataFrame | None = None
+        self.texts = Grown(docs.sparkSession, "texts", "node long, text string")
 
     def _side(self, name: str) -> DataFrame:
         return self.classes.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("sig").alias(f"s{name}"))
 
     def _fetch(self, likely: DataFrame) -> DataFrame:
-        need = likely.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-        if self.texts is not None:
-            need = need.join(self.texts.select("node"), "node", "left_anti")
+        need = likely.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(
+            self.texts.rows().select("node"), "node", "left_anti")
         need = stage(need.join(self.classes.select("node", "doc_id", "h"), "node"), "need")
-        docs = self.docs
-        found = stage(
-            docs.join(need, docs["doc_id"].eqNullSafe(need["doc_id"]) & (docs["h"] == need["h"])).select("node", "text")
-            .groupBy("node").agg(F.first("text").alias("text")), "texts")
-        self.texts = found if self.texts is None else self.texts.unionByName(found)
-        return self.texts
+        if not need.isEmpty():
+            docs = self.docs
+            self.texts.add(
+                docs.join(need, docs["doc_id"].eqNullSafe(need["doc_id"]) & (docs["h"] == need["h"])).select("node", "text")
+                .groupBy("node").agg(F.first("text").alias("text")))
+        return self.texts.rows()
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         def agree(one: list[bytes], other: list[bytes]) -> dict:
@@ -235,9 +248,11 @@ def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) ->
         classes.select("node", "sig").mapInPandas(batches.released(_tables), f"{triple}, deal long")
         .repartition(parts, "deal").drop("deal").sortWithinPartitions("key", F.col("x").bitwiseXOR(F.col("key")))
         .mapInPandas(batches.released(lambda some: _candidates(some, heads)), triple), "candidates")
-    tested = stage(found.filter("key is null").select("x", "y").distinct(), "pairs")
+    first = stage(found.filter("key is null").select("x", "y").distinct(), "pairs")
+    tested = Grown(docs.sparkSession, "tested", "x long, y long")
+    tested.add(first)
     verifier = Verifier(classes, rows, size, percent)
-    roots = components(verifier.linked(tested))
+    roots = components(verifier.linked(first))
     large = stage(found.filter("y is null").select("key", F.col("x").alias("node")).distinct(), "large")
     quiet = 0
     for turn in range(rounds * PARTS):
@@ -248,9 +263,9 @@ def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) ->
             F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key", "head")
         more = named.join(heads_, "key").filter("root <> head.root").select(
             F.least("node", "head.node").alias("x"), F.greatest("node", "head.node").alias("y")).distinct()
-        more = stage(more.join(tested, ["x", "y"], "left_anti"), "pairs")
+        more = stage(more.join(tested.rows(), ["x", "y"], "left_anti"), "pairs")
         new = stage(verifier.linked(more), "links")
-        tested = tested.unionByName(more)
+        tested.add(more)
         quiet = quiet + 1 if new.isEmpty() else 0
         if quiet == QUIET:
             break
