@@ -12,18 +12,10 @@ ANY_NUMBER = T.DecimalType(38, 18)
 TOTAL = T.DecimalType(38, 2)
 
 
-PRICE_OBS = (
-    "chain STRING, store_id STRING, item_code STRING, item_name STRING, "
-    "price DECIMAL(12,2), price_update_date DATE, pulling_date DATE"
-)
 STORES = (
     "store_id STRING, chain STRING, chain_id STRING, chain_name STRING, store_name STRING, "
     "address STRING, city STRING, pulling_date DATE, latitude DOUBLE, longitude DOUBLE"
 )
-CATALOG_PRICES = (
-    "id STRING, name STRING, chain STRING, store_id STRING, price DECIMAL(12,2), "
-    "chains_count INT, stores_count INT"
-)
 # The published form of a catalogue row: prices nested by chain, then store.
 PRODUCT_MESSAGE = (
     "id STRING, name STRING, chains MAP<STRING, MAP<STRING, STRING>>, "
