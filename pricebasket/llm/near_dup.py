@@ -23,7 +23,7 @@ from pricebasket.session import new_dir, stage
 ROWS, BANDS = 2, 12
 HASHES = 2 * ROWS * BANDS
 #: The first members of a table entry, and the members that are compared with those at first.
-HEADS, NEAR = 2, 32
+HEADS, NEAR = 8, 32
 #: The tables are gone through again in so many parts, until so many parts in a row bring no link.
 PARTS, QUIET = 4, 4
 #: Of 48 minhashes, a pair of similarity 0.8 shares fewer than these once in 10**8 pairs.
