@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricebasket.llm import batches
+from pricebasket.llm import batches, files
 from pricebasket.llm.components import components, joined
 from pricebasket.llm.words import Words, finalize, pair
 from pricebasket.session import new_dir, stage
@@ -24,8 +24,8 @@ ROWS, BANDS = 2, 12
 HASHES = 2 * ROWS * BANDS
 #: The first members of a table entry, and the members that are compared with those at first.
 HEADS, NEAR = 8, 32
-#: The tables are gone through again in so many parts, until so many parts in a row bring no link.
-PARTS, QUIET = 4, 4
+#: About as many classes of large entries lie in a block; blocks that share an entry are compared whole.
+MEMBERS = 512
 #: Of 48 minhashes, a pair of similarity 0.8 shares fewer than these once in 10**8 pairs.
 AGREE = 22
 _rng = np.random.default_rng(80_02)
@@ -209,6 +209,9 @@ class Verifier:
                 .groupBy("node").agg(F.first("text").alias("text")))
         return self.texts.rows()
 
+    def fetched(self, nodes: DataFrame) -> DataFrame:
+        return self._fetch(nodes.select(F.col("node").alias("x"), F.col("node").alias("y")))
+
     def linked(self, pairs: DataFrame) -> DataFrame:
         def agree(one: list[bytes], other: list[bytes]) -> dict:
             a, b = (np.frombuffer(b"".join(each), "<u4").reshape(-1, HASHES) for each in (one, other))
@@ -225,15 +228,175 @@ class Verifier:
             both, ["tx", "ty"], _similar(self.size, self.percent), "linked boolean", ("tx", "ty")).filter("linked").select("x", "y")
 
 
+def _saved(rows: DataFrame, write) -> None:
+    """Calls ``write`` (block, its rows) in tasks, once for each value of the column block."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def save(some: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, held = None, []
+        for batch in some:
+            for number, part in batch.groupby("block", sort=False):
+                if held and number != block:
+                    write(block, pd.concat(held))
+                    held = []
+                block = number
+                held.append(part)
+        if held:
+            write(block, pd.concat(held))
+        yield pd.DataFrame({"n": [1]})
+
+    rows.repartition(parts, "block").sortWithinPartitions("block").mapInPandas(batches.released(save), "n long").agg(F.sum("n")).first()
+
+
+def _meeting(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The distinct pairs (a, b) of a task's lists of blocks, each block with itself too."""
+    held, gathered = [np.zeros((0, 2), np.int64)], 0
+    for batch in parts:
+        for blocks in batch["blocks"]:
+            blocks = np.sort(np.asarray(blocks, np.int64))
+            one, other = np.triu_indices(blocks.size)
+            held.append(np.stack([blocks[one], blocks[other]], axis=1))
+            gathered += one.size
+            if gathered > 1_000_000:
+                held = [np.unique(np.concatenate(held), axis=0)]
+                gathered = 0
+                if len(held[0]) > 1_000_000:
+                    yield pd.DataFrame(held.pop(), columns=["a", "b"])
+    if held:
+        yield pd.DataFrame(np.unique(np.concatenate(held), axis=0), columns=["a", "b"])
+
+
+def _likely(one: dict[str, np.ndarray], other: dict[str, np.ndarray], same_block: bool, percent: int) -> np.ndarray:
+    """Which pairs of two blocks are in different components and near enough by size and minhashes."""
+    likely = one["root"][:, None] != other["root"][None]
+    if same_block:
+        likely = np.triu(likely, 1)
+    if not likely.any():
+        return likely
+    n, m = one["n"][:, None], other["n"][None]
+    likely &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    same = np.zeros(likely.shape, np.uint8)
+    for a, b in zip(one["sig"].reshape(HASHES, -1), other["sig"].reshape(HASHES, -1)):
+        same += a[:, None] == b[None]
+    return likely & (same >= AGREE)
+
+
+def _shared(one: list[np.ndarray], other: list[np.ndarray], step: int = 2048) -> np.ndarray:
+    """How many shingles each set of ``one`` has in common with each of ``other``."""
+    sides = [np.concatenate(side) for side in (one, other)]
+    docs = [np.repeat(np.arange(len(side)), [each.size for each in side]) for side in (one, other)]
+    common = np.intersect1d(*(np.unique(side) for side in sides), assume_unique=True)
+    both = np.zeros((len(one), len(other)), np.float32)
+    at = [np.searchsorted(common, side) for side in sides]
+    held = [(place < common.size) & (common[np.minimum(place, common.size - 1)] == side) if common.size else np.zeros(side.size, bool)
+            for place, side in zip(at, sides)]
+    for low in range(0, common.size, step):
+        dense = []
+        for doc, place, hold, side in zip(docs, at, held, (one, other)):
+            mine = np.flatnonzero(hold & (place >= low) & (place < low + step))
+            part = np.zeros((len(side), min(step, common.size - low)), np.float32)
+            part[doc[mine], place[mine] - low] = 1
+            dense.append(part)
+        both += dense[0] @ dense[1].T
+    return both.astype(np.int64)
+
+
+def _stars(linked: np.ndarray, x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links that join what the pairs of a table join: all of a group with its first row, not each pair."""
+    left = linked.any(axis=1)
+    while left.any():
+        first = int(left.argmax())
+        rows, columns = np.zeros(len(x), bool), np.zeros(len(y), bool)
+        now = np.array([first])
+        while now.size:
+            rows[now] = True
+            reached = np.flatnonzero(linked[now].any(axis=0) & ~columns)
+            columns[reached] = True
+            now = np.flatnonzero(linked[:, reached].any(axis=1) & ~rows)
+        left &= ~rows
+        found = np.concatenate([x[rows], y[columns]])
+        found = found[found != x[first]]
+        yield np.full(found.size, x[first]), found
+
+
+def _across(large: DataFrame, classes: DataFrame, roots: DataFrame, verifier: Verifier) -> DataFrame:
+    """Links (x, y) that join the components of all classes that share an entry of ``large`` (key, node).
+
+    Classes lie in blocks of about ``MEMBERS``, in files of the shared folder, by the largest entry that
+    each is in. Two blocks that share an entry are compared whole: by component, size and minhashes, and what
+    is left by its full shingle sets in matrices. No pair is a row, and no entry is gathered.
+    """
+    spark, size, percent = large.sparkSession, verifier.size, verifier.percent
+    folder = new_dir(spark, "blocks")
+    sizes = large.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    homes = stage(large.join(sizes, "key").groupBy("node").agg(F.max(F.struct("n", "key")).alias("most")).select(
+        "node", F.col("most.key").alias("home")), "homes")
+    members = stage(homes.groupBy("home").agg(F.count(F.lit(1)).alias("members")), "members")
+    few = -(-(members.filter(F.col("members") < MEMBERS).agg(F.sum("members")).first()[0] or 1) // MEMBERS)
+    own = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / MEMBERS)))
+    block = F.when(F.col("members") < MEMBERS, F.pmod(F.xxhash64("home"), F.lit(few))).otherwise(own)
+    blocks = stage(homes.join(members, "home").select("node", block.alias("block")), "blocks")
+    meeting = stage(
+        large.join(blocks, "node").groupBy("key").agg(F.collect_set("block").alias("blocks")).select("blocks")
+        .mapInPandas(batches.released(_meeting), "a long, b long").distinct(), "meeting")
+
+    def put(block: int, rows: pd.DataFrame) -> None:
+        rows = rows.sort_values("node")
+        sig = np.frombuffer(b"".join(rows["sig"]), "<u4").reshape(len(rows), HASHES)
+        files.write_arrays(f"{folder}/{block}.bin", {
+            "node": rows["node"].to_numpy("<i8"), "root": rows["root"].to_numpy("<i8"), "n": rows["n_shingles"].to_numpy("<i8"),
+            "sig": sig.T.reshape(-1)})
+
+    _saved(blocks.join(classes.select("node", "n_shingles", "sig"), "node").join(roots, "node", "left").withColumn(
+        "root", F.coalesce("root", "node")), put)
+
+    def likely(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in parts:
+            for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
+                one, other = (files.map_arrays(f"{folder}/{k}.bin") for k in (a, b))
+                near = _likely(one, other, a == b, percent)
+                if near.any():
+                    nodes = np.unique(np.concatenate([one["node"][near.any(axis=1)], other["node"][near.any(axis=0)]]))
+                    yield pd.DataFrame({"a": [a], "b": [b], "nodes": [nodes.tolist()]})
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    near = stage(meeting.repartition(parts, "a", "b").mapInPandas(batches.released(likely), "a long, b long, nodes array<long>"), "near")
+    need = stage(near.select(F.explode("nodes").alias("node")).distinct(), "nodes")
+
+    def put_sets(block: int, rows: pd.DataFrame) -> None:
+        rows = rows.sort_values("node")
+        found, bounds = shingles(rows["text"].tolist(), size)
+        files.write_arrays(f"{folder}/{block}-sets.bin", {"node": rows["node"].to_numpy("<i8"), "bounds": bounds.astype("<i8"), "found": found})
+
+    if not need.isEmpty():
+        _saved(verifier.fetched(need).join(need, "node", "left_semi").join(blocks, "node"), put_sets)
+
+    def sets(block: int, nodes: np.ndarray) -> list[np.ndarray]:
+        of = files.map_arrays(f"{folder}/{block}-sets.bin")
+        return [of["found"][of["bounds"][at] : of["bounds"][at + 1]] for at in np.searchsorted(of["node"], nodes).tolist()]
+
+    def linked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in parts:
+            for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
+                one, other = (files.map_arrays(f"{folder}/{k}.bin") for k in (a, b))
+                near = _likely(one, other, a == b, percent)
+                i, j = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+                x, y = one["node"][i], other["node"][j]
+                both = _shared(sets(a, x), sets(b, y))
+                every = one["n"][i][:, None] + other["n"][j][None] - both
+                for left, right in _stars(near[np.ix_(i, j)] & (both > 0) & (100 * both >= percent * every), x, y):
+                    yield pd.DataFrame({"x": left, "y": right})
+
+    return stage(near.select("a", "b").repartition(parts, "a", "b").mapInPandas(batches.released(linked), "x long, y long"), "links")
+
+
 def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) -> DataFrame:
     """(doc_id, h, n_shingles, root) of all rows; ``h`` is the text's xxhash64, ``root`` names the group of links.
 
     Equal sets are one class first (a map-side sum, so thousands of copies are one row). Table entries
     send a few rows per block of classes. In an entry, the first ``heads`` classes are compared with some
-    others; entries with more classes are gone through again, part of the tables by part, as long as
-    they join different components: each time another class is compared with all those outside
-    its component, until ``QUIET`` parts in a row bring no link (``rounds`` passes over all at most). So
-    no entry, however large, has all its pairs formed.
+    others, as rows; in entries with more classes all pairs of different components are then compared
+    in blocks (`_across`), so nothing depends on who is a head. ``rounds`` is unused: no passes are left to bound.
     """
     raw = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     rows = raw.withColumn("h", F.xxhash64("text"))
@@ -249,28 +412,11 @@ def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) ->
         .repartition(parts, "deal").drop("deal").sortWithinPartitions("key", F.col("x").bitwiseXOR(F.col("key")))
         .mapInPandas(batches.released(lambda some: _candidates(some, heads)), triple), "candidates")
     first = stage(found.filter("key is null").select("x", "y").distinct(), "pairs")
-    tested = Grown(docs.sparkSession, "tested", "x long, y long")
-    tested.add(first)
     verifier = Verifier(classes, rows, size, percent)
     roots = components(verifier.linked(first))
     large = stage(found.filter("y is null").select("key", F.col("x").alias("node")).distinct(), "large")
-    quiet = 0
-    for turn in range(rounds * PARTS):
-        named = large.filter(F.pmod("key", F.lit(PARTS)) == turn % PARTS).join(roots, "node", "left").select(
-            "key", "node", F.coalesce("root", "node").alias("root"))
-        heads_ = named.groupBy("key").agg(
-            F.min_by(F.struct("node", "root"), F.xxhash64("node", "key", F.lit(turn))).alias("head"),
-            F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key", "head")
-        more = named.join(heads_, "key").filter("root <> head.root").select(
-            F.least("node", "head.node").alias("x"), F.greatest("node", "head.node").alias("y")).distinct()
-        more = stage(more.join(tested.rows(), ["x", "y"], "left_anti"), "pairs")
-        new = stage(verifier.linked(more), "links")
-        tested.add(more)
-        quiet = quiet + 1 if new.isEmpty() else 0
-        if quiet == QUIET:
-            break
-        if not quiet:
-            roots = joined(roots, new)
+    if not large.isEmpty():
+        roots = joined(roots, _across(large, classes, roots, verifier))
     return measured.join(roots, "node", "left").select(
         "doc_id", "h", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).alias("root"))
 

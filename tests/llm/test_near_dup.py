@@ -83,6 +83,27 @@ def test_large_entries_are_gone_through_again(spark):
     assert got == brute(docs)
 
 
+def test_pairs_in_a_family_below_the_threshold(spark):
+    """2,000 documents of Jaccard 0.793 to one another, 40 pairs of them at 0.817, with the production heads."""
+    common = [f"c{i}" for i in range(300)]
+    tails = [[f"t{doc}x{i}" for i in range(39)] for doc in range(2000)]
+    for planted in range(40):
+        tails[1999 - planted][-5:] = tails[planted * 3][-5:]
+        tails[1999 - planted][-6] = tails[planted * 3][-6]
+    docs = [(doc, " ".join(common + tail)) for doc, tail in enumerate(tails)]
+    rare = [(doc, frozenset(sets(" ".join(common[-1:] + tail)))) for doc, tail in enumerate(tails)]
+    holders = {}
+    for doc, own in rare:
+        for shingle in own:
+            holders.setdefault(shingle, []).append(doc)
+    near = {tuple(each) for each in holders.values() if len(each) == 2}
+    linked = {(a, b) for a, b in near if 100 * (299 + len(rare[a][1] & rare[b][1])) >= 80 * (299 + len(rare[a][1] | rare[b][1]))}
+    assert linked == {(planted * 3, 1999 - planted) for planted in range(40)} and 299 / (299 + 78) < 0.8
+    expected = {doc: doc for doc, _ in docs} | {b: a for a, b in linked}
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(frame).collect()} == expected
+
+
 def test_runs_across_batches():
     rows = sorted((k, n) for k, size in ((1, 40), (2, 2), (3, 1), (4, 12)) for n in range(k * 100, k * 100 + size))
     whole = pd.DataFrame({"key": [k for k, _ in rows], "x": [n for _, n in rows], "y": pd.array([None] * len(rows), "Int64")})
