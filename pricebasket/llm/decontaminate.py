@@ -64,12 +64,27 @@ def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
     return last[-1] <= most
 
 
+def holds(words: np.ndarray, item: np.ndarray, most: int) -> bool:
+    """Whether some run of ``words``, of any length, has an edit distance of ``most`` or less from ``item``."""
+    words = words.tolist()
+    last = [0] * (len(words) + 1)
+    for i, word in enumerate(item.tolist(), 1):
+        now = [i]
+        for j, other in enumerate(words, 1):
+            now.append(last[j - 1] if word == other else 1 + min(last[j - 1], last[j], now[j - 1]))
+        if min(now) > most:
+            return False
+        last = now
+    return min(last) <= most
+
+
 class Items:
     """The items of a benchmark, by number of words, with their segments and table keys.
 
     An item of n words that may have k edits is cut into k + 1 segments; k edits leave one of them whole,
     at most k places from where it was. So only windows around a whole segment are embedded, and
-    none that is within the bound is passed over.
+    none that is within the bound is passed over. What the windows of n words do not confirm, as where words were
+    left out or put in, is aligned with the words around the segment, whatever the passage's length.
     """
 
     def __init__(self, items: list[tuple[int, str | None]], percent: int, least: int, tables: int, samples: int):
@@ -99,9 +114,12 @@ class Items:
             first[(hashes >> np.uint64(48)).astype(np.int64)] = True
             self.segments[length] = hashes, np.array([r for _, *r in every], np.int64), first
 
-    def _near(self, of: Words, doc: np.ndarray) -> np.ndarray:
-        """(size, text, start) of windows around whole segments; start -1: a text shorter than the item."""
-        found = [np.zeros((0, 3), np.int64)]
+    def _near(self, of: Words, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(size, text, start) of windows around whole segments; start -1: a text shorter than the item.
+
+        And (item, text, start) of the items themselves, as their segments place them.
+        """
+        found, seeds = [np.zeros((0, 3), np.int64)], [np.zeros((0, 3), np.int64)]
         for length, (hashes, about, first) in self.segments.items():
             if of.hashes.size < length:
                 continue
@@ -112,6 +130,7 @@ class Items:
             at, low, number = at[high > low], low[high > low], (high - low)[high > low]
             place = np.repeat(at, number)
             row, offset = about[np.arange(place.size) - np.repeat(np.cumsum(number) - number - low, number)].T
+            seeds.append(np.unique(np.stack([row, doc[place], place - offset], axis=1), axis=0))
             size, most = self.sizes[row], self.most[row]
             spread = 2 * most + 1
             start = np.repeat(place - offset - most, spread) + np.arange(spread.sum()) - np.repeat(np.cumsum(spread) - spread, spread)
@@ -120,13 +139,29 @@ class Items:
             inside = (start >= begin) & (start + size <= end)
             short = end - begin < size
             found.append(np.stack([size, text, np.where(short, -1, start)], axis=1)[inside | short])
-        return np.unique(np.concatenate(found), axis=0)
+        return np.unique(np.concatenate(found), axis=0), np.unique(np.concatenate(seeds), axis=0)
+
+    def _align(self, seeds: np.ndarray, of: Words, hits: list[set[int]]) -> None:
+        """Items that the words around their segments hold, with words left out or put in."""
+        for row in np.unique(seeds[:, 0]).tolist():
+            text, start = seeds[seeds[:, 0] == row][:, 1:].T
+            item, most, number = self.words[row], int(self.most[row]), self.numbers[row]
+            own = np.sort(item)
+            for low in range(0, text.size, 5_000):
+                doc, first = text[low : low + 5_000], start[low : low + 5_000]
+                at = first[:, None] + np.arange(-most, item.size + most)
+                inside = (at >= of.bounds[doc][:, None]) & (at < of.bounds[doc + 1][:, None])
+                word = of.hashes[np.where(inside, at, 0)]
+                same = inside & (own[np.minimum(np.searchsorted(own, word), own.size - 1)] == word)
+                for k in np.flatnonzero(same.sum(axis=1) >= item.size - most).tolist():
+                    if number not in hits[doc[k]] and holds(word[k][inside[k]], item, most):
+                        hits[doc[k]].add(number)
 
     def found(self, texts: list[str | None]) -> list[list[int]]:
         """For each text the ascending numbers of the items it holds."""
         of = Words([(text or "").lower() for text in texts])
         hits: list[set[int]] = [set() for _ in texts]
-        near = self._near(of, np.repeat(np.arange(len(texts)), np.diff(of.bounds)))
+        near, seeds = self._near(of, np.repeat(np.arange(len(texts)), np.diff(of.bounds)))
         for size in np.unique(near[:, 0]).tolist():
             mine = near[near[:, 0] == size]
             full = mine[mine[:, 2] >= 0]
@@ -137,6 +172,7 @@ class Items:
                 for row in np.flatnonzero(self.sizes == size).tolist():
                     if within(words, self.words[row], int(self.most[row])):
                         hits[text].add(self.numbers[row])
+        self._align(seeds, of, hits)
         return [sorted(each) for each in hits]
 
     def _match(self, size: int, windows: np.ndarray, doc: np.ndarray, hits: list[set[int]]) -> None:
@@ -188,8 +224,7 @@ def with_items(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Find the ``benchmark`` items (item_id, text) that every whole text of ``docs`` (doc_id, text) holds.
 
-    A text holds an item of n words if a window of n of its words (all, if it has fewer) has a word edit
-    distance of n * (100 - ``percent``) / 100, rounded down, or less from it; words are split at
+    A text holds an item of n words if some run of its words, of any length, has a word edit distance of n * (100 - ``percent``) / 100, rounded down, or less from it; words are split at
     blanks and lower-cased. Result, one row per input row: doc_id, item_ids (ascending), n_items,
     contaminated, kept (the opposite).
 

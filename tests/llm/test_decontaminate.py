@@ -65,6 +65,27 @@ def test_edited_items_are_found(items):
     assert [bool(set(f) - {n}) for n, f in zip(numbers, found)].count(True) == 0
 
 
+def test_left_out_and_put_in_words(items):
+    """Deletions and insertions up to n / 5, and beyond, against all windows of all lengths."""
+    rng = np.random.default_rng(11)
+    items = [(number, text) for number, text in items if len(text.split()) <= 30][:20]
+    texts, expected = [], []
+    for number, item in items:
+        own = item.lower().split()
+        most = len(own) // 5
+        for left_out, put_in in ((most, 0), (0, most), (most // 2, most - most // 2), (most + 1, 0), (0, most + 2)):
+            now = [own[i] for i in sorted(rng.choice(len(own), len(own) - left_out, replace=False))]
+            for _ in range(put_in):
+                now.insert(int(rng.integers(1, len(now))), f"new{rng.integers(10**6)}")
+            now = ["lead", "in", *now, "and", "out"]
+            windows = (now[i : i + n] for n in range(len(own) - most, len(own) + most + 1) for i in range(len(now) - n + 1))
+            texts.append(" ".join(now))
+            expected.append(any(distance(window, own) <= most for window in windows))
+    found = dec.Items(items, 80, 8, dec.TABLES, dec.SAMPLES).found(texts)
+    assert [items[i // 5][0] in f for i, f in enumerate(found)] == expected
+    assert all(any(expected[i : i + 3]) for i in range(0, len(expected), 5)) and not all(expected)
+
+
 def test_bounded_distance():
     rng = np.random.default_rng(9)
     for _ in range(300):
