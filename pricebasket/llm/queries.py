@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricebasket.llm import decontaminate, html_main, language_id, lm_scoring, near_dup, packing, quality, sharding, suffix_dedup, token_counts, token_files
+from pricebasket.llm import conversations, decontaminate, html_main, language_id, lm_scoring, near_dup, packing, quality, sharding, suffix_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,3 +76,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(documents(spark, sf_dir), limit=4096)
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
