@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricebasket.llm import conversations, decontaminate, html_main, language_id, lm_scoring, near_dup, packing, quality, sharding, suffix_dedup, token_counts, token_files
+from pricebasket.llm import conversations, decontaminate, html_main, language_id, lm_scoring, near_dup, oracles, packing, quality, ranked_search, sharding, suffix_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_conversation_repair": oracles.CONVERSATION_REPAIR,
+    "op13_ranked_search": oracles.RANKED_SEARCH,
+}
 
 
 def query(function: Query) -> Query:
@@ -81,3 +84,8 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=50)

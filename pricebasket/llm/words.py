@@ -12,6 +12,8 @@ LOWER[65:91] += 32
 SAME = np.arange(256, dtype=np.uint8)
 ALNUM = np.zeros(256, bool)
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+#: All of ASCII but letters and digits.
+MARKS = ~ALNUM & (np.arange(256) < 128)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -46,6 +48,8 @@ def powers(base: int, count: int) -> np.ndarray:
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of texts, after lower-casing A-Z unless ``lower`` is off.
 
+    ``between`` marks the bytes that part words (one of them the blank), others than those if given.
+
     ``hashes`` holds all words behind one another; document i has those from ``bounds[i]`` to
     ``bounds[i + 1]``. ``first`` and ``last`` are byte places in ``data``, all texts' UTF-8 bytes, each
     followed by a blank; ``texts`` has the place where each text begins (and the end of all).
@@ -54,13 +58,13 @@ class Words:
     With ``tails``, one stop or comma that ends a word after a letter or digit of ASCII is a word of its own.
     """
 
-    def __init__(self, texts: list[str | None], tails: bool = False, lower: bool = True):
+    def __init__(self, texts: list[str | None], tails: bool = False, lower: bool = True, between: np.ndarray = BLANK):
         self._case = LOWER if lower else SAME
         raw = [(text or "").encode("utf-8", "replace") for text in texts]
         self.texts = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(each) + 1 for each in raw], out=self.texts[1:])
         self.data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
-        blank = BLANK[self.data]
+        blank = between[self.data]
         edges = np.diff(blank.astype(np.int8), prepend=1)
         self.first, self.last = np.flatnonzero(edges < 0), np.flatnonzero(edges > 0)
         if tails and self.first.size:
