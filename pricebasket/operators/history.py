@@ -44,3 +44,86 @@ def chain_compare(daily: DataFrame, period: str = "month") -> DataFrame:
         (F.max("price") - F.min("price")).alias("spread"),
         F.count(F.lit(1)).cast("int").alias("chains_count"),
     )
+
+
+# ---- prices as intervals ------------------------------------------------------------------
+
+KEYS = ["name", "chain", "store_id"]
+
+
+def _folded(points: DataFrame, stale_after: int | None) -> DataFrame:
+    """Neighbouring points of one price as one interval. ``points``: KEYS, valid_from, last_seen, price, days."""
+    line = Window.partitionBy(*KEYS).orderBy("valid_from")
+    before = F.lag(F.struct("price", "last_seen")).over(line)
+    starts = F.col("before").isNull() | ~F.col("price").eqNullSafe(F.col("before.price"))
+    if stale_after is not None:
+        starts = starts | (F.date_diff("valid_from", F.col("before.last_seen")) > stale_after)
+    late = F.raise_error(F.concat(F.lit("a day that comes before what is stored: "), F.col("valid_from").cast("string")))
+    # A day within an interval already folded cannot be put in without the days that made it.
+    checked = F.when(F.col("valid_from") <= F.col("before.last_seen"), late.cast("int")).otherwise(starts.cast("int"))
+    islands = points.withColumn("before", before).withColumn("island", F.sum(checked).over(line))
+    folded = islands.groupBy(*KEYS, "island").agg(
+        F.min("price").alias("price"), F.min("valid_from").alias("valid_from"),
+        F.max("last_seen").alias("last_seen"), F.sum("days").alias("days"))
+    until = F.lead("valid_from").over(line)
+    if stale_after is not None:
+        until = F.least(until, F.date_add("last_seen", stale_after + 1))
+    return folded.select(*KEYS, "price", "valid_from", "last_seen", until.alias("valid_to"), "days")
+
+
+def _points(daily: DataFrame) -> DataFrame:
+    day = F.col("pulling_date")
+    return daily.select(*KEYS, "price", day.alias("valid_from"), day.alias("last_seen"), F.lit(1).cast("long").alias("days"))
+
+
+def price_intervals(daily: DataFrame, stale_after: int | None = None) -> DataFrame:
+    """Daily prices folded to the times in which they held: price, valid_from, last_seen, valid_to, days.
+
+    ``daily`` as from ``daily_prices``, a row per product, chain, store and day. A price holds until the next
+    one differs (``valid_to`` is that day, null for the current price), or, with ``stale_after``, until so
+    many days after it was last seen. A blank price is a price like any other: from then on none is known. One shuffle, by
+    product and store; a history is bounded by its days however often raw rows repeat.
+    """
+    return _folded(_points(daily), stale_after)
+
+
+def extend_intervals(intervals: DataFrame, daily: DataFrame, stale_after: int | None = None) -> DataFrame:
+    """Stored intervals after further days, equal to folding all days at once.
+
+    Only each line's last interval can change; closed ones are passed through. A day at or before the
+    last one stored for its product and store ends the job.
+    """
+    last = F.max("valid_from").over(Window.partitionBy(*KEYS))
+    marked = intervals.withColumn("is_last", F.col("valid_from") == last)
+    closed = marked.filter(~F.col("is_last")).drop("is_last")
+    ends = marked.filter("is_last").select(*KEYS, "price", "valid_from", "last_seen", "days")
+    return closed.select(*KEYS, "price", "valid_from", "last_seen", "valid_to", "days").unionByName(
+        _folded(ends.unionByName(_points(daily)), stale_after))
+
+
+def price_as_of(requests: DataFrame, intervals: DataFrame, day: str = "day") -> DataFrame:
+    """Each request with the price of its product in its store on its day, and since when it held.
+
+    ``requests``: KEYS, ``day`` and any other columns. Interval starts and the distinct days asked for lie in one
+    line per product and store, and each day takes the last start at or before it: no range join, and
+    a product asked for very often is a line of its distinct days. Requests get their answers back by equality, which
+    AQE splits where one of them is hot. Before the first price, after ``valid_to``, on a blank price and
+    without a day the price is null.
+    """
+    asked = requests.filter(F.col(day).isNotNull()).select(*KEYS, F.col(day).alias("at")).distinct()
+    held = F.struct("price", "valid_from", "valid_to")
+    starts = intervals.select(*KEYS, F.col("valid_from").alias("at"), F.lit(0).alias("kind"), held.alias("held"))
+    none = F.lit(None).cast(starts.schema["held"].dataType)
+    line = Window.partitionBy(*KEYS).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    answered = (
+        starts.unionByName(asked.select(*KEYS, "at", F.lit(1).alias("kind"), none.alias("held")))
+        .withColumn("held", F.last("held", ignorenulls=True).over(line))
+        .filter("kind = 1")
+        .filter(F.col("held.valid_to").isNull() | (F.col("at") < F.col("held.valid_to")))
+        .select(*(F.col(key).alias(f"asked_{key}") for key in KEYS), F.col("at").alias("asked_at"),
+                F.col("held.price").alias("price"), F.col("held.valid_from").alias("price_since"))
+    )
+    same = F.col(day) == F.col("asked_at")
+    for key in KEYS:
+        same = same & F.col(key).eqNullSafe(F.col(f"asked_{key}"))
+    return requests.join(answered, same, "left").select(*requests.columns, "price", "price_since")

@@ -224,6 +224,24 @@ daily AS (
       ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS from_last
     FROM obs) WHERE from_last = 1)"""
 
+LINE = "PARTITION BY name, chain, store_id ORDER BY"
+
+
+def _intervals(starts: str) -> str:
+    """CTE ``folded``: runs of days of which none ``starts`` a new one but the first."""
+    return f"""
+marked AS (
+  SELECT *, CASE WHEN lag(pulling_date) OVER line IS NULL OR {starts} THEN 1 ELSE 0 END AS starts
+  FROM daily WINDOW line AS ({LINE} pulling_date)),
+numbered AS (SELECT *, sum(starts) OVER ({LINE} pulling_date) AS island FROM marked),
+folded AS (
+  SELECT name, chain, store_id, min(price) AS price, min(pulling_date) AS valid_from, max(pulling_date) AS last_seen,
+    count(*) AS days FROM numbered GROUP BY name, chain, store_id, island)"""
+
+
+INTERVALS = f"""WITH {DAILY}, {_intervals('lag(price) OVER line <> price')}
+  SELECT *, lead(valid_from) OVER ({LINE} valid_from) AS valid_to FROM folded"""
+
 SENTIMENT = f"""
 lexicon(word, polarity) AS (VALUES {', '.join(f"('{word}', CAST({value} AS DOUBLE))" for word, value in constants.LEXICON.items())}),
 opinion AS (
@@ -363,6 +381,16 @@ ORACLES: dict[str, str] = {
         placed AS (SELECT *, row_number() OVER (PARTITION BY period, name ORDER BY price, chain) AS place FROM lowest)
         SELECT period, name, max(CASE WHEN place = 1 THEN chain END) AS cheapest_chain, min(price) AS cheapest_price,
           max(price) - min(price) AS spread, CAST(count(*) AS INTEGER) AS chains_count FROM placed GROUP BY period, name""",
+    "price_intervals": INTERVALS,
+    "price_intervals_extended": INTERVALS,
+    "price_as_of": f"""WITH {DAILY}, {_intervals("lag(price) OVER line <> price OR pulling_date - lag(pulling_date) OVER line > 365")},
+        asked AS (
+          SELECT l_orderkey, l_linenumber, p_name || ' ' || p_brand AS name, chain, store_id, CAST(o_orderdate AS DATE) AS day
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN store_dim ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)
+        SELECT a.*, CASE WHEN day - last_seen <= 365 OR last_seen > day THEN price END AS price,
+          CASE WHEN day - last_seen <= 365 OR last_seen > day THEN valid_from END AS price_since
+        FROM asked a ASOF LEFT JOIN folded f
+          ON a.name = f.name AND a.chain = f.chain AND a.store_id = f.store_id AND a.day >= f.valid_from""",
     "stream_ingest": "SELECT event_id, user_id, event_type, value, props FROM events",
     "stream_fanout": """SELECT topic, event_id, user_id, event_type
         FROM events, (VALUES ('archive'), ('data')) AS topics(topic)""",

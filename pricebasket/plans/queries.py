@@ -432,6 +432,33 @@ def chain_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.chain_compare(history.daily_prices(tables.price_obs(spark, sf_dir)))
 
 
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.daily_prices(tables.price_obs(spark, sf_dir))
+
+
+@query
+def price_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.price_intervals(_daily(spark, sf_dir))
+
+
+@query
+def price_intervals_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals of the years before 1999, then of 1999, then of the rest, each step on what the one before stored."""
+    daily = stage(_daily(spark, sf_dir), "daily")
+    year = F.year("pulling_date")
+    found = stage(history.price_intervals(daily.filter(year < 1999)), "intervals")
+    for part in (daily.filter(year == 1999), daily.filter(year > 1999)):
+        found = stage(history.extend_intervals(found, part), "intervals")
+    return found
+
+
+@query
+def price_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price of every order line's product and store on the order's day; prices not seen for a year are unknown."""
+    intervals = history.price_intervals(_daily(spark, sf_dir), stale_after=365)
+    return history.price_as_of(tables.price_requests(spark, sf_dir), intervals)
+
+
 # ---- streams ------------------------------------------------------------------------------
 
 

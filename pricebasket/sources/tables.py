@@ -160,6 +160,13 @@ def order_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def price_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each order line's product cost in its store on the day of the order, as a question."""
+    ordered = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("day"))
+    return raw_observations(spark, sf_dir).join(ordered, "l_orderkey").select(
+        "l_orderkey", "l_linenumber", F.col("item_name").alias("name"), "chain", "store_id", "day")
+
+
 def cart_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One free-text shopping list per part; the part's type decides its shape.
 

@@ -1,0 +1,131 @@
+"""Price intervals and prices as of a day, on small histories, hot products and random ones."""
+
+import datetime
+import random
+from decimal import Decimal
+
+import pytest
+from pricebasket.operators import history
+from pricebasket.plans.queries import QUERIES
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+DAILY = "name STRING, chain STRING, store_id STRING, pulling_date DATE, price DECIMAL(12,2)"
+FIRST = datetime.date(2024, 3, 25)
+
+
+def day(n):
+    return FIRST + datetime.timedelta(days=n)
+
+
+def daily(spark, rows):
+    """rows: (name, store, day number, price)."""
+    return spark.createDataFrame([(name, "victory", store, day(n), None if price is None else Decimal(price)) for name, store, n, price in rows], DAILY)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def folded(df):
+    return sorted(((r["name"], r["store_id"], None if r["price"] is None else int(r["price"]), (r["valid_from"] - FIRST).days,
+                    (r["last_seen"] - FIRST).days, None if r["valid_to"] is None else (r["valid_to"] - FIRST).days, r["days"])
+                   for r in df.collect()), key=str)
+
+
+def plain_intervals(rows, stale_after=None):
+    lines = {}
+    for name, store, n, price in rows:
+        lines.setdefault((name, store), []).append((n, price))
+    found = []
+    for key, points in lines.items():
+        runs = []
+        for n, price in sorted(points):
+            if runs and runs[-1][0] == price and (stale_after is None or n - runs[-1][2] <= stale_after):
+                runs[-1][2], runs[-1][3] = n, runs[-1][3] + 1
+            else:
+                runs.append([price, n, n, 1])
+        for i, (price, first, last, days) in enumerate(runs):
+            ends = [runs[i + 1][1]] if i + 1 < len(runs) else []
+            ends += [last + stale_after + 1] if stale_after is not None else []
+            found.append((*key, price, first, last, min(ends, default=None), days))
+    return sorted(found, key=str)
+
+
+def random_rows(seed, days=60):
+    draw = random.Random(seed)
+    return [(name, store, n, draw.choice([1, 1, 1, 2, None])) for name in ("milk", "tea", None) for store in ("001", "002")
+            for n in range(days) if draw.random() < 0.4]
+
+
+@pytest.mark.parametrize("stale_after", [None, 0, 2, 5])
+def test_intervals_equal_plain_folding(spark, stale_after):
+    rows = random_rows(1)
+    assert folded(history.price_intervals(daily(spark, rows), stale_after)) == plain_intervals(rows, stale_after)
+
+
+@pytest.mark.parametrize("stale_after", [None, 3])
+def test_extending_equals_folding_at_once(spark, stale_after):
+    rows = random_rows(2)
+    stored = history.price_intervals(daily(spark, [r for r in rows if r[2] < 20]), stale_after)
+    for low, high in ((20, 21), (21, 50), (50, 60)):
+        stored = history.extend_intervals(stored, daily(spark, [r for r in rows if low <= r[2] < high]), stale_after)
+    assert folded(stored) == plain_intervals(rows, stale_after)
+    assert folded(history.extend_intervals(stored, daily(spark, []), stale_after)) == plain_intervals(rows, stale_after)
+
+
+def test_a_late_day_is_not_swallowed(spark):
+    stored = history.price_intervals(daily(spark, [("milk", "001", 3, 1), ("milk", "001", 9, 1)]))
+    with pytest.raises(PySparkException, match="comes before"):
+        history.extend_intervals(stored, daily(spark, [("milk", "001", 5, 2)])).collect()
+
+
+@pytest.mark.parametrize("stale_after", [None, 4])
+def test_as_of_equals_looking_back(spark, stale_after):
+    rows = random_rows(3)
+    asked = [(name, "victory", store, day(n) if n is not None else None, i) for i, (name, store, n) in enumerate(
+        (name, store, n) for name in ("milk", "tea", None, "unknown") for store in ("001", "002") for n in [None, *range(-2, 64)])] * 2
+    requests = spark.createDataFrame(asked, "name STRING, chain STRING, store_id STRING, day DATE, number INT")
+    got = history.price_as_of(requests, history.price_intervals(daily(spark, rows), stale_after))
+
+    def looked_up(name, store, at):
+        seen = [(n, price) for nm, st, n, price in rows if (nm, st) == (name, store) and at is not None and n <= at]
+        if not seen or stale_after is not None and at - max(seen, key=lambda s: s[0])[0] > stale_after:
+            return None
+        return max(seen, key=lambda s: s[0])[1]
+
+    assert got.count() == len(asked)
+    for r in got.collect():
+        want = looked_up(r["name"], r["store_id"], None if r["day"] is None else (r["day"] - FIRST).days)
+        assert (None if r["price"] is None else int(r["price"])) == want, r
+
+
+def test_month_ends_and_leap_days(spark):
+    """Days are dates: neither a change of clocks nor a short month moves a bound."""
+    rows = [("milk", "001", 0, 1), ("milk", "001", 7, 1), ("milk", "001", 37, 2), ("milk", "001", -25, 3)]
+    got = history.price_intervals(daily(spark, rows), stale_after=30).orderBy("valid_from").collect()
+    assert [(str(r["valid_from"]), str(r["valid_to"])) for r in got] == [
+        ("2024-02-29", "2024-03-25"), ("2024-03-25", "2024-05-01"), ("2024-05-01", "2024-06-01")]
+
+
+def test_plans_deal_rows_by_product_and_store_once(spark, sf_dir):
+    stored = spark.createDataFrame([], "name STRING, chain STRING, store_id STRING, price DECIMAL(12,2), valid_from DATE, last_seen DATE, valid_to DATE, days LONG")
+    assert plan(history.price_intervals(daily(spark, []).hint("rebalance"))).count("Exchange hashpartitioning") == 1
+    asked = spark.createDataFrame([], "name STRING, chain STRING, store_id STRING, day DATE")
+    text = plan(history.price_as_of(asked, stored))
+    assert "Join" in text and "NestedLoop" not in text and "Cartesian" not in text
+    assert "BroadcastNestedLoopJoin" not in plan(QUERIES["price_as_of"](spark, sf_dir))
+
+
+def test_a_hot_product_asked_for_very_often(spark):
+    """Two thirds of all requests ask for one product on one of a few days: its line holds distinct days."""
+    rows = [("hot", "001", n, n // 7) for n in range(0, 70, 3)] + [(f"p{i}", "001", 0, i) for i in range(500)]
+    n = F.col("id")
+    requests = spark.range(30_000).select(
+        F.when(n % 3 > 0, "hot").otherwise(F.concat(F.lit("p"), n % 500)).alias("name"), F.lit("victory").alias("chain"),
+        F.lit("001").alias("store_id"), F.date_add(F.lit(FIRST), (n % 10).cast("int")).alias("day"))
+    got = history.price_as_of(requests, history.price_intervals(daily(spark, rows)))
+    assert "partial" in plan(requests.select("name", "day").distinct()) or "HashAggregate" in plan(requests.select("name", "day").distinct())
+    assert got.count() == 30_000 and got.filter("price is null").count() == 0
+    assert {(r["day"] - FIRST).days: int(r["price"]) for r in got.filter("name = 'hot'").select("day", "price").distinct().collect()} == {
+        n: (n // 3 * 3) // 7 for n in range(10)}
