@@ -65,6 +65,11 @@ class Consolidated:
 def consolidate(obs: DataFrame, by: Sequence[str] = ()) -> Consolidated:
     """One product per exact name; its id is the code it was first seen with."""
     prices = stage(last_prices(obs, by), "last-prices")
+    return Consolidated(prices, stage(products_of(prices, by), "products"), tuple(by))
+
+
+def products_of(prices: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per exact name of ``last_prices``: when it was first seen, its id, and how many chains and stores price it."""
     # Per product and chain first, so that any number of chains is counted without a set of them.
     per_chain = prices.groupBy(*by, "name", "chain").agg(
         F.min("first_seen").alias("first_seen"), F.count(F.lit(1)).alias("stores")
@@ -74,8 +79,7 @@ def consolidate(obs: DataFrame, by: Sequence[str] = ()) -> Consolidated:
         F.count(F.lit(1)).cast("int").alias("chains_count"),
         F.sum("stores").cast("int").alias("stores_count"),
     )
-    products = products.withColumn("id", F.col("first_seen.item_code"))
-    return Consolidated(prices, stage(products, "products"), tuple(by))
+    return products.withColumn("id", F.col("first_seen.item_code"))
 
 
 def multi_chain_products(products: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pricebasket import constants
 from pricebasket.operators import basket, consolidate, stores
 from pricebasket.session import stage, work_area
-from pricebasket.sources import files
+from pricebasket.sources import catalog_store, files
 
 
 @dataclass(frozen=True)
@@ -25,10 +25,10 @@ class DailyInputs:
     allowed: dict[str, list[str]] | None = None
 
 
-def daily_products(spark: SparkSession, inputs: DailyInputs, run_date: str) -> DataFrame:
-    """The day's catalogue in long form, from the newest price file of each allowed store.
+def daily_observations(spark: SparkSession, inputs: DailyInputs, run_date: str) -> DataFrame:
+    """The day's observations, from the newest price file of each allowed store.
 
-    A chain without any file ends the job: the day's tables replace whole ones.
+    A chain without any file ends the job.
     """
     parts = []
     for chain in constants.CHAINS:
@@ -37,7 +37,12 @@ def daily_products(spark: SparkSession, inputs: DailyInputs, run_date: str) -> D
         if not paths:
             raise ValueError(f"no price file of {chain} in {inputs.price_paths[chain]}")
         parts.append(files.read_price_files(spark, paths, chain, run_date))
-    return consolidate.catalog(reduce(DataFrame.unionByName, parts))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def daily_products(spark: SparkSession, inputs: DailyInputs, run_date: str) -> DataFrame:
+    """The day's catalogue in long form."""
+    return consolidate.catalog(daily_observations(spark, inputs, run_date))
 
 
 def daily_stores(spark: SparkSession, inputs: DailyInputs, run_date: str) -> DataFrame:
@@ -68,6 +73,17 @@ def run_day(spark: SparkSession, inputs: DailyInputs, run_date: str, out: str) -
         }
 
 
+def update_day(spark: SparkSession, inputs: DailyInputs, run_date: str, root: str, table: str) -> catalog_store.Snapshot:
+    """Take the day into the catalogue of all days so far, and its stores, in one version that ``table`` names from then on.
+
+    Unlike ``run_day``, which rebuilds the current tables from the day's files alone, products that the
+    day does not list stay, and only what the day touches is read and written.
+    """
+    with work_area(spark):
+        shops = stage(daily_stores(spark, inputs, run_date), "daily-stores")
+        return catalog_store.add_observations(spark, root, table, daily_observations(spark, inputs, run_date), shops)
+
+
 @dataclass(frozen=True)
 class CartAnswers:
     items: DataFrame

@@ -284,6 +284,7 @@ ORACLES: dict[str, str] = {
     "scan_head": "SELECT event_id, user_id, event_type FROM events ORDER BY ts, event_id LIMIT 10",
     "snapshot_roundtrip": f"WITH {MONTHLY} SELECT snapshot AS pulling_date, {LONG} FROM cat",
     "current_catalog": f"WITH {ALL_DATES} SELECT {LONG} FROM cat",
+    "catalog_increment": f"WITH {ALL_DATES} SELECT {LONG} FROM cat",
     "to_json_messages": f"""WITH {ALL_DATES},
         per_chain AS (SELECT id, name, chains_count, stores_count, chain,
           string_agg('"' || store_id || '":"' || price || '"', ',' ORDER BY store_id) AS stores

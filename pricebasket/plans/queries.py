@@ -12,7 +12,7 @@ from pricebasket.functions import space_time, text
 from pricebasket.operators import basket, consolidate, history, popularity, posts, search, stores
 from pricebasket.plans import daily
 from pricebasket.session import new_dir, stage
-from pricebasket.sources import files, tables
+from pricebasket.sources import catalog_store, files, tables
 from pricebasket.streaming import jobs
 
 RUN_DATE = "2023-01-01"
@@ -171,6 +171,19 @@ def current_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.publish_current(prices, "current_catalog", new_dir(spark, "current")).select(*LONG)
 
 
+@query
+def catalog_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue as it grows: the years to 1998, then 1999, then the rest, each merged into what is stored."""
+    obs = stage(tables.price_obs(spark, sf_dir), "observations")
+    year, root = F.year("pulling_date"), new_dir(spark, "catalogue")
+    name = "catalogue_" + root.rsplit("-", 1)[1]
+    for part in (obs.filter(year < 1999), obs.filter(year == 1999), obs.filter(year > 1999)):
+        snapshot = catalog_store.add_observations(spark, root, name, part, tables.stores(spark, sf_dir))
+    # The version's folders are known now; only its name goes.
+    spark.sql(f"DROP TABLE {name}")
+    return snapshot.catalog().select(*LONG)
+
+
 @query
 def to_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = consolidate.nest_prices(consolidate.catalog(tables.price_obs(spark, sf_dir)))

@@ -161,11 +161,13 @@ def publish_current(rows: DataFrame, name: str, path: str) -> DataFrame:
     """Full refresh of a current table: write a fresh version at ``path``, then point ``name`` at it.
 
     ``name`` is a table of the catalogue, which all sessions see; its location moves in one step.
-    Readers see the old version until the new one is complete, never an empty table.
+    Readers see the old version until the new one is complete, never an empty table. Only where columns or
+    their types change is the old table taken away just before the new one is made.
     """
     spark = rows.sparkSession
     rows.write.parquet(path)
-    if spark.catalog.tableExists(name) and spark.table(name).schema.names != rows.schema.names:
+    kinds = [(field.name, field.dataType) for field in rows.schema]
+    if spark.catalog.tableExists(name) and [(field.name, field.dataType) for field in spark.table(name).schema] != kinds:
         spark.sql(f"DROP TABLE {name}")
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")

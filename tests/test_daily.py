@@ -46,3 +46,19 @@ def test_days_accumulate_and_the_current_table_follows(spark, tmp_path):
     messages = spark.createDataFrame([(1, "milk 2", 32.8, 35.0)], "cart_id INT, message STRING, user_lat DOUBLE, user_lon DOUBLE")
     best = daily.answer_messages(messages, tables["products"], tables["stores"]).best.collect()
     assert [(r["store_name"], str(r["store_price"])) for r in best] == [("one", "12.00")]
+
+
+def test_days_are_taken_into_one_catalogue(spark, tmp_path):
+    """A day that lists fewer products keeps the others; stores come with it."""
+    root, name = str(tmp_path / "root"), "daily_catalogue"
+    first = inputs(spark, tmp_path / "d1", "5")
+    write_price_file(tmp_path / "d1" / "victory" / "prices", "victory", "2", "202301010400", [("7", "milk", "5"), ("6", "rye", "3")])
+    daily.update_day(spark, first, "2023-01-01", root, name)
+    second = inputs(spark, tmp_path / "d2", "6")
+    write_price_file(tmp_path / "d2" / "victory" / "prices", "victory", "2", "202301020300", [("7", "milk", "6")])
+    snapshot = daily.update_day(spark, second, "2023-01-02", root, name)
+    prices = {(r["name"], r["chain"]): str(r["price"]) for r in snapshot.catalog().collect()}
+    assert {chain: prices["milk", chain] for chain in constants.CHAINS} == dict.fromkeys(constants.CHAINS, "6.00")
+    assert prices["rye", "victory"] == "3.00"
+    assert {r["pulling_date"].isoformat() for r in snapshot.stores().collect()} == {"2023-01-02"}
+    spark.sql(f"DROP TABLE {name}")
