@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from pricebasket.operators.consolidate import dedup_first
+from pricebasket.session import stage, work_area
 
 
 def kafka_source(
@@ -70,25 +73,63 @@ def fan_out(messages: DataFrame, topics: Sequence[str]) -> DataFrame:
     return messages.withColumn("topic", F.explode(F.array(*[F.lit(topic) for topic in topics])))
 
 
-def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> None:
+#: Distinct keys of a batch that files are searched for one by one; a larger batch reads the key columns of all files.
+LOOKED_UP = 4_000
+#: Rows that a file of the table may hold.
+FILE_ROWS = 500_000
+
+
+def present_keys(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], hashes: Sequence[int] | None) -> DataFrame:
+    """The table's keys that may be those of ``hashes`` (all, if None).
+
+    Each file has a Bloom filter of its keys' hashes, which is tried against the list before any row
+    is read: rows come only from files that hold one of the keys (or, one time in a million, seem to).
+    """
+    stored = spark.read.schema(schema).parquet(path)
+    if hashes is not None:
+        stored = stored.filter(f"key_hash IN ({', '.join(map(str, hashes)) or 'NULL'})")
+    return stored.select(*(F.col(key).alias(f"present_{key}") for key in keys))
+
+
+@contextmanager
+def _long_lists(spark: SparkSession) -> Iterator[None]:
+    """Lists of keys reach the Parquet reader as they are, not as the range between their ends."""
+    name = "spark.sql.parquet.pushdown.inFilterThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(LOOKED_UP + 1))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
     """Append rows whose key the table lacks; the first row of a key wins. Null is a key like any other.
 
-    The table lies in folders by ``key_bucket``, a hash of the key, and of those only the ones that the
-    batch touches are read, key columns alone. A batch that runs again after a failure finds its
-    own rows there and adds nothing twice.
+    A batch of up to ``LOOKED_UP`` distinct keys reads only the files that hold some of them (see ``present_keys``), so
+    what it reads does not grow with the table. New rows are sorted by the hash of their key and carry it
+    in ``key_hash``. A batch that runs again after a failure finds its own rows there and adds nothing twice.
     """
     spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    first = dedup_first(batch, keys, order).withColumn("key_bucket", bucket)
-    # At most ``buckets`` numbers.
-    touched = sorted(row[0] for row in first.select("key_bucket").distinct().collect())
-    # The table exists from the first batch on, typed, so that the join below always has one.
-    spark.createDataFrame([], first.schema).write.mode("ignore").partitionBy("key_bucket").parquet(path)
-    present = spark.read.schema(first.schema).parquet(path).filter(F.col("key_bucket").isin(touched)).select(
-        *(F.col(key).alias(f"present_{key}") for key in keys))
-    same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"present_{key}")) for key in keys))
-    fresh = first.join(present, same, "left_anti")
-    fresh.write.mode("append").partitionBy("key_bucket").parquet(path)
+    with work_area(spark), _long_lists(spark):
+        first = stage(dedup_first(batch, keys, order).withColumn("key_hash", F.xxhash64(*keys)), "first-rows")
+        # The table exists from the first batch on, typed, so that the join below always has one.
+        spark.createDataFrame([], first.schema).coalesce(1).write.mode("ignore").parquet(path)
+        rows = first.count()
+        hashes = None if rows > LOOKED_UP else [row["key_hash"] for row in first.select("key_hash").collect()]
+        same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"present_{key}")) for key in keys))
+        fresh = first.join(present_keys(spark, path, first.schema, keys, hashes), same, "left_anti")
+        if fresh.isEmpty():
+            return
+        files = -(-rows // FILE_ROWS)
+        dealt = fresh.repartition(1) if files == 1 else fresh.repartitionByRange(files, "key_hash")
+        bloom = {"enabled": "true", "fpp": "0.000001", "expected.ndv": str(min(rows, 2 * FILE_ROWS))}
+        (
+            dealt.sortWithinPartitions("key_hash").write.mode("append")
+            .options(**{f"parquet.bloom.filter.{name}#key_hash": value for name, value in bloom.items()})
+            .option("parquet.bloom.filter.max.bytes", str(8 << 20))
+            .parquet(path)
+        )
 
 
 def insert_stream(

@@ -7,6 +7,7 @@ from pricebasket import schemas
 from pricebasket.operators import consolidate, posts
 from pricebasket.session import new_dir, stage, work_area
 from pricebasket.streaming import jobs
+from pyspark.sql import functions as F
 
 
 def drop(path, name, rows):
@@ -51,6 +52,51 @@ def test_null_keys_are_inserted_once(spark, tmp_path):
     assert sorted(map(str, map(tuple, got))) == ["('b', 1, 'y')", "(None, 1, 'first')"]
 
 
+def rows_read(df):
+    """Rows that the plan's file scans gave, after running it."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_batch_reads_only_files_that_hold_its_keys(spark, tmp_path):
+    """The rows read for a batch of few keys stay the same while the table grows four times."""
+    target = str(tmp_path / "t")
+
+    def batch(low, high):
+        return spark.range(low, high).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").cast("int").alias("at"), F.lit("v").alias("v"))
+
+    def read_for(keys):
+        stored = spark.read.parquet(target)
+        hashes = [r[0] for r in keys.select(F.xxhash64("id")).collect()]
+        with jobs._long_lists(spark):
+            return rows_read(jobs.present_keys(spark, target, stored.schema, ["id"], hashes))
+
+    seen = []
+    for part in range(8):
+        jobs.insert_if_absent(batch(part * 5000, (part + 1) * 5000), target, ["id"], ["at"])
+        if part in (1, 7):
+            # New keys are in no file; keys of the first batch are in its file alone.
+            seen.append((read_for(batch(900_000, 900_300)), read_for(batch(10, 310))))
+    assert seen == [(0, 5000), (0, 5000)]
+    # Old and new keys at once: only the new ones are added.
+    jobs.insert_if_absent(batch(39_900, 40_100), target, ["id"], ["at"])
+    table = spark.read.parquet(target)
+    assert table.count() == 40_100 == table.select("id").distinct().count()
+
+
+def test_large_batches_and_small_ones_give_one_table(spark, tmp_path, monkeypatch):
+    rows = spark.range(3000).select((F.col("id") % 700).cast("string").alias("id"), F.col("id").cast("int").alias("at"), F.lit("v").alias("v"))
+    for looked_up, file_rows in ((4000, 500_000), (10, 100)):
+        monkeypatch.setattr(jobs, "LOOKED_UP", looked_up)
+        monkeypatch.setattr(jobs, "FILE_ROWS", file_rows)
+        target = str(tmp_path / f"t{looked_up}")
+        for part in (rows.filter("at < 500"), rows.filter("at >= 300"), rows):
+            jobs.insert_if_absent(part, target, ["id"], ["at"])
+        got = spark.read.parquet(target).select("id", "at").collect()
+        assert sorted((int(r["id"]), r["at"]) for r in got) == [(i, i) for i in range(700)]
+
+
 def test_tables_of_one_file_or_many(spark, tmp_path):
     """A stream reads a folder of files and a lone file alike."""
     rows = spark.range(20)
