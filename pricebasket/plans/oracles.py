@@ -361,6 +361,8 @@ ORACLES: dict[str, str] = {
     "basket_cost": f"WITH {ALL_DATES}, {_totals(ORDER_LINES)} SELECT cart_id, chain, store_id, total FROM totals",
     "nearest_stores": f"""WITH {ALL_DATES}, {_totals(ORDER_LINES)}, {_nearest(ORDER_USERS)}
         SELECT cart_id, chain, store_id, store_name, total, distance, rank FROM nearest""",
+    "nearest_by_cells": f"""WITH {ALL_DATES}, {_totals(ORDER_LINES)}, {_nearest(ORDER_USERS)}
+        SELECT cart_id, chain, store_id, store_name, total, distance, rank FROM nearest""",
     "best_store": f"WITH {ALL_DATES}, {_totals(ORDER_LINES)}, {_nearest(ORDER_USERS)} SELECT * FROM best",
     "message_best_store": f"{ANSWERS} SELECT * FROM best",
     "answer_requests": f"""{ANSWERS}, asked_lists AS (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricebasket import constants, schemas
 from pricebasket.functions import space_time, text
-from pricebasket.operators import basket, consolidate, history, popularity, posts, search, stores
+from pricebasket.operators import basket, consolidate, history, nearby, popularity, posts, search, stores
 from pricebasket.plans import daily
 from pricebasket.session import new_dir, stage
 from pricebasket.sources import catalog_store, files, tables
@@ -407,6 +407,14 @@ def nearest_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def nearest_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as ``nearest_stores``, without a distance and a price for every covering store."""
+    return nearby.nearest_by_cells(
+        _order_carts(spark, sf_dir), _offered_prices(spark, sf_dir), tables.order_users(spark, sf_dir), tables.stores(spark, sf_dir)
+    )
+
+
 @query
 def best_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return basket.cheapest_near(_order_totals(spark, sf_dir), tables.order_users(spark, sf_dir), tables.stores(spark, sf_dir))
