@@ -20,10 +20,9 @@ def request_lines(requests: DataFrame) -> DataFrame:
 
 def top_products(requests: DataFrame, k: int = constants.TOP_PRODUCTS) -> DataFrame:
     """The k products on most request lines; lines count, not quantities. Ties by name."""
-    return (
-        request_lines(requests)
-        .groupBy("name")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "name")
-        .limit(k)
-    )
+    return top_counts(request_lines(requests).groupBy("name").agg(F.count(F.lit(1)).alias("count")), k)
+
+
+def top_counts(counts: DataFrame, k: int = constants.TOP_PRODUCTS) -> DataFrame:
+    """The k products of the largest ``count``. Ties by name."""
+    return counts.orderBy(F.desc("count"), "name").limit(k)

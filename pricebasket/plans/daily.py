@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,12 +84,38 @@ def update_day(spark: SparkSession, inputs: DailyInputs, run_date: str, root: st
         return catalog_store.add_observations(spark, root, table, daily_observations(spark, inputs, run_date), shops)
 
 
-@dataclass(frozen=True)
 class CartAnswers:
-    items: DataFrame
-    status: DataFrame
-    best: DataFrame
-    summary: DataFrame
+    """Answers to all messages; each is made when first asked for, from what the others have made."""
+
+    def __init__(self, messages: DataFrame, prices: DataFrame, shops: DataFrame):
+        self._messages, self._prices, self._shops = messages, prices, shops
+
+    @cached_property
+    def items(self) -> DataFrame:
+        products = stage(consolidate.catalog_products(self._prices), "products")
+        return stage(basket.match_products(basket.parse_carts(self._messages), products), "cart-items")
+
+    @cached_property
+    def _carts(self) -> DataFrame:
+        return stage(basket.cart_products(basket.complete_items(self.items)), "carts")
+
+    @cached_property
+    def _offer(self) -> tuple[DataFrame, DataFrame]:
+        return basket.offered(self._prices)
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return basket.cart_status(self.items, basket.served_carts(self._carts, self._offer[1]))
+
+    @cached_property
+    def best(self) -> DataFrame:
+        users = self._messages.select("cart_id", "user_lat", "user_lon")
+        return basket.cheapest_near(basket.basket_cost(self._carts, self._prices, self._offer), users, self._shops)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        served = basket.served_carts(self._carts, self._offer[1])
+        return basket.cart_summary(basket.complete_items(self.items).join(served, "cart_id", "left_semi"))
 
 
 def answer_messages(messages: DataFrame, prices: DataFrame, shops: DataFrame) -> CartAnswers:
@@ -98,15 +124,7 @@ def answer_messages(messages: DataFrame, prices: DataFrame, shops: DataFrame) ->
     ``messages``: cart_id, message, user_lat, user_lon. ``prices`` and ``shops`` are the current
     tables, already stored.
     """
-    products = stage(consolidate.catalog_products(prices), "products")
-    items = stage(basket.match_products(basket.parse_carts(messages), products), "cart-items")
-    complete = basket.complete_items(items)
-    users = messages.select("cart_id", "user_lat", "user_lon")
-    carts = stage(basket.cart_products(complete), "carts")
-    best = basket.cheapest_near(basket.basket_cost(carts, prices), users, shops)
-    status = basket.cart_status(items, basket.served_carts(carts, prices))
-    served = status.filter("status = 'ok'").select("cart_id")
-    return CartAnswers(items, status, best, basket.cart_summary(items.join(served, "cart_id", "left_semi")))
+    return CartAnswers(messages, prices, shops)
 
 
 def request_messages(answers: CartAnswers, messages: DataFrame) -> DataFrame:

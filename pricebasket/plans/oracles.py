@@ -263,6 +263,42 @@ REQUEST_LINES = """lines AS (
   UNION ALL SELECT p_name FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
+EVENT_CHAT = f"""
+  SELECT 'e' || user_id AS chat_id, event_id AS "at", CASE event_id % 7 WHEN 0 THEN '{constants.START_WORDS[0]}'
+      WHEN 1 THEN '{constants.START_WORDS[2]}' WHEN 2 THEN 'Top5' WHEN 5 THEN event_type || ' street' WHEN 6 THEN NULL
+      ELSE 'milk ' || CAST(floor(value) AS BIGINT) || ', ' || event_type || ' 2' END AS text FROM events"""
+
+
+def _chat(messages: str) -> str:
+    """Each message of ``messages`` (chat_id, at, text), a query, one step after the other."""
+    return f"""WITH RECURSIVE said AS (
+  SELECT *, chat_id || '-' || i AS cart_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY chat_id ORDER BY "at") AS i FROM ({messages}))),
+whole AS (SELECT cart_id, text AS message FROM said WHERE text IS NOT NULL), {_parsed('whole')},
+lists AS (SELECT cart_id, bool_and(valid) AS sound FROM parsed GROUP BY cart_id),
+kinds AS (
+  SELECT s.*, CASE WHEN text = '{constants.START_WORDS[2]}' THEN 'again' WHEN text IN {constants.START_WORDS} THEN 'start'
+    WHEN lower(text) = 'top5' THEN 'top_products' WHEN sound THEN 'list' ELSE 'other' END AS kind
+  FROM said s LEFT JOIN lists USING (cart_id)),
+moves AS (
+  SELECT states.state, kinds.kind,
+    CASE WHEN state = 'idle' AND kind IN ('again', 'start') THEN 'welcome' WHEN state IN ('idle', 'again') THEN 'ignored'
+      WHEN state = 'choose' AND kind = 'top_products' THEN 'top_products' WHEN state = 'choose' THEN 'ask_place'
+      WHEN state = 'place' THEN 'ask_list' WHEN kind = 'again' THEN 'ask_again' WHEN kind = 'list' THEN 'answer' ELSE 'bad_input' END AS step
+  FROM (VALUES ('idle'), ('choose'), ('place'), ('list'), ('again')) AS states(state),
+    (VALUES ('again'), ('start'), ('top_products'), ('list'), ('other')) AS kinds(kind)),
+walk AS (
+  SELECT chat_id, CAST(0 AS BIGINT) AS i, NULL::BIGINT AS "at", '' AS kind, '' AS state, '' AS step, 'idle' AS next_state, NULL::VARCHAR AS place
+  FROM (SELECT DISTINCT chat_id FROM said)
+  UNION ALL
+  SELECT k.chat_id, k.i, k."at", k.kind, w.next_state, m.step,
+    CASE m.step WHEN 'welcome' THEN 'choose' WHEN 'ask_place' THEN 'place' WHEN 'ask_list' THEN 'list' WHEN 'answer' THEN 'list'
+      WHEN 'ask_again' THEN 'again' ELSE 'idle' END,
+    CASE WHEN m.step = 'ask_list' THEN coalesce(k.text, '') ELSE w.place END
+  FROM walk w JOIN kinds k ON k.chat_id = w.chat_id AND k.i = w.i + 1 JOIN moves m ON m.state = w.next_state AND m.kind = k.kind)
+SELECT chat_id, "at", kind, state, step, next_state, place FROM walk WHERE i > 0"""
+
+
 def _flat_post(extra: str = "") -> str:
     return f"""SELECT 'user ' || (doc_id % 1000) AS name, source AS location, 'https://example.org/' || doc_id AS url,
   false AS protected, true AS verified, CAST(n_chars % 1000 AS INTEGER) AS followers_count,
@@ -317,6 +353,10 @@ ORACLES: dict[str, str] = {
             WHEN 'PROMO' THEN 'top5' WHEN 'MEDIUM' THEN '{constants.START_WORDS[2]}' ELSE p_name END FROM part)
         SELECT conv_id, turn, kind, CASE WHEN text IN {constants.START_WORDS} THEN 'start'
           WHEN lower(text) = 'top5' THEN 'top_products' ELSE 'cart' END AS intent FROM everything""",
+    "chat_steps": _chat(f"{EVENT_CHAT} UNION ALL SELECT 'c' || conv_id, turn, text FROM conversations"),
+    "stream_chat_steps": _chat(EVENT_CHAT),
+    "stream_top_products": f"""WITH {REQUEST_LINES}
+        SELECT name, count(*) AS count FROM lines GROUP BY name ORDER BY count DESC, name LIMIT {constants.TOP_PRODUCTS}""",
     "word_count": "SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS word_count FROM documents",
     "local_date": f"""SELECT event_id, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE '{constants.LOCAL_ZONE}' AS DATE) AS local_date
         FROM events""",

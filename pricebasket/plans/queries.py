@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from pricebasket import constants, schemas
 from pricebasket.functions import space_time, text
-from pricebasket.operators import basket, consolidate, history, nearby, popularity, posts, search, stores
+from pricebasket.operators import basket, chat, consolidate, history, nearby, popularity, posts, search, stores
 from pricebasket.plans import daily
 from pricebasket.session import new_dir, stage
 from pricebasket.sources import catalog_store, files, tables
-from pricebasket.streaming import jobs
+from pricebasket.streaming import jobs, stateful
 
 RUN_DATE = "2023-01-01"
 STAMP = "202301010300"
@@ -266,6 +266,12 @@ def message_intent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def chat_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The step that every chat message leads to."""
+    return chat.chat_steps(tables.chat_messages(spark, sf_dir)).drop("day")
+
+
 @query
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _posts(spark, sf_dir).select("doc_id", text.word_count(F.col("text")).alias("word_count"))
@@ -566,3 +572,21 @@ def stream_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = jobs.table_source(spark, f"{sf_dir}/events.parquet")
         _finish(jobs.insert_stream(events, path, new_dir(spark, "first-log"), ["user_id"], ["ts", "event_id"]))
     return _stored(spark, path).select("user_id", "event_id", "event_type", "value")
+
+
+@query
+def stream_chat_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of the events' chats by a stream that keeps each chat's state."""
+    messages = tables.event_messages(jobs.table_source(spark, f"{sf_dir}/events.parquet"))
+    path = new_dir(spark, "chat-steps")
+    _finish(jobs.append_table(stateful.chat_steps_stream(messages), path, new_dir(spark, "chat-log")))
+    return _stored(spark, path)
+
+
+@query
+def stream_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts of requested products, kept by a stream, and the most requested of them."""
+    path = new_dir(spark, "running-counts")
+    _finish(stateful.count_requests(
+        tables.request_records(jobs.table_source(spark, f"{sf_dir}/lineitem.parquet"), spark, sf_dir), path, new_dir(spark, "counts-log")))
+    return popularity.top_counts(stateful.running_counts(spark, path))

@@ -195,6 +195,26 @@ def cart_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_messages(events: DataFrame) -> DataFrame:
+    """Events, a table or a stream, as chat messages of their users: start words, choices, places, lists and slips."""
+    n = F.col("event_id") % 7
+    text = (
+        F.when(n == 0, constants.START_WORDS[0]).when(n == 1, constants.START_WORDS[2]).when(n == 2, "Top5")
+        .when(n.isin(3, 4), F.concat(F.lit("milk "), F.floor("value").cast("string"), F.lit(", "), F.col("event_type"), F.lit(" 2")))
+        .when(n == 5, F.concat_ws(" ", "event_type", F.lit("street")))
+    )
+    return events.select(
+        F.concat(F.lit("e"), F.col("user_id").cast("string")).alias("chat_id"), F.to_date("ts").alias("day"), F.col("event_id").alias("at"), text.alias("text"))
+
+
+def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events and all conversations as chat messages; a conversation is one day's."""
+    talk = table(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("chat_id"), F.lit("2024-01-01").cast("date").alias("day"),
+        F.col("turn").cast("long").alias("at"), "text")
+    return event_messages(table(spark, sf_dir, "events")).unionByName(talk)
+
+
 def request_records(lineitem: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stored request per order line: the product asked for and a plainer second line.
 
