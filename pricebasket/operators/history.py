@@ -127,3 +127,55 @@ def price_as_of(requests: DataFrame, intervals: DataFrame, day: str = "day") ->
     for key in KEYS:
         same = same & F.col(key).eqNullSafe(F.col(f"asked_{key}"))
     return requests.join(answered, same, "left").select(*requests.columns, "price", "price_since")
+
+
+# ---- trends and totals --------------------------------------------------------------------
+
+
+def filled_days(lowest: DataFrame, stale_after: int) -> DataFrame:
+    """Every day on which a price is known: name, chain, day, price, observed.
+
+    ``lowest``: name, chain, pulling_date, price, a row per line and day. A price is taken on to the day before the next one, for at most ``stale_after``
+    days, so a row becomes a bounded number of days.
+    """
+    line = Window.partitionBy("name", "chain").orderBy("pulling_date")
+    last = F.least(F.date_sub(F.lead("pulling_date").over(line), 1), F.date_add("pulling_date", stale_after))
+    days = F.sequence("pulling_date", "last", F.expr("INTERVAL 1 DAY"))
+    return lowest.withColumn("last", last).select("name", "chain", "price", "pulling_date", F.explode(days).alias("day")).select(
+        "name", "chain", "day", "price", (F.col("day") == F.col("pulling_date")).alias("observed"))
+
+
+def price_trend(daily: DataFrame, days: int = 28, stale_after: int = 30) -> DataFrame:
+    """For each product, chain and day with a price: the lowest one, and the mean, slope (a day) and number of the last ``days`` days' prices.
+
+    Days without a file take the last price, up to ``stale_after`` days old. Frames reach over days, not rows, and days are dates: neither a missing day nor
+    a change of clocks shifts them. Blank prices are no prices. The slope is null on a single day.
+    """
+    lowest = daily.filter(F.col("price").isNotNull()).groupBy("name", "chain", "pulling_date").agg(F.min("price").alias("price"))
+    number = F.date_diff("day", F.lit("1970-01-01").cast("date"))
+    frame = Window.partitionBy("name", "chain").orderBy("number").rangeBetween(1 - days, 0)
+    value = F.col("price").cast("double")
+    return (
+        filled_days(lowest, stale_after).withColumn("number", number)
+        .withColumns({
+            "known_days": F.count(F.lit(1)).over(frame),
+            "mean_price": F.round(F.sum("price").over(frame).cast("double") / F.count(F.lit(1)).over(frame), 6),
+            "slope": F.round(F.regr_slope(value, F.col("number").cast("double")).over(frame), 6),
+        })
+        .filter("observed").select("name", "chain", "day", "price", "known_days", "mean_price", "slope")
+    )
+
+
+def chain_rollup(daily: DataFrame, period: str = "month") -> DataFrame:
+    """Number, lowest, mean and highest of daily prices by chain, period and product, and their totals.
+
+    Totals over products, over chains, over both and over everything. ``level`` (grouping_id of chain, period, name) tells a total from a row whose
+    key is null. Prices are combined per (chain, period, name) before they are multiplied into the totals' rows, and again on the map side there.
+    """
+    finest = daily.filter(F.col("price").isNotNull()).groupBy("chain", F.trunc("pulling_date", period).alias("period"), "name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").alias("total"), F.min("price").alias("low"), F.max("price").alias("high"))
+    sets = [["chain", "period", "name"], ["chain", "period"], ["period", "name"], ["period"], ["chain"], []]
+    columns = {name: F.col(name) for name in ("chain", "period", "name")}
+    return finest.groupingSets([[columns[name] for name in each] for each in sets], *columns.values()).agg(
+        F.grouping_id().cast("int").alias("level"), F.sum("n").alias("prices"), F.min("low").alias("min_price"),
+        F.round(F.sum("total").cast("double") / F.sum("n"), 6).alias("mean_price"), F.max("high").alias("max_price"))

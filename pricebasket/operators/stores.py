@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricebasket import constants
 from pricebasket.functions import text
+from pricebasket.operators.fuzzy import similar_pairs
 
 # Per chain, the column of the source that holds each canonical store column.
 STORE_COLUMNS = {
@@ -136,3 +137,26 @@ def unresolved_addresses(rows: DataFrame, gazetteer: DataFrame) -> DataFrame:
     keyed = rows.select(normal_address(F.col("address"), F.col("city")).alias("full_address"))
     counted = keyed.groupBy("full_address").agg(F.count(F.lit(1)).alias("rows"))
     return counted.join(gazetteer.select("full_address"), "full_address", "left_anti")
+
+
+def geocode_fuzzy(rows: DataFrame, gazetteer: DataFrame, max_edits: int = 2) -> DataFrame:
+    """`geocode`, and for addresses the gazetteer lacks the place of the nearest spelling it has.
+
+    A spelling may differ in up to ``max_edits`` characters but not in its numbers, as another house number is
+    another house; of several the one with fewest edits, then the least, counts. ``matched_address`` and ``edits``
+    say what was taken. Distinct addresses are compared, so a hot address costs one comparison.
+    """
+    known = gazetteer.groupBy("full_address").agg(F.min(F.struct("latitude", "longitude")).alias("place")).select("full_address", "place.*")
+    keyed = rows.withColumn("full_address", normal_address(F.col("address"), F.col("city")))
+    asked = keyed.select("full_address").distinct().join(known.select("full_address"), "full_address", "left_anti")
+
+    def numbers(column: str) -> Column:
+        return F.regexp_extract_all(column, F.lit(r"(\d+)"))
+
+    pairs = similar_pairs(asked, known.select("full_address"), max_edits).filter(numbers("asked") == numbers("known"))
+    nearest = pairs.groupBy("asked").agg(F.min(F.struct("edits", "known")).alias("best")).select("asked", "best.*")
+    places = known.select(F.col("full_address").alias("matched_address"), "latitude", "longitude")
+    found = nearest.join(places, F.col("known") == F.col("matched_address")).select(
+        F.col("asked").alias("full_address"), "matched_address", "edits", "latitude", "longitude")
+    exact = known.select("full_address", F.col("full_address").alias("matched_address"), F.lit(0).alias("edits"), "latitude", "longitude")
+    return keyed.join(exact.unionByName(found), "full_address", "left").withColumn("resolved", F.col("latitude").isNotNull())

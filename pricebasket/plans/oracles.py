@@ -379,6 +379,25 @@ ORACLES: dict[str, str] = {
     "geocode_join": f"""WITH {GEOCODED}
         SELECT c_custkey AS customer_id, full_address, CASE WHEN known THEN {_lat('n_nationkey')} END AS latitude,
           CASE WHEN known THEN {_lon('n_nationkey')} END AS longitude, known AS resolved FROM addressed""",
+    "geocode_fuzzy": f"""WITH known AS (
+          SELECT lower(c_mktsegment || ' ' || (1 + n_nationkey % 2) || ', ' || n_name) AS full_address, min(n_nationkey) AS place
+          FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1),
+        typed AS (
+          SELECT c_custkey AS customer_id, c_custkey % 4 AS kind, n_name, c_mktsegment || '   ' || (1 + c_custkey % 2) AS address
+          FROM customer JOIN nation ON c_nationkey = n_nationkey),
+        wrong AS (
+          SELECT customer_id, lower(regexp_replace(CASE kind WHEN 1 THEN substr(address, 1, 1) || substr(address, 3)
+            WHEN 2 THEN substr(address, 1, 3) || substr(address, 3) WHEN 3 THEN substr(address, 1, 2) || 'xy' || substr(address, 4)
+            ELSE address END || ', ' || n_name, '\\s+', ' ', 'g')) AS full_address FROM typed),
+        pairs AS (
+          SELECT a.full_address, k.full_address AS matched_address, CAST(levenshtein(a.full_address, k.full_address) AS INTEGER) AS edits, place
+          FROM (SELECT DISTINCT full_address FROM wrong) a JOIN known k
+            ON regexp_extract_all(a.full_address, '\\d+') = regexp_extract_all(k.full_address, '\\d+')
+            AND levenshtein(a.full_address, k.full_address) <= 2),
+        best AS (SELECT *, row_number() OVER (PARTITION BY full_address ORDER BY edits, matched_address) AS pick FROM pairs)
+        SELECT customer_id, w.full_address, matched_address, edits, {_lat('place')} AS latitude, {_lon('place')} AS longitude,
+          place IS NOT NULL AS resolved
+        FROM wrong w LEFT JOIN best b ON w.full_address = b.full_address AND pick = 1""",
     "unresolved_addresses": f"""WITH {GEOCODED}
         SELECT full_address, count(*) AS rows FROM addressed WHERE NOT known GROUP BY full_address""",
     "latest_file": f"""WITH {OBS}, newest AS (
@@ -426,6 +445,23 @@ ORACLES: dict[str, str] = {
           max(price) - min(price) AS spread, CAST(count(*) AS INTEGER) AS chains_count FROM placed GROUP BY period, name""",
     "price_intervals": INTERVALS,
     "price_intervals_extended": INTERVALS,
+    "price_trend": f"""WITH {DAILY},
+        lowest AS (SELECT name, chain, pulling_date, min(price) AS price FROM daily GROUP BY name, chain, pulling_date),
+        spans AS (
+          SELECT *, least(lead(pulling_date) OVER (PARTITION BY name, chain ORDER BY pulling_date), pulling_date + 31) AS upto FROM lowest),
+        filled AS (
+          SELECT name, chain, price, pulling_date, CAST(unnest(generate_series(pulling_date, upto - 1, INTERVAL 1 DAY)) AS DATE) AS day FROM spans),
+        numbered AS (SELECT *, day - DATE '1970-01-01' AS number FROM filled),
+        framed AS (
+          SELECT *, count(*) OVER frame AS known_days, round(CAST(sum(price) OVER frame AS DOUBLE) / count(*) OVER frame, 6) AS mean_price,
+            round(regr_slope(CAST(price AS DOUBLE), CAST(number AS DOUBLE)) OVER frame, 6) AS slope
+          FROM numbered WINDOW frame AS (PARTITION BY name, chain ORDER BY number RANGE BETWEEN 27 PRECEDING AND CURRENT ROW))
+        SELECT name, chain, day, price, known_days, mean_price, CASE WHEN known_days > 1 THEN slope END AS slope
+        FROM framed WHERE day = pulling_date""",
+    "chain_rollup": f"""WITH {DAILY}, dated AS (SELECT *, CAST(date_trunc('month', pulling_date) AS DATE) AS period FROM daily)
+        SELECT chain, period, name, CAST(GROUPING(chain, period, name) AS INTEGER) AS level, count(*) AS prices, min(price) AS min_price,
+          round(CAST(sum(price) AS DOUBLE) / count(*), 6) AS mean_price, max(price) AS max_price
+        FROM dated GROUP BY GROUPING SETS ((chain, period, name), (chain, period), (period, name), (period), (chain), ())""",
     "price_as_of": f"""WITH {DAILY}, {_intervals("lag(price) OVER line <> price OR pulling_date - lag(pulling_date) OVER line > 365")},
         asked AS (
           SELECT l_orderkey, l_linenumber, p_name || ' ' || p_brand AS name, chain, store_id, CAST(o_orderdate AS DATE) AS day

@@ -333,6 +333,13 @@ def geocode_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("customer_id", "full_address", "latitude", "longitude", "resolved")
 
 
+@query
+def geocode_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Misspelt addresses with the place of the nearest spelling."""
+    rows = stores.geocode_fuzzy(tables.misspelt_addresses(spark, sf_dir), stage(tables.gazetteer(spark, sf_dir), "gazetteer"))
+    return rows.select("customer_id", "full_address", "matched_address", "edits", "latitude", "longitude", "resolved")
+
+
 @query
 def unresolved_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stores.unresolved_addresses(tables.customer_addresses(spark, sf_dir), tables.gazetteer(spark, sf_dir))
@@ -479,6 +486,16 @@ def price_intervals_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+@query
+def price_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.price_trend(_daily(spark, sf_dir))
+
+
+@query
+def chain_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.chain_rollup(_daily(spark, sf_dir))
+
+
 @query
 def price_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The price of every order line's product and store on the order's day; prices not seen for a year are unknown."""

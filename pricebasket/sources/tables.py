@@ -137,6 +137,19 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def misspelt_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose typed address may lack its second letter, have one doubled or another exchanged."""
+    typed = F.trim("address")
+    kind = F.col("customer_id") % 4
+    wrong = (
+        F.when(kind == 1, F.concat(F.substring(typed, 1, 1), F.substring(typed, 3, 100)))
+        .when(kind == 2, F.concat(F.substring(typed, 1, 3), F.substring(typed, 3, 100)))
+        .when(kind == 3, F.concat(F.substring(typed, 1, 2), F.lit("xy"), F.substring(typed, 4, 100)))
+        .otherwise(typed)
+    )
+    return customer_addresses(spark, sf_dir).withColumn("address", wrong)
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every order as a cart line that names its product exactly."""
     part = table(spark, sf_dir, "part").select("p_partkey", item_name().alias("product_name"))

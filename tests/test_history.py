@@ -129,3 +129,25 @@ def test_a_hot_product_asked_for_very_often(spark):
     assert got.count() == 30_000 and got.filter("price is null").count() == 0
     assert {(r["day"] - FIRST).days: int(r["price"]) for r in got.filter("name = 'hot'").select("day", "price").distinct().collect()} == {
         n: (n // 3 * 3) // 7 for n in range(10)}
+
+
+def test_trend_over_gaps_and_a_change_of_clocks(spark):
+    """Clocks change in the night to March 29 there; a day without a file takes the last price, for stale_after days."""
+    rows = [("milk", "001", 0, 10), ("milk", "002", 0, 12), ("milk", "001", 4, 14), ("milk", "001", 20, 5), ("milk", "002", 21, None)]
+    got = {(r["day"] - FIRST).days: (int(r["price"]), r["known_days"], r["mean_price"], r["slope"])
+           for r in history.price_trend(daily(spark, rows), days=7, stale_after=5).collect()}
+    # Day 4: days 0 to 3 at 10, day 4 at 14; day 20: the days 14 to 19 are not known.
+    x, y = range(5), [10, 10, 10, 10, 14]
+    slope = sum((a - 2) * (b - 10.8) for a, b in zip(x, y)) / sum((a - 2) ** 2 for a in x)
+    assert got == {0: (10, 1, 10.0, None), 4: (14, 5, 10.8, round(slope, 6)), 20: (5, 1, 5.0, None)}
+
+
+def test_rollup_tells_null_keys_from_totals(spark):
+    rows = [(None, "001", 0, 10), ("tea", "001", 0, 20), ("tea", "001", 40, 30), ("rye", "001", 3, None)]
+    got = {(r["level"], r["chain"], str(r["period"]), r["name"]): (r["prices"], int(r["min_price"]), r["mean_price"], int(r["max_price"]))
+           for r in history.chain_rollup(daily(spark, rows)).collect()}
+    assert got[0, "victory", "2024-03-01", None] == (1, 10, 10.0, 10)
+    assert got[1, "victory", "2024-03-01", None] == (2, 10, 15.0, 20)
+    assert got[7, None, "None", None] == (3, 10, 20.0, 30)
+    assert got[4, None, "2024-05-01", "tea"] == (1, 30, 30.0, 30)
+    assert "partial_" in plan(history.chain_rollup(daily(spark, rows)))
