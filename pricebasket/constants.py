@@ -58,3 +58,10 @@ LEXICON = {
     "bad": -0.7, "sad": -0.5, "hate": -0.8, "poor": -0.4, "wrong": -0.5,
     "expensive": -0.5, "broken": -0.4,
 }
+
+# Words that turn or strengthen the opinion after them; how far a negation reaches and what it multiplies by.
+# Callers pass their own table for other languages.
+NEGATIONS = ("not", "no", "never", "nicht", "kein", "pas", "jamais", "nunca")
+INTENSIFIERS = {"very": 1.3, "really": 1.2, "extremely": 1.5, "so": 1.2, "sehr": 1.3, "zu": 1.2, "très": 1.3, "muy": 1.3, "que": 1.1}
+NEGATION_REACH = 3
+NEGATED = -0.5

@@ -250,6 +250,34 @@ opinion AS (
 sentiments AS (
   SELECT d.doc_id, coalesce(sentiment, CAST(0 AS DOUBLE)) AS sentiment FROM documents d LEFT JOIN opinion USING (doc_id))"""
 
+_MODIFIERS = ", ".join(
+    [f"('{word}', 'negation', CAST(0 AS DOUBLE))" for word in constants.NEGATIONS]
+    + [f"('{word}', 'intensifier', CAST({value} AS DOUBLE))" for word, value in constants.INTENSIFIERS.items()])
+
+SCORES = f"""WITH modifiers(word, kind, value) AS (VALUES {_MODIFIERS}),
+tokens AS (
+  SELECT doc_id, unnest(range(len(words))) AS pos, unnest(words) AS word FROM (SELECT doc_id, {_tokens('text')} AS words FROM documents)),
+judged AS (SELECT d.doc_id, quality FROM documents d JOIN labels USING (doc_id) WHERE quality IN (0, 1) AND text IS NOT NULL),
+sizes AS (SELECT CAST(count(*) FILTER (quality = 1) AS DOUBLE) AS goods, CAST(count(*) FILTER (quality = 0) AS DOUBLE) AS bads FROM judged),
+counts AS (
+  SELECT word, count(*) FILTER (quality = 1) AS good, count(*) FILTER (quality = 0) AS bad
+  FROM (SELECT DISTINCT doc_id, word FROM tokens) JOIN judged USING (doc_id) GROUP BY word HAVING count(*) >= 5),
+lexicon AS (
+  SELECT word, 'opinion' AS kind, round((good * bads - bad * goods) / (good * bads + bad * goods), 6) AS value
+  FROM counts, sizes WHERE goods > 0 AND bads > 0 AND word NOT IN (SELECT word FROM modifiers)
+  UNION ALL SELECT * FROM modifiers),
+known AS (
+  SELECT doc_id, pos, kind, value,
+    max(CASE WHEN kind = 'negation' THEN 1 END) OVER (PARTITION BY doc_id ORDER BY pos RANGE BETWEEN {constants.NEGATION_REACH} PRECEDING AND 1 PRECEDING) AS negated,
+    max(CASE WHEN kind = 'intensifier' THEN value END) OVER (PARTITION BY doc_id ORDER BY pos RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS factor
+  FROM tokens JOIN lexicon USING (word)),
+scored AS (
+  SELECT doc_id, greatest(least(value * coalesce(factor, 1) * CASE WHEN negated = 1 THEN CAST({constants.NEGATED} AS DOUBLE) ELSE 1 END, 1), -1) AS score
+  FROM known WHERE kind = 'opinion'),
+means AS (SELECT doc_id, count(*) AS opinions, round(avg(score), 6) AS sentiment FROM scored GROUP BY doc_id)
+SELECT d.doc_id, coalesce(opinions, 0) AS opinions, CASE WHEN text IS NOT NULL THEN coalesce(sentiment, CAST(0 AS DOUBLE)) END AS sentiment
+FROM documents d LEFT JOIN means USING (doc_id)"""
+
 GEOCODED = f"""
 addressed AS (
   SELECT c_custkey, lower(c_mktsegment || ' ' || (1 + c_custkey % 2) || ', ' || n_name) AS full_address, n_nationkey,
@@ -363,6 +391,8 @@ ORACLES: dict[str, str] = {
     "event_time_parts": """SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute,
         strftime(ts, '%Y-%m-%dT%H:%M:%S') AS at FROM events""",
     "lexicon_sentiment": f"WITH {SENTIMENT} SELECT doc_id, sentiment FROM sentiments",
+    "lexicon_scores": SCORES,
+    "stream_lexicon_scores": SCORES,
     "obs_store_join": f"""WITH {OBS}, shops AS ({STORES})
         SELECT chain, store_id, item_code, item_name, price, pulling_date, chain_id, chain_name, store_name, address, city
         FROM obs JOIN shops USING (chain, store_id)""",

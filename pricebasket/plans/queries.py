@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricebasket import constants, schemas
 from pricebasket.functions import space_time, text
-from pricebasket.operators import basket, chat, consolidate, history, nearby, popularity, posts, search, stores
+from pricebasket.operators import basket, chat, consolidate, history, nearby, popularity, posts, search, sentiment, stores
 from pricebasket.plans import daily
 from pricebasket.session import new_dir, stage
 from pricebasket.sources import catalog_store, files, tables
@@ -178,7 +178,7 @@ def catalog_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     year, root = F.year("pulling_date"), new_dir(spark, "catalogue")
     name = "catalogue_" + root.rsplit("-", 1)[1]
     for part in (obs.filter(year < 1999), obs.filter(year == 1999), obs.filter(year > 1999)):
-        snapshot = catalog_store.add_observations(spark, root, name, part, tables.stores(spark, sf_dir))
+        snapshot = catalog_store.add_observations(spark, root, name, part, tables.stores(spark, sf_dir), buckets=16)
     # The version's folders are known now; only its name goes.
     spark.sql(f"DROP TABLE {name}")
     return snapshot.catalog().select(*LONG)
@@ -300,6 +300,17 @@ def lexicon_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _posts(spark, sf_dir).select("doc_id", F.round(score, 6).alias("sentiment"))
 
 
+def _learned_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    opinions = sentiment.learned_opinions(_posts(spark, sf_dir), tables.table(spark, sf_dir, "labels"))
+    return stage(sentiment.lexicon_of(opinions, sentiment.modifiers(spark)), "lexicon")
+
+
+@query
+def lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentiment of every text by the words of its good and bad labelled texts, with negations and intensifiers."""
+    return sentiment.lexicon_scores(_posts(spark, sf_dir).select("doc_id", "text"), _learned_lexicon(spark, sf_dir))
+
+
 # ---- joins --------------------------------------------------------------------------------
 
 
@@ -607,3 +618,12 @@ def stream_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     _finish(stateful.count_requests(
         tables.request_records(jobs.table_source(spark, f"{sf_dir}/lineitem.parquet"), spark, sf_dir), path, new_dir(spark, "counts-log")))
     return popularity.top_counts(stateful.running_counts(spark, path))
+
+
+@query
+def stream_lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of ``lexicon_scores`` by a stream over the texts."""
+    lexicon, path = _learned_lexicon(spark, sf_dir), new_dir(spark, "scored")
+    texts = jobs.table_source(spark, f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    _finish(jobs.append_batches(texts, lambda batch: sentiment.lexicon_scores(batch, lexicon), path, new_dir(spark, "scored-log")))
+    return _stored(spark, path).drop("batch")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -65,6 +65,19 @@ def append_table(
     return writer.start(path)
 
 
+def append_batches(stream: DataFrame, made: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
+    """Append what ``made`` makes of each batch, for operators that no stream plan can hold, until the source is used up.
+
+    Each batch has a folder of its own, which the same batch after a failure replaces.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with work_area(batch.sparkSession):
+            made(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def fan_out(messages: DataFrame, topics: Sequence[str]) -> DataFrame:
     """Each message once per topic, in a ``topic`` column as a Kafka sink expects it.
 
