@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pricebasket.llm import files
+from pricebasket.llm.batches import released
+from pricebasket.llm.words import finalize
+
+#: Keys in a shard of a set, about.
+SET_KEYS = 2_000_000
 
 
 def save(uri: str, keys: np.ndarray, values: dict[str, np.ndarray]) -> None:
@@ -71,3 +80,55 @@ class Sharded:
             for name, column in found.items():
                 column[low:high][held] = array.of[name][at[held]]
         return found
+
+
+class IdSet:
+    """64-bit ids in sorted hash arrays. The hash of an id is one to one, so an id is found if and only if it is there."""
+
+    def __init__(self, stem: str, shards: int):
+        self.arrays = Sharded(stem, shards)
+
+    def has(self, ids: np.ndarray) -> np.ndarray:
+        keys, place = np.unique(finalize(ids.astype(np.int64).view(np.uint64)), return_inverse=True)
+        return self.arrays.get(keys, there=0)["there"][place] > 0
+
+
+def save_ids(ids: DataFrame, stem: str) -> IdSet:
+    """Write the distinct values of the one column of ``ids`` (long, not null); tasks map what the result names.
+
+    Shards have about ``SET_KEYS`` keys each, whatever their number.
+    """
+    distinct = ids.toDF("id").select(F.col("id").cast("long")).filter(F.col("id").isNotNull()).distinct()
+    shards = 1 << max(0, -(-distinct.count() // SET_KEYS) - 1).bit_length()
+    found = IdSet(stem, shards)
+
+    def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in parts:
+            keys = finalize(batch["id"].to_numpy().view(np.uint64))
+            yield pd.DataFrame({"shard": found.arrays.shard_of(keys), "key": keys.view(np.int64)})
+
+    def write(shard: int, parts: list[np.ndarray]) -> pd.DataFrame:
+        keys = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+        save(found.arrays.path(shard), keys, {"there": np.ones(keys.size, np.int8)})
+        return pd.DataFrame({"n": [keys.size]})
+
+    def gathered(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, held = None, []
+        for batch in parts:
+            for number, part in batch.groupby("shard", sort=False):
+                if held and number != shard:
+                    yield write(shard, held)
+                    held = []
+                shard = number
+                held.append(part["key"].to_numpy().view(np.uint64))
+        if held:
+            yield write(shard, held)
+
+    dealt = distinct.mapInPandas(released(hashed), "shard long, key long").repartition(shards, "shard").sortWithinPartitions("shard")
+    written = dealt.mapInPandas(released(gathered), "n long").count()
+    if written < shards:
+        if written:
+            raise RuntimeError("a shard of the set got no id")
+        for shard in range(shards):
+            write(shard, [])
+    return found
