@@ -22,11 +22,11 @@ from pricebasket.session import new_dir, stage
 
 ROWS, BANDS = 2, 12
 HASHES = 2 * ROWS * BANDS
-#: The first members of a table entry, and the members that are compared with those at first.
+#: All pairs of an entry's first members up to the ninth are compared at first, and its first member with NEAR others.
 HEADS, NEAR = 8, 32
 #: About as many classes of large entries lie in a block; blocks that share an entry are compared whole.
 MEMBERS = 512
-#: Of 48 minhashes, a pair of similarity 0.8 shares fewer than these once in 10**8 pairs.
+#: Of 48 minhashes, a pair of similarity 0.8 shares fewer than these once in 10**8 pairs; of their low bytes, fewer still.
 AGREE = 22
 _rng = np.random.default_rng(80_02)
 _A = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -59,7 +59,7 @@ def shingles(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _signed(texts: list[str | None], size: int) -> dict:
-    """Size, 128-bit digest and minhashes (32 bits each) of each text's shingle set."""
+    """Size, 128-bit digest and minhashes (32 bits each; ``tag`` has the low 8 bits) of each text's shingle set."""
     found, bounds = shingles(texts, size)
     n = np.diff(bounds)
     held = n > 0
@@ -72,7 +72,8 @@ def _signed(texts: list[str | None], size: int) -> dict:
                 digest[k][held] = np.add.reduceat(finalize(found + np.uint64(0x51ED27 + k)), starts)
             for f in range(HASHES):
                 least[held, f] = np.minimum.reduceat((found * _A[f] + _B[f]) >> np.uint64(32), starts)
-    return {"n_shingles": n, "node": digest[0].view(np.int64), "check": digest[1].view(np.int64), "sig": [row.tobytes() for row in least]}
+    return {"n_shingles": n, "node": digest[0].view(np.int64), "check": digest[1].view(np.int64), "sig": [row.tobytes() for row in least],
+            "tag": [row.tobytes() for row in least.astype(np.uint8)]}
 
 
 def _tables(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,7 +81,8 @@ def _tables(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     Where more than ``NEAR`` members of one entry meet in a block, those past the first ``NEAR`` are dealt
     apart from it, so that a frequent entry sends few rows per block to its place. All members of
-    such an entry carry themselves as y.
+    such an entry carry themselves as y. Members are in the order of their names, so that entries of the same
+    classes have the same first member, and its pairs are the same pairs in all of them.
     """
     for batch in parts:
         for at in range(0, len(batch), 1024):
@@ -92,7 +94,7 @@ def _tables(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             number = np.arange(BANDS * BANDS, dtype=np.uint64).reshape(BANDS, BANDS)
             key = pair(pair(band[:, 0, :, None], band[:, 1, None, :]), np.broadcast_to(number, (len(part), BANDS, BANDS))).reshape(-1)
             node = np.repeat(part["node"].to_numpy(), BANDS * BANDS)
-            order = np.lexsort((node ^ key.view(np.int64), key))
+            order = np.lexsort((node, key))
             key, node = key[order].view(np.int64), node[order]
             place, start = _places(key)
             full = np.bincount(start, minlength=key.size)[start] > NEAR
@@ -110,9 +112,9 @@ def _places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFrame]:
-    """From rows sorted by key: (null, x, y) to compare, and all (key, x, null) of large entries.
+    """From rows sorted by key and name: (null, x, y) to compare, and all (key, x, null) of large entries.
 
-    The rows of a key come in an order of its own, so that entries of the same classes have different heads.
+    All pairs of an entry's first ``heads`` + 1 members, so of a whole small entry, and its first member with those up to ``NEAR``.
     """
     open_key, open_nodes, seen = None, np.zeros(0, np.int64), 0
     for batch in parts:
@@ -130,7 +132,7 @@ def _candidates(parts: Iterator[pd.DataFrame], heads: int) -> Iterator[pd.DataFr
         place = np.where((start == 0) & fresh, place - skip + before, place) if skip else place
         x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k in range(heads):
-            rows = np.flatnonzero(fresh & (place > k) & (place < NEAR))
+            rows = np.flatnonzero(fresh & (place > k) & (place < (NEAR if k == 0 else heads + 1)))
             x.append(node[start[rows] + k])
             y.append(node[rows])
         x, y = np.concatenate(x), np.concatenate(y)
@@ -196,7 +198,7 @@ class Verifier:
         self.texts = Grown(docs.sparkSession, "texts", "node long, text string")
 
     def _side(self, name: str) -> DataFrame:
-        return self.classes.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("sig").alias(f"s{name}"))
+        return self.classes.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("tag").alias(f"s{name}"))
 
     def _fetch(self, likely: DataFrame) -> DataFrame:
         need = likely.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(
@@ -214,7 +216,7 @@ class Verifier:
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         def agree(one: list[bytes], other: list[bytes]) -> dict:
-            a, b = (np.frombuffer(b"".join(each), "<u4").reshape(-1, HASHES) for each in (one, other))
+            a, b = (np.frombuffer(b"".join(each), np.uint8).reshape(-1, HASHES) for each in (one, other))
             return {"same": (a == b).sum(axis=1)}
 
         sized = pairs.join(self._side("x"), "x").join(self._side("y"), "y").filter(
@@ -276,7 +278,7 @@ def _likely(one: dict[str, np.ndarray], other: dict[str, np.ndarray], same_block
     n, m = one["n"][:, None], other["n"][None]
     likely &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
     same = np.zeros(likely.shape, np.uint8)
-    for a, b in zip(one["sig"].reshape(HASHES, -1), other["sig"].reshape(HASHES, -1)):
+    for a, b in zip(one["tag"].reshape(HASHES, -1), other["tag"].reshape(HASHES, -1)):
         same += a[:, None] == b[None]
     return likely & (same >= AGREE)
 
@@ -342,12 +344,12 @@ def _across(large: DataFrame, classes: DataFrame, roots: DataFrame, verifier: Ve
 
     def put(block: int, rows: pd.DataFrame) -> None:
         rows = rows.sort_values("node")
-        sig = np.frombuffer(b"".join(rows["sig"]), "<u4").reshape(len(rows), HASHES)
+        tag = np.frombuffer(b"".join(rows["tag"]), np.uint8).reshape(len(rows), HASHES)
         files.write_arrays(f"{folder}/{block}.bin", {
             "node": rows["node"].to_numpy("<i8"), "root": rows["root"].to_numpy("<i8"), "n": rows["n_shingles"].to_numpy("<i8"),
-            "sig": sig.T.reshape(-1)})
+            "tag": tag.T.reshape(-1)})
 
-    _saved(blocks.join(classes.select("node", "n_shingles", "sig"), "node").join(roots, "node", "left").withColumn(
+    _saved(blocks.join(classes.select("node", "n_shingles", "tag"), "node").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")), put)
 
     def likely(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -394,22 +396,23 @@ def groups(docs: DataFrame, size: int, percent: int, rounds: int, heads: int) ->
     """(doc_id, h, n_shingles, root) of all rows; ``h`` is the text's xxhash64, ``root`` names the group of links.
 
     Equal sets are one class first (a map-side sum, so thousands of copies are one row). Table entries
-    send a few rows per block of classes. In an entry, the first ``heads`` classes are compared with some
-    others, as rows; in entries with more classes all pairs of different components are then compared
-    in blocks (`_across`), so nothing depends on who is a head. ``rounds`` is unused: no passes are left to bound.
+    send a few rows per block of classes. Of an entry with up to ``heads`` + 1 classes all pairs are compared, as rows; of a
+    larger one those of its first classes, and all pairs of different components are then compared
+    in blocks (`_across`), so nothing depends on who comes first. ``rounds`` is unused: no passes are left to bound.
     """
     raw = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     rows = raw.withColumn("h", F.xxhash64("text"))
     measured = stage(batches.with_columns(
-        rows, ["text"], lambda texts: _signed(texts, size), "n_shingles long, node long, check long, sig binary", ("text",)), "measured")
+        rows, ["text"], lambda texts: _signed(texts, size), "n_shingles long, node long, check long, sig binary, tag binary", ("text",)), "measured")
     classes = stage(measured.filter("n_shingles > 0").groupBy("node", "check").agg(
-        F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.min(F.struct("doc_id", "h")).alias("any")
-    ).select("node", "n_shingles", "sig", "any.doc_id", "any.h"), "classes")
+        F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("tag").alias("tag"),
+        F.min(F.struct("doc_id", "h")).alias("any")
+    ).select("node", "n_shingles", "sig", "tag", "any.doc_id", "any.h"), "classes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     triple = "key long, x long, y long"
     found = stage(
         classes.select("node", "sig").mapInPandas(batches.released(_tables), f"{triple}, deal long")
-        .repartition(parts, "deal").drop("deal").sortWithinPartitions("key", F.col("x").bitwiseXOR(F.col("key")))
+        .repartition(parts, "deal").drop("deal").sortWithinPartitions("key", "x")
         .mapInPandas(batches.released(lambda some: _candidates(some, heads)), triple), "candidates")
     first = stage(found.filter("key is null").select("x", "y").distinct(), "pairs")
     verifier = Verifier(classes, rows, size, percent)

@@ -104,11 +104,28 @@ def test_pairs_in_a_family_below_the_threshold(spark):
     assert {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(frame).collect()} == expected
 
 
+def test_a_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """Of 600 near copies of one text, a class comes into some fifteen pairs to confirm."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for doc in range(600):
+        changed = list(base)
+        for place in rng.choice(150, 4, replace=False):
+            changed[place] = f"d{doc}x{place}"
+        docs.append((doc, " ".join(changed)))
+    seen, inner = [], near_dup.Verifier.linked
+    monkeypatch.setattr(near_dup.Verifier, "linked", lambda self, pairs: (seen.append(pairs.count()), inner(self, pairs))[1])
+    got = near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {r["component_id"] for r in got} == {0} and sum(seen) < 16 * 600
+
+
 def test_runs_across_batches():
     rows = sorted((k, n) for k, size in ((1, 40), (2, 2), (3, 1), (4, 12)) for n in range(k * 100, k * 100 + size))
     whole = pd.DataFrame({"key": [k for k, _ in rows], "x": [n for _, n in rows], "y": pd.array([None] * len(rows), "Int64")})
     heads = 8
-    expected = {(a, b) for k, a in rows for j, b in rows if k == j and a < b < k * 100 + near_dup.NEAR and a < k * 100 + heads}
+    # All pairs of an entry's first nine, and its first with those up to NEAR.
+    expected = {(a, b) for k, a in rows for j, b in rows if k == j and a < b < k * 100 + (near_dup.NEAR if a == k * 100 else heads + 1)}
     for step in (1, 3, 7, 100):
         parts = [whole.iloc[i : i + step].reset_index(drop=True) for i in range(0, len(whole), step)]
         out = pd.concat(list(near_dup._candidates(iter(parts), heads)))
