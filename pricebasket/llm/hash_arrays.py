@@ -82,34 +82,43 @@ class Sharded:
         return found
 
 
-class IdSet:
-    """64-bit ids in sorted hash arrays. The hash of an id is one to one, so an id is found if and only if it is there."""
+class IdMap:
+    """64-bit ids with a 64-bit value each, in sorted hash arrays. The hash of an id is one to one, so no id is taken for another."""
 
     def __init__(self, stem: str, shards: int):
         self.arrays = Sharded(stem, shards)
 
-    def has(self, ids: np.ndarray) -> np.ndarray:
+    def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which ids are there, and their values."""
         keys, place = np.unique(finalize(ids.astype(np.int64).view(np.uint64)), return_inverse=True)
-        return self.arrays.get(keys, there=0)["there"][place] > 0
+        found = self.arrays.get(keys, there=0, value=0)
+        return found["there"][place] > 0, found["value"][place]
+
+    def has(self, ids: np.ndarray) -> np.ndarray:
+        return self.find(ids)[0]
+
 
+def save_ids(ids: DataFrame, stem: str) -> IdMap:
+    """Write the distinct values of the one column of ``ids`` (long, not null); tasks map what the result names."""
+    return save_map(ids.toDF("id").filter(F.col("id").isNotNull()).distinct().withColumn("value", F.lit(0)), stem)
 
-def save_ids(ids: DataFrame, stem: str) -> IdSet:
-    """Write the distinct values of the one column of ``ids`` (long, not null); tasks map what the result names.
 
-    Shards have about ``SET_KEYS`` keys each, whatever their number.
-    """
-    distinct = ids.toDF("id").select(F.col("id").cast("long")).filter(F.col("id").isNotNull()).distinct()
-    shards = 1 << max(0, -(-distinct.count() // SET_KEYS) - 1).bit_length()
-    found = IdSet(stem, shards)
+def save_map(rows: DataFrame, stem: str) -> IdMap:
+    """Write ``rows`` (id, value: long; ids are distinct). Shards have about ``SET_KEYS`` ids each, whatever their number."""
+    known = rows.select(F.col("id").cast("long"), F.col("value").cast("long"))
+    shards = 1 << max(0, -(-known.count() // SET_KEYS) - 1).bit_length()
+    found = IdMap(stem, shards)
 
     def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in parts:
             keys = finalize(batch["id"].to_numpy().view(np.uint64))
-            yield pd.DataFrame({"shard": found.arrays.shard_of(keys), "key": keys.view(np.int64)})
+            yield pd.DataFrame({"shard": found.arrays.shard_of(keys), "key": keys.view(np.int64), "value": batch["value"]})
 
-    def write(shard: int, parts: list[np.ndarray]) -> pd.DataFrame:
-        keys = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-        save(found.arrays.path(shard), keys, {"there": np.ones(keys.size, np.int8)})
+    def write(shard: int, parts: list[pd.DataFrame]) -> pd.DataFrame:
+        keys = np.concatenate([np.zeros(0, np.int64), *(part["key"] for part in parts)]).view(np.uint64)
+        values = np.concatenate([np.zeros(0, np.int64), *(part["value"] for part in parts)])
+        order = np.argsort(keys)
+        save(found.arrays.path(shard), keys[order], {"there": np.ones(keys.size, np.int8), "value": values[order].astype("<i8")})
         return pd.DataFrame({"n": [keys.size]})
 
     def gathered(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,15 +129,15 @@ def save_ids(ids: DataFrame, stem: str) -> IdSet:
                     yield write(shard, held)
                     held = []
                 shard = number
-                held.append(part["key"].to_numpy().view(np.uint64))
+                held.append(part)
         if held:
             yield write(shard, held)
 
-    dealt = distinct.mapInPandas(released(hashed), "shard long, key long").repartition(shards, "shard").sortWithinPartitions("shard")
+    dealt = known.mapInPandas(released(hashed), "shard long, key long, value long").repartition(shards, "shard").sortWithinPartitions("shard")
     written = dealt.mapInPandas(released(gathered), "n long").count()
     if written < shards:
         if written:
-            raise RuntimeError("a shard of the set got no id")
+            raise RuntimeError("a shard of the map got no id")
         for shard in range(shards):
             write(shard, [])
     return found

@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricebasket.llm import batches, files
+from pricebasket.llm import batches, files, hash_arrays
 from pricebasket.llm.components import components, joined
 from pricebasket.llm.words import Words, finalize, pair
 from pricebasket.session import new_dir, stage
@@ -190,7 +191,8 @@ class Verifier:
     """Confirms pairs (x, y) of classes: by size, by minhashes, then on the full sets of their texts.
 
     Texts are fetched once, when a class first takes part in a likely pair: late pairs are mostly of known
-    classes, and then no text is shuffled by document again.
+    classes, and then the documents are not gone through again. The rows to fetch lie in sorted hash arrays that the scanning
+    tasks look theirs up in, so at any size only texts of such classes move.
     """
 
     def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int):
@@ -205,9 +207,19 @@ class Verifier:
             self.texts.rows().select("node"), "node", "left_anti")
         need = stage(need.join(self.classes.select("node", "doc_id", "h"), "node"), "need")
         if not need.isEmpty():
-            docs = self.docs
+            row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "h")
+            spark = self.docs.sparkSession
+            wanted = hash_arrays.save_map(
+                need.groupBy(row.alias("id")).agg(F.min("node").alias("value")), f"{new_dir(spark, 'need')}/rows")
+
+            def pick(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in parts:
+                    there, node = wanted.find(batch.column("row").to_numpy(zero_copy_only=False))
+                    held = pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), batch.column("text")], names=["node", "text"])
+                    yield held.filter(pa.array(there))
+
             self.texts.add(
-                docs.join(need, docs["doc_id"].eqNullSafe(need["doc_id"]) & (docs["h"] == need["h"])).select("node", "text")
+                self.docs.filter(F.col("text").isNotNull()).select(row.alias("row"), "text").mapInArrow(batches.released(pick), "node long, text string")
                 .groupBy("node").agg(F.first("text").alias("text")))
         return self.texts.rows()
 

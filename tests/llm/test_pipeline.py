@@ -118,3 +118,18 @@ def test_every_operator_is_registered():
     names = contract.queries()
     assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
     assert suffix_dedup.GRAM < 100
+
+
+CLASHES = ["_h", "_at", "_key", "_none", "_null", "_doc", "_raw", "_spans", "n", "score", "_text_hash", "_lang", "node", "h", "kept", "shard"]
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_columns_of_any_name_come_through_unchanged(spark, sf_dir, number):
+    """Extra columns under the names that operators use inside keep their values through each stage."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    extra = docs.withColumns({name: F.concat(F.lit(name), "doc_id") for name in CLASHES})
+    name, function = corpus_pipeline.STAGES[number]
+    got = function(spark, extra, sf_dir)
+    assert got.columns == extra.columns, name
+    rows = got.select("doc_id", *CLASHES).collect()
+    assert rows and all(row[clash] == f"{clash}{row['doc_id']}" for row in rows for clash in CLASHES)
