@@ -34,7 +34,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose shingles of five words agree in 80 of 100."""
-    return near_dup.one_of_each(docs, size=5, percent=80)
+    rows, names = _carried(docs)
+    return _back(near_dup.one_of_each(rows, size=5, percent=80), names)
 
 
 def suffix_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
