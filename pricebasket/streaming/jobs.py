@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,18 +103,6 @@ def present_keys(spark: SparkSession, path: str, schema: StructType, keys: Seque
     return stored.select(*(F.col(key).alias(f"present_{key}") for key in keys))
 
 
-@contextmanager
-def _long_lists(spark: SparkSession) -> Iterator[None]:
-    """Lists of keys reach the Parquet reader as they are, not as the range between their ends."""
-    name = "spark.sql.parquet.pushdown.inFilterThreshold"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(LOOKED_UP + 1))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
     """Append rows whose key the table lacks; the first row of a key wins. Null is a key like any other.
 
@@ -124,7 +111,7 @@ def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Se
     in ``key_hash``. A batch that runs again after a failure finds its own rows there and adds nothing twice.
     """
     spark = batch.sparkSession
-    with work_area(spark), _long_lists(spark):
+    with work_area(spark):
         first = stage(dedup_first(batch, keys, order).withColumn("key_hash", F.xxhash64(*keys)), "first-rows")
         # The table exists from the first batch on, typed, so that the join below always has one.
         spark.createDataFrame([], first.schema).coalesce(1).write.mode("ignore").parquet(path)

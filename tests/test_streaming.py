@@ -69,8 +69,7 @@ def test_a_batch_reads_only_files_that_hold_its_keys(spark, tmp_path):
     def read_for(keys):
         stored = spark.read.parquet(target)
         hashes = [r[0] for r in keys.select(F.xxhash64("id")).collect()]
-        with jobs._long_lists(spark):
-            return rows_read(jobs.present_keys(spark, target, stored.schema, ["id"], hashes))
+        return rows_read(jobs.present_keys(spark, target, stored.schema, ["id"], hashes))
 
     seen = []
     for part in range(8):
@@ -79,6 +78,8 @@ def test_a_batch_reads_only_files_that_hold_its_keys(spark, tmp_path):
             # New keys are in no file; keys of the first batch are in its file alone.
             seen.append((read_for(batch(900_000, 900_300)), read_for(batch(10, 310))))
     assert seen == [(0, 5000), (0, 5000)]
+    # As many keys as are looked up one by one.
+    assert read_for(batch(900_000, 900_000 + jobs.LOOKED_UP)) <= 5000
     # Old and new keys at once: only the new ones are added.
     jobs.insert_if_absent(batch(39_900, 40_100), target, ["id"], ["at"])
     table = spark.read.parquet(target)
