@@ -4,22 +4,27 @@ Windows of an item's number of words are embedded by the random walk of Chakrabo
 step j puts out the word at the pointer and a random bit of (step, word) says whether the pointer moves
 on. Equal texts have equal walks, and walks of texts that differ by an edit meet again soon, so a small edit
 distance becomes a small Hamming distance. Tables that each sample a few steps of a walk of their
-own (bit-sampling) bring similar windows and items to equal keys; edit distances confirm.
+own (bit-sampling) bring similar windows and items to equal keys; alignments confirm.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebasket.llm import batches
+from pricebasket.llm import batches, files
 from pricebasket.llm.words import Words, pair
+from pricebasket.session import new_dir, stage
 
 #: Tables, and the steps that each samples. Measured recall is in the README.
 TABLES, SAMPLES = 32, 2
-#: Items that one pass over the documents looks for.
-ITEMS = 20_000
+#: Items and characters of items in a block, about.
+ITEMS, CHARS = 20_000, 16 << 20
 
 
 def table_keys(words: np.ndarray, tables: int, samples: int) -> np.ndarray:
@@ -45,25 +50,6 @@ def table_keys(words: np.ndarray, tables: int, samples: int) -> np.ndarray:
     return key
 
 
-def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
-    """Whether the edit distance of two word sequences is ``most`` or less, in a band of the table."""
-    if abs(a.size - b.size) > most:
-        return False
-    a, b = a.tolist(), b.tolist()
-    last = [j if j <= most else most + 1 for j in range(len(b) + 1)]
-    for i, word in enumerate(a, 1):
-        low, high = max(1, i - most), min(len(b), i + most)
-        now = [most + 1] * (len(b) + 1)
-        if i <= most:
-            now[0] = i
-        for j in range(low, high + 1):
-            now[j] = last[j - 1] if word == b[j - 1] else 1 + min(last[j - 1], last[j], now[j - 1])
-        if min(now[low - 1 : high + 1]) > most:
-            return False
-        last = now
-    return last[-1] <= most
-
-
 def holds(words: np.ndarray, item: np.ndarray, most: int) -> bool:
     """Whether some run of ``words``, of any length, has an edit distance of ``most`` or less from ``item``."""
     words = words.tolist()
@@ -78,49 +64,74 @@ def holds(words: np.ndarray, item: np.ndarray, most: int) -> bool:
     return min(last) <= most
 
 
+def compiled(items: list[tuple[int, str | None]], percent: int, least: int, tables: int, samples: int) -> dict[str, np.ndarray]:
+    """The items of a benchmark as named arrays: words, bounds on edits, table keys by number of words, segments by length.
+
+    An item of n words that may have k edits is cut into k + 1 segments, one of which k edits leave whole.
+    Items of fewer than ``least`` words may have none.
+    """
+    of = Words([(text or "").lower() for _, text in items])
+    n = np.diff(of.bounds)
+    most = np.where(n < least, 0, n * (100 - percent) // 100)
+    found = {"numbers": np.array([number for number, _ in items], np.int64), "words": of.hashes,
+             "bounds": of.bounds.astype(np.int64), "most": most.astype(np.int64)}
+    segments: dict[int, list[tuple[int, int, int]]] = {}
+    for size in (size for size in np.unique(n).tolist() if size):
+        rows = np.flatnonzero(n == size)
+        keys = table_keys(of.hashes[of.bounds[rows][:, None] + np.arange(size)], tables, samples)
+        order = np.argsort(keys, axis=1)
+        found[f"keys-{size}"] = np.take_along_axis(keys, order, 1).reshape(-1)
+        found[f"rows-{size}"] = rows[order].reshape(-1)
+        edits = int(most[rows[0]])
+        length = size // (edits + 1)
+        for row in rows.tolist():
+            whole = grams(of.hashes[of.bounds[row] : of.bounds[row + 1]], length)
+            segments.setdefault(length, []).extend((int(whole[k * length]), row, k * length) for k in range(edits + 1))
+    for length, every in segments.items():
+        every.sort()
+        found[f"segments-{length}"] = np.array([h for h, *_ in every], np.uint64)
+        found[f"row-{length}"] = np.array([row for _, row, _ in every], np.int64)
+        found[f"offset-{length}"] = np.array([offset for *_, offset in every], np.int64)
+    return found
+
+
 class Items:
-    """The items of a benchmark, by number of words, with their segments and table keys.
+    """Finds the items whose arrays `compiled` made.
 
-    An item of n words that may have k edits is cut into k + 1 segments; k edits leave one of them whole,
-    at most k places from where it was. So only windows around a whole segment are embedded, and
-    none that is within the bound is passed over. What the windows of n words do not confirm, as where words were
-    left out or put in, is aligned with the words around the segment, whatever the passage's length.
+    Only windows around a whole segment are embedded, which passes over nothing that is within the bound. Which items a
+    window is compared with, the tables alone say: those that share a key with it. Such an item is confirmed by
+    an alignment with the words around the window, so that the passage may be longer or shorter than the item.
     """
 
-    def __init__(self, items: list[tuple[int, str | None]], percent: int, least: int, tables: int, samples: int):
-        of = Words([(text or "").lower() for _, text in items])
-        n = np.diff(of.bounds)
-        self.numbers = [number for number, _ in items]
-        self.words = [of.hashes[a:b] for a, b in zip(of.bounds[:-1], of.bounds[1:])]
-        self.sizes, self.tables, self.samples = n, tables, samples
-        self.most = n * (100 - percent) // 100
-        segments: dict[int, list[tuple[int, int, int]]] = {}
-        self.keys = {}
-        for size in (size for size in np.unique(n).tolist() if size >= least):
-            rows = np.flatnonzero(n == size)
-            keys = table_keys(np.stack([self.words[row] for row in rows]), tables, samples)
-            order = np.argsort(keys.reshape(-1))
-            self.keys[size] = keys.reshape(-1)[order], np.tile(rows, tables)[order]
-            edits = size * (100 - percent) // 100
-            length = size // (edits + 1)
-            for row in rows.tolist():
-                whole = grams(self.words[row], length)
-                segments.setdefault(length, []).extend((int(whole[k * length]), row, k * length) for k in range(edits + 1))
-        self.segments = {}
-        for length, every in segments.items():
-            every.sort()
-            hashes = np.array([h for h, *_ in every], np.uint64)
-            first = np.zeros(1 << 16, bool)
-            first[(hashes >> np.uint64(48)).astype(np.int64)] = True
-            self.segments[length] = hashes, np.array([r for _, *r in every], np.int64), first
-
-    def _near(self, of: Words, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(size, text, start) of windows around whole segments; start -1: a text shorter than the item.
-
-        And (item, text, start) of the items themselves, as their segments place them.
+    def __init__(self, arrays: dict[str, np.ndarray], tables: int, samples: int):
+        self.numbers, self.words, self.bounds, self.most = (arrays[name] for name in ("numbers", "words", "bounds", "most"))
+        self.sizes, self.tables, self.samples = np.diff(self.bounds), tables, samples
+        self.keys, self.segments = {}, {}
+        for name in arrays:
+            kind, _, number = name.partition("-")
+            if kind == "keys":
+                self.keys[int(number)] = arrays[name].reshape(tables, -1), arrays[f"rows-{number}"].reshape(tables, -1)
+            elif kind == "segments":
+                first = np.zeros(1 << 16, bool)
+                first[(arrays[name] >> np.uint64(48)).astype(np.int64)] = True
+                self.segments[int(number)] = arrays[name], arrays[f"row-{number}"], arrays[f"offset-{number}"], first
+
+    def found(self, texts: list[str | None]) -> list[list[int]]:
+        """For each text the ascending numbers of the items it holds."""
+        of = Words([(text or "").lower() for text in texts])
+        hits: list[set[int]] = [set() for _ in texts]
+        tried: dict[tuple[int, int], list[int]] = {}
+        for size, text, start in self._windows(of, np.repeat(np.arange(len(texts)), np.diff(of.bounds))):
+            for window, item in self._alike(of, size, text, start):
+                self._confirm(of, item, text[window], start[window], hits, tried)
+        return [sorted(each) for each in hits]
+
+    def _windows(self, of: Words, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Distinct windows (text, start) of one size around whole segments, some at a time.
+
+        A window may reach over the ends of its text by as many words as the item may have edits.
         """
-        found, seeds = [np.zeros((0, 3), np.int64)], [np.zeros((0, 3), np.int64)]
-        for length, (hashes, about, first) in self.segments.items():
+        for length, (hashes, rows, offsets, first) in self.segments.items():
             if of.hashes.size < length:
                 continue
             every = grams(of.hashes, length)
@@ -128,68 +139,77 @@ class Items:
             at = at[doc[at] == doc[at + length - 1]]
             low, high = np.searchsorted(hashes, every[at], "left"), np.searchsorted(hashes, every[at], "right")
             at, low, number = at[high > low], low[high > low], (high - low)[high > low]
-            place = np.repeat(at, number)
-            row, offset = about[np.arange(place.size) - np.repeat(np.cumsum(number) - number - low, number)].T
-            seeds.append(np.unique(np.stack([row, doc[place], place - offset], axis=1), axis=0))
-            size, most = self.sizes[row], self.most[row]
-            spread = 2 * most + 1
-            start = np.repeat(place - offset - most, spread) + np.arange(spread.sum()) - np.repeat(np.cumsum(spread) - spread, spread)
-            text, size = np.repeat(doc[place], spread), np.repeat(size, spread)
-            begin, end = of.bounds[text], of.bounds[text + 1]
-            inside = (start >= begin) & (start + size <= end)
-            short = end - begin < size
-            found.append(np.stack([size, text, np.where(short, -1, start)], axis=1)[inside | short])
-        return np.unique(np.concatenate(found), axis=0), np.unique(np.concatenate(seeds), axis=0)
-
-    def _align(self, seeds: np.ndarray, of: Words, hits: list[set[int]]) -> None:
-        """Items that the words around their segments hold, with words left out or put in."""
-        for row in np.unique(seeds[:, 0]).tolist():
-            text, start = seeds[seeds[:, 0] == row][:, 1:].T
-            item, most, number = self.words[row], int(self.most[row]), self.numbers[row]
-            own = np.sort(item)
-            for low in range(0, text.size, 5_000):
-                doc, first = text[low : low + 5_000], start[low : low + 5_000]
-                at = first[:, None] + np.arange(-most, item.size + most)
-                inside = (at >= of.bounds[doc][:, None]) & (at < of.bounds[doc + 1][:, None])
-                word = of.hashes[np.where(inside, at, 0)]
-                same = inside & (own[np.minimum(np.searchsorted(own, word), own.size - 1)] == word)
-                for k in np.flatnonzero(same.sum(axis=1) >= item.size - most).tolist():
-                    if number not in hits[doc[k]] and holds(word[k][inside[k]], item, most):
-                        hits[doc[k]].add(number)
+            for some in runs(number):
+                place, about = np.repeat(at[some], number[some]), laid_out(low[some], number[some])
+                row = rows[about]
+                seeds = np.unique(np.stack([self.sizes[row], self.most[row], doc[place], place - offsets[about]]), axis=1)
+                for part in runs(2 * seeds[1] + 1):
+                    size, most, text, base = seeds[:, part]
+                    spread = 2 * most + 1
+                    start, text = laid_out(base - most, spread), np.repeat(text, spread)
+                    most, size = np.repeat(most, spread), np.repeat(size, spread)
+                    held = np.minimum(start + size, of.bounds[text + 1]) - np.maximum(start, of.bounds[text])
+                    size, text, start = np.unique(np.stack([size, text, start])[:, held >= size - most], axis=1)
+                    for each in np.unique(size).tolist():
+                        yield each, text[size == each], start[size == each]
+
+    def _alike(self, of: Words, size: int, text: np.ndarray, start: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        """(windows, item): windows that share a key with an item of their size in some table."""
+        keys, rows = self.keys[size]
+        for begin in range(0, start.size, 5_000):
+            own = table_keys(around(of, text[begin : begin + 5_000], start[begin : begin + 5_000], size), self.tables, self.samples)
+            for table in range(self.tables):
+                low, high = np.searchsorted(keys[table], own[table], "left"), np.searchsorted(keys[table], own[table], "right")
+                some = np.flatnonzero(high > low)
+                number = (high - low)[some]
+                for part in runs(number):
+                    window = np.repeat(some[part], number[part])
+                    item = rows[table][laid_out(low[some[part]], number[part])]
+                    order = np.argsort(item, kind="stable")
+                    edges = np.flatnonzero(np.diff(item[order], prepend=-1, append=-1))
+                    for a, b in zip(edges[:-1], edges[1:]):
+                        yield begin + window[order[a:b]], int(item[order[a]])
+
+    def _confirm(self, of: Words, row: int, text: np.ndarray, start: np.ndarray, hits: list[set[int]], tried: dict) -> None:
+        """Align the item with the words around each window, 2 k more on both sides.
+
+        So a window that lies at most k words from one that was tried holds nothing new.
+        """
+        item, most, number = self.words[self.bounds[row] : self.bounds[row + 1]], int(self.most[row]), int(self.numbers[row])
+        new = [k for k, (t, s) in enumerate(zip(text.tolist(), start.tolist()))
+               if number not in hits[t] and not any(abs(s - other) <= most for other in tried.get((t, row), ()))]
+        if not new:
+            return
+        text, start = text[new], start[new]
+        words = around(of, text, start - 2 * most, item.size + 4 * most)
+        own = np.sort(item)
+        same = (own[np.minimum(np.searchsorted(own, words), own.size - 1)] == words).sum(axis=1) >= item.size - most
+        for k, (t, s) in enumerate(zip(text.tolist(), start.tolist())):
+            before = tried.setdefault((t, row), [])
+            if number in hits[t] or any(abs(s - other) <= most for other in before):
+                continue
+            before.append(s)
+            if same[k] and holds(words[k][words[k] != 0], item, most):
+                hits[t].add(number)
+
+
+def around(of: Words, text: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """``size`` words from each start on, 0 where they lie outside of the text."""
+    at = start[:, None] + np.arange(size)
+    inside = (at >= of.bounds[text][:, None]) & (at < of.bounds[text + 1][:, None])
+    return np.where(inside, of.hashes[np.where(inside, at, 0)], np.uint64(0))
 
-    def found(self, texts: list[str | None]) -> list[list[int]]:
-        """For each text the ascending numbers of the items it holds."""
-        of = Words([(text or "").lower() for text in texts])
-        hits: list[set[int]] = [set() for _ in texts]
-        near, seeds = self._near(of, np.repeat(np.arange(len(texts)), np.diff(of.bounds)))
-        for size in np.unique(near[:, 0]).tolist():
-            mine = near[near[:, 0] == size]
-            full = mine[mine[:, 2] >= 0]
-            if len(full):
-                self._match(size, of.hashes[full[:, 2][:, None] + np.arange(size)], full[:, 1], hits)
-            for text in mine[mine[:, 2] < 0][:, 1].tolist():
-                words = of.hashes[of.bounds[text] : of.bounds[text + 1]]
-                for row in np.flatnonzero(self.sizes == size).tolist():
-                    if within(words, self.words[row], int(self.most[row])):
-                        hits[text].add(self.numbers[row])
-        self._align(seeds, of, hits)
-        return [sorted(each) for each in hits]
 
-    def _match(self, size: int, windows: np.ndarray, doc: np.ndarray, hits: list[set[int]]) -> None:
-        keys, items = self.keys[size]
-        tried: set[tuple[int, int]] = set()
-        for start in range(0, len(windows), 5_000):
-            part = windows[start : start + 5_000]
-            own = table_keys(part, self.tables, self.samples)
-            low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-            for table, row in np.argwhere(high > low).tolist():
-                text = int(doc[start + row])
-                for item in set(items[low[table, row] : high[table, row]].tolist()):
-                    if self.numbers[item] in hits[text] or (start + row, item) in tried:
-                        continue
-                    tried.add((start + row, item))
-                    if within(part[row], self.words[item], int(self.most[item])):
-                        hits[text].add(self.numbers[item])
+def laid_out(first: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """``number`` ascending integers from each first one on."""
+    return np.repeat(first - (np.cumsum(number) - number), number) + np.arange(number.sum())
+
+
+def runs(number: np.ndarray, most: int = 200_000) -> Iterator[slice]:
+    """Slices whose numbers add up to about ``most``, one at least."""
+    group = np.cumsum(number) // most
+    edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
+    return (slice(int(a), int(b)) for a, b in zip(edges[:-1], edges[1:]))
 
 
 def grams(words: np.ndarray, length: int) -> np.ndarray:
@@ -200,36 +220,65 @@ def grams(words: np.ndarray, length: int) -> np.ndarray:
     return found
 
 
+@lru_cache(maxsize=64)
+def opened(uri: str, tables: int, samples: int) -> Items:
+    """A worker maps each block of items once."""
+    return Items(files.map_arrays(uri), tables, samples)
+
+
 def with_items(
     docs: DataFrame, benchmark: DataFrame, percent: int = 80, least: int = 8, tables: int = TABLES, samples: int = SAMPLES,
-    items: int = ITEMS, drop: tuple[str, ...] = (),
+    items: int = ITEMS, chars: int = CHARS, drop: tuple[str, ...] = (),
 ) -> DataFrame:
     """All columns of ``docs`` but ``drop``, with item_ids and contaminated (see `decontaminate`)."""
-    listed = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null").distinct()
-    blocks = max(1, -(-listed.count() // items))
-    found = docs
-    for block in range(blocks):
-        # At most about ``items`` rows come to the driver and go to the tasks, whatever the benchmark's size.
-        some = Items(
-            sorted((r[0] if r[0] is not None else -1, r[1]) for r in
-                   listed.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()),
-            percent, least, tables, samples)
-        found = batches.with_columns(
-            found, ["text"], lambda texts, some=some, name=f"_items{block}": {name: some.found(texts)}, f"_items{block} array<long>")
-    parts = [f"_items{block}" for block in range(blocks)]
-    every = F.array_sort(F.array_distinct(F.concat(*parts)))
-    return found.withColumn("item_ids", every).drop(*parts, *drop).withColumn("contaminated", F.size("item_ids") > 0)
+    listed = stage(benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(-1)).alias("item_id"), F.col("text").cast("string")).filter(
+        "text is not null").distinct(), "items")
+    size = listed.agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
+    blocks = max(1, -(-size[0] // items), -(-(size[1] or 0) // chars))
+    folder = new_dir(docs.sparkSession, "benchmark")
+
+    def save(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, held = None, []
+        for batch in parts:
+            for number, part in batch.groupby("block", sort=False):
+                if held and number != block:
+                    yield write(block, held)
+                    held = []
+                block = number
+                held.append(part)
+        if held:
+            yield write(block, held)
+
+    def write(block: int, parts: list[pd.DataFrame]) -> pd.DataFrame:
+        own = sorted((item_id, text) for part in parts for item_id, text in zip(part["item_id"].tolist(), part["text"]))
+        files.write_arrays(f"{folder}/items-{block}.bin", compiled(own, percent, least, tables, samples))
+        return pd.DataFrame({"block": [block]})
+
+    dealt = listed.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks))).repartition(blocks, "block").sortWithinPartitions("block")
+    # A number a block is gathered, no item.
+    written = sorted(r["block"] for r in dealt.mapInPandas(batches.released(save), "block long").collect())
+
+    def search(texts: list[str | None]) -> dict:
+        found: list[set[int]] = [set() for _ in texts]
+        for block in written:
+            for held, more in zip(found, opened(f"{folder}/items-{block}.bin", tables, samples).found(texts)):
+                held.update(more)
+        return {"item_ids": [sorted(each) for each in found]}
+
+    return batches.with_columns(docs, ["text"], search, "item_ids array<long>", drop).withColumn("contaminated", F.size("item_ids") > 0)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Find the ``benchmark`` items (item_id, text) that every whole text of ``docs`` (doc_id, text) holds.
 
-    A text holds an item of n words if some run of its words, of any length, has a word edit distance of n * (100 - ``percent``) / 100, rounded down, or less from it; words are split at
-    blanks and lower-cased. Result, one row per input row: doc_id, item_ids (ascending), n_items,
-    contaminated, kept (the opposite).
+    A text holds an item of n words if some run of its words, of any length, has a word edit distance of n * (100 -
+    ``percent``) / 100, rounded down, or less from it; items of fewer than ``least`` words must stand there word for
+    word. Words are split at blanks and lower-cased. What is found is confirmed exactly; an unedited
+    item is always found, one with the most edits by the recall of the tables (README). Result, one
+    row per input row: doc_id, item_ids (ascending), n_items, contaminated, kept (the opposite).
 
-    Only texts are searched: nothing is shuffled. Items come to the tasks in blocks of bounded number, one
-    pass each. Items of fewer than ``least`` words, null ones and ones without words are not
+    Only texts are searched: nothing of them is shuffled. Items are written by tasks, in blocks of bounded number and
+    text, as sorted arrays that the searching tasks map. Null items and ones without words are not
     looked for; a null item_id is -1; equal rows of the benchmark are one. A null or empty text holds
     nothing. Rows with a null or repeated doc_id are searched each on its own.
     """
