@@ -22,6 +22,8 @@ from pricebasket.session import stage
 DIMENSIONS = 1 << 13
 #: Sampled texts of a language, languages, and centroids of a language, at most.
 SAMPLE, LANGUAGES, CENTROIDS = 600, 500, 3
+#: Parts of a language among which its hashes are compared first.
+PARTS = 16
 #: A centroid takes texts up to the distance of this share of its own sample, and a margin.
 REACH, MARGIN = 0.995, 0.1
 UNKNOWN = "und"
@@ -97,11 +99,32 @@ class Model:
         return {"lang_pred": langs, "score": scores, "rejected": rejected}
 
 
+def least_hashes(rows: DataFrame, most: int) -> DataFrame:
+    """The ``most`` least distinct ``h`` of each lang of ``rows`` (lang, h: long), in two steps.
+
+    A task hands on no more than its own ``most`` of a lang, whatever the number of its rows and copies; their
+    lang's least are among them. The second step deals them by hash value, and again only a part's least meet.
+    """
+
+    def least(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, np.ndarray] = {}
+        for batch in parts:
+            for lang, found in batch.groupby("lang", sort=False)["h"]:
+                held[lang] = np.unique(np.concatenate([held.get(lang, found.to_numpy()[:0]), found.to_numpy()]))[:most]
+        for lang, found in held.items():
+            yield pd.DataFrame({"lang": lang, "h": found})
+
+    own = rows.mapInPandas(batches.released(least), "lang string, h long").distinct()
+    for group in (["lang", F.pmod("h", F.lit(PARTS))], ["lang"]):
+        own = own.withColumn("at", F.row_number().over(Window.partitionBy(*group).orderBy("h"))).filter(F.col("at") <= most).drop("at")
+    return own
+
+
 def train(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES, centroids: int = CENTROIDS) -> Model:
     """Learn from ``docs`` (text, lang).
 
-    The rarity of n-grams is counted over all of them; centroids come from at most ``sample`` texts
-    (those of least hash) of each of the ``languages`` most frequent languages. So what the driver and one task
+    The rarity of n-grams is counted over all of them; centroids come from at most ``sample`` distinct texts
+    (those of least hash; copies count once) of each of the ``languages`` most frequent languages. So what the driver and one task
     see is bounded: ``languages * centroids`` vectors, and a language's sample.
     """
     named = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(
@@ -121,11 +144,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES, cen
     held = np.array([sums.get(k, 0) for k in range(DIMENSIONS)])
     rarity = np.log((1 + sums.get(-1, 0)) / (1 + held)) + 1
 
-    # The ids of the sample first: at most sample * languages rows.
+    # The hashes of the sample first: at most sample * languages rows.
     frequent = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(languages).select("lang")
     hashes = named.select("lang", F.xxhash64("text").alias("h")).join(F.broadcast(frequent), "lang")
-    first = Window.partitionBy("lang").orderBy("h")
-    chosen = stage(hashes.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= sample).select("lang", "h").distinct(), "sample")
+    chosen = stage(least_hashes(hashes, sample), "sample")
     texts = named.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
 
     def cluster(part: pd.DataFrame) -> pd.DataFrame:

@@ -62,6 +62,51 @@ def test_clusters_of_unlike_vectors():
     assert len(centroids) == 1
 
 
+def test_scores_are_cosines_of_plain_vectors(docs):
+    """Scores and languages from dictionaries of n-grams, with the model's own centroids and plain counts of texts."""
+    rows = docs.select("text", "lang").limit(120).collect()
+    some = docs.sparkSession.createDataFrame(rows, "text string, lang string")
+    model = lid.train(some)
+
+    def grams(text):
+        flat = "".join(c if c.isalpha() else " " for c in text.lower())
+        flat = f" {' '.join(flat.split())} "
+        n = {}
+        for size in (2, 3):
+            for at in range(len(flat) - size + 1):
+                code = 0
+                for c in flat[at : at + size]:
+                    code = code << 21 | ord(c)
+                hashed = lid.finalize(np.array([code | (1 << 63 if size == 3 else 0)], np.uint64))[0]
+                place = int(hashed) * lid.DIMENSIONS >> 64
+                n[place] = n.get(place, 0) + 1
+        return n
+
+    texts = [r["text"] for r in rows if r["text"] and any(c.isalpha() for c in r["text"]) and len(r["text"]) < 3000]
+    held = {}
+    every = [r["text"] for r in rows if r["lang"] is not None and r["text"] and any(c.isalpha() for c in r["text"])]
+    for text in every:
+        for place in grams(text):
+            held[place] = held.get(place, 0) + 1
+    rarity = [np.log((1 + len(every)) / (1 + held.get(k, 0))) + 1 for k in range(lid.DIMENSIONS)]
+    got = model.predict(texts[:40])
+    for text, lang, score in zip(texts, got["lang_pred"], got["score"]):
+        vector = {k: (1 + np.log(n)) * rarity[k] for k, n in grams(text).items()}
+        length = sum(x * x for x in vector.values()) ** 0.5
+        near = [sum(x * float(centroid[k]) for k, x in vector.items()) / length for centroid in model.centroids]
+        assert score == pytest.approx(max(near), abs=1e-4) and near[model.langs.index(lang)] <= max(near)
+        assert max(x for x, own in zip(near, model.langs) if own == lang) == pytest.approx(max(near), abs=1e-5)
+
+
+def test_copies_do_not_use_up_the_sample(spark):
+    """One text a thousand times is one of a language's hashes; each language has its own least ones."""
+    rows = [("en", -99)] * 1000 + [("en", k * 7 % 101) for k in range(101)] + [("de", 3), ("de", 3), ("de", -5)]
+    hashes = spark.createDataFrame(rows, "lang string, h long").repartition(5)
+    got = lid.least_hashes(hashes, 4).collect()
+    assert sorted(map(tuple, got)) == [("de", -5), ("de", 3), ("en", -99), ("en", 0), ("en", 1), ("en", 2)]
+    assert lid.least_hashes(hashes.limit(0), 4).collect() == []
+
+
 def test_letters():
     assert "".join(map(chr, lid.letters("A1b--c Ç"))) == " a b c ç "
     assert lid.counts("1 2 ?") is None and lid.counts(None) is None
