@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricebasket.llm import batches
+from pricebasket.session import stage
 
 # Fixed values of HTML: elements without an end, elements whose content is no markup, elements that break a block.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -185,23 +186,32 @@ def main_text(html: str | None, weights: Weights) -> str:
 
 
 def train(pages: DataFrame, most_pages: int = PAGES, most_kinds: int = KINDS) -> Weights:
-    """Weights from at most ``most_pages`` labelled pages, those of the least hashed page_ids.
+    """Weights from at most ``most_pages`` distinct labelled pages, those of the least hash of page_id and html.
 
-    At most ``most_kinds`` kinds, the ones with the most words, come to the driver.
+    Only hashes are sorted to choose them. Each task counts those among its own pages where it reads them, so no
+    page moves; a page that comes again counts once. At most ``most_kinds`` kinds, the ones with the most
+    words, come to the driver.
     """
-    labelled = pages.filter(F.lower("html").rlike(r"<(?:article|main)[\s>]"))
-    chosen = labelled.orderBy(F.xxhash64("page_id"), "page_id").select("html").limit(most_pages)
+    labelled = pages.filter(F.lower("html").rlike(r"<(?:article|main)[\s>]")).withColumn("key", F.xxhash64("page_id", "html"))
+    first = stage(labelled.select("key").distinct().orderBy("key").limit(most_pages), "labelled")  # at most most_pages numbers
+    chosen = labelled.select("key", "html").join(F.broadcast(first), "key", "left_semi")
 
     def count(some: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: Counter = Counter()
+        seen: set[int] = set()
         for batch in some:
-            for html in batch["html"].tolist():
-                found.update(counted(html))
-        yield pd.DataFrame([(kind, int(n) if inside else 0, 0 if inside else int(n)) for (kind, inside), n in found.items()],
-                           columns=["kind", "inside", "outside"])
-
+            for key, html in zip(batch["key"].tolist(), batch["html"].tolist()):
+                if key not in seen:
+                    seen.add(key)
+                    found = counted(html)
+                    kinds = list(dict.fromkeys(kind for kind, _ in found))
+                    if kinds:
+                        yield pd.DataFrame({
+                            "key": key, "kind": kinds, "inside": [found[kind, True] for kind in kinds],
+                            "outside": [found[kind, False] for kind in kinds]})
+
+    each = chosen.mapInPandas(batches.released(count), "key long, kind string, inside long, outside long").dropDuplicates(["key", "kind"])
     sums = (
-        chosen.mapInPandas(count, "kind string, inside long, outside long").groupBy("kind")
+        each.groupBy("kind")
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
         .orderBy((F.col("inside") + F.col("outside")).desc(), "kind").limit(most_kinds)
     )

@@ -1,6 +1,8 @@
 """Main texts against the article elements of the given pages, and hand-written pages."""
 
+import random
 import re
+from collections import Counter
 from html import unescape
 
 import pytest
@@ -69,6 +71,53 @@ def test_broken_markup(weights, html, text):
     assert html_main.main_text(html, weights) == text
 
 
+def test_weights_are_counts_of_distinct_pages(pages):
+    """Copies of pages change nothing, wherever they lie; a bound takes whole pages of least hash."""
+    plain = Counter()
+    for r in pages.collect():
+        if re.search(r"<(?:article|main)[\s>]", r["html"].lower()):
+            plain.update(html_main.counted(r["html"]))
+    expected = {kind: (plain[kind, True], plain[kind, False]) for kind, _ in plain}
+    assert html_main.train(pages).counts == expected
+    assert html_main.train(pages.unionByName(pages).repartition(7)).counts == expected
+    few = [html_main.train(some, 5).counts for some in (pages, pages.unionByName(pages).repartition(3))]
+    assert few[0] == few[1] and sum(map(sum, few[0].values())) < sum(map(sum, expected.values()))
+
+
+def best_run(scores):
+    """The greatest sum of all runs, each added up."""
+    return max((sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=0.0)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_the_scan_finds_the_best_run(seed):
+    """The words between random tags, against all runs; weights are such that no word inside a run is put out."""
+    draw = random.Random(seed)
+    shares = {f"div.{name}": draw.choice([0.35, 0.6, 1.0]) for name in "abcd"} | {"hr": 0.0, "br": 0.4}
+    weights = html_main.Weights({})
+    weights._known = dict(shares)
+    html, words = "", 0
+    for _ in range(draw.randint(1, 25)):
+        if draw.random() < 0.5:
+            html += draw.choice(["<hr>", "<br>", "<hr><hr><br>"])
+        else:
+            n = draw.randint(1, 3)
+            html += f"<div class={draw.choice('abcd')}>{' '.join(f'w{words + k}' for k in range(n))}</div>"
+            words += n
+    pieces = list(html_main.parts(html))
+    scores = [weights.word(p.open) * len(p.text.split()) if p.text else -html_main.STEP - html_main.COST * (1 - weights.share(p.kind)) for p in pieces]
+    got = html_main.main_text(html, weights).split()
+    best = best_run(scores)
+    if best < html_main.ENOUGH:
+        assert got == []
+        return
+    all_words = [word for p in pieces if p.text for word in p.text.split()]
+    at = all_words.index(got[0])
+    assert got == all_words[at : at + len(got)]
+    holds = [i for i, p in enumerate(pieces) if p.text and set(p.text.split()) & set(got)]
+    assert max(sum(scores[a : b + 1]) for a in range(holds[0] + 1) for b in range(holds[-1], len(scores))) == pytest.approx(best)
+
+
 def test_odd_rows(spark, pages):
     rows = [(1, "u", None), (1, "u", ""), (None, None, SOUP), (2, "v", "<article>x y z</article>")]
     odd = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("c"), "n_chars": F.lit(1)})
