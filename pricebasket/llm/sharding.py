@@ -135,8 +135,8 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
     of the text, null: none, plus 1), text_crc32, law (`rows`), shard, slot (gapless from 0 in the
     shard, by doc_id), grown_shard (null: only key laws have one).
 
-    Rows are first dealt evenly by their rank in hashed text order, which already lays most copies side
-    by side over neighbouring ranks, then moved by `propagate`. A group larger than a shard stays
+    Rows are first dealt evenly by their rank in hashed order of the rows, then moved by `propagate`.
+    Texts are taken for equal if 64 bits of their SHA-256 are. A group larger than a shard stays
     spread over as many shards as it needs. Null texts are not linked with one another; empty ones
     are. Rows with a null or repeated doc_id are nodes of their own. An empty table gives no rows.
     """
@@ -146,7 +146,7 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
     ).select(
         "doc_id", F.monotonically_increasing_id().alias("node"),
         (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(F.encode(raw, "UTF-8")).alias("text_crc32"),
-        # Links rest on 256 bits of the text.
+        # Links rest on 64 bits of this.
         F.when(F.col("text").isNotNull(), F.sha2("text", 256)).alias("grp"),
     ), "shard-rows")
     members = rows.filter("grp is not null").select("node", F.xxhash64("grp", F.lit(1)).alias("grp"))

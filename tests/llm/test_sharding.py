@@ -1,5 +1,6 @@
 """Balanced label propagation: laws, slots, cut links and hot groups."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -52,3 +53,48 @@ def test_no_documents(docs):
 def test_quotas_move_as_many_both_ways():
     moves, fills = sharding.quotas({(0, 1): 5, (1, 0): 2, (2, 0): 4}, {1: 1, 0: 9}, 3)
     assert moves == {(0, 1): 3, (1, 0): 2, (2, 0): 4} and fills == {(1, 0): 1, (0, 2): 4}
+
+
+def plain_wishes(groups, shard):
+    """Where each linked node wants to go: its group's fullest shard that the group does not fill, the least of equals."""
+    rows = Counter(shard.values())
+    wishes = {}
+    for members in groups.values():
+        if len(members) > 1:
+            n = Counter(shard[node] for node in members)
+            opened = [(-k, s) for s, k in n.items() if k < rows[s]]
+            best = min(opened) if opened else None
+            for node in members:
+                own = shard[node]
+                stays = best is None or n[own] == rows[own] or best[1] == own
+                wishes[node] = None if stays else (best[1], -best[0] - n[own] + 1)
+    return wishes
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_round_against_plain_python(spark, seed):
+    """One round: wishes equal the plain ones; every mover wanted to, with the greatest gains, and sizes stay."""
+    draw = random.Random(seed)
+    groups = defaultdict(list)
+    shard = {node: draw.randrange(4) for node in range(120)}
+    for node in shard:
+        groups[draw.randrange(30) if node % 4 else 1000 + node].append(node)
+    members = spark.createDataFrame([(node, grp) for grp, of in groups.items() for node in of], "node long, grp long")
+    labels = spark.createDataFrame(list(shard.items()), "node long, shard int")
+    wishes = plain_wishes(groups, shard)
+    after = {r["node"]: r["shard"] for r in sharding.propagate(members, labels, 4, 1).collect()}
+    assert Counter(after.values()) == Counter(shard.values())
+    wanted = Counter((shard[node], wish[0]) for node, wish in wishes.items() if wish)
+    free = Counter(s for node, s in shard.items() if node not in wishes)
+    moves, fills = sharding.quotas(wanted, free, 4)
+    moved = defaultdict(list)
+    for node, s in after.items():
+        if s != shard[node]:
+            moved[shard[node], s, node in wishes].append(node)
+    assert {key[:2]: len(of) for key, of in moved.items() if key[2]} == moves
+    assert {key[:2]: len(of) for key, of in moved.items() if not key[2]} == fills
+    for (a, b, linked), of in moved.items():
+        if linked:
+            lane = {node: wish[1] for node, wish in wishes.items() if wish and (shard[node], wish[0]) == (a, b)}
+            assert set(of) <= set(lane)
+            assert sorted((lane[node] for node in of), reverse=True) == sorted(lane.values(), reverse=True)[: len(of)]
