@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricebasket import constants
-from pricebasket.operators import basket, consolidate, stores
+from pricebasket.operators import basket, consolidate, nearby, stores
 from pricebasket.session import stage, work_area
 from pricebasket.sources import catalog_store, files
 
@@ -110,7 +110,7 @@ class CartAnswers:
     @cached_property
     def best(self) -> DataFrame:
         users = self._messages.select("cart_id", "user_lat", "user_lon")
-        return basket.cheapest_near(basket.basket_cost(self._carts, self._prices, self._offer), users, self._shops)
+        return nearby.cheapest_covering(self._carts, users, self._shops, self._offer)
 
     @cached_property
     def summary(self) -> DataFrame:
