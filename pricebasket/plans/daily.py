@@ -81,7 +81,8 @@ def update_day(spark: SparkSession, inputs: DailyInputs, run_date: str, root: st
     """
     with work_area(spark):
         shops = stage(daily_stores(spark, inputs, run_date), "daily-stores")
-        return catalog_store.add_observations(spark, root, table, daily_observations(spark, inputs, run_date), shops)
+        obs = stage(daily_observations(spark, inputs, run_date), "daily-observations")
+        return catalog_store.add_observations(spark, root, table, obs, shops)
 
 
 class CartAnswers:

@@ -1,10 +1,10 @@
 """A catalogue that takes in days one by one and reads only what a day touches.
 
 What the catalogue needs of all raw rows is kept as partials that merge: per product, chain and store the
-last price with its ``seq`` and the first sighting. Tables lie in folders by a hash of their key:
+last price with its ``seq``, and per product the first sighting. Tables lie in folders by a hash of their key:
 
-* ``partials`` and ``products`` (a row per exact name) and ``multi`` (catalogue rows of products that
-  several chains price) by name;
+* ``partials``, ``products`` (a row per exact name, with its first sighting) and ``multi`` (catalogue rows of products
+  that several chains price) by name;
 * ``singles`` (prices of products that one chain has) and ``merged`` (their catalogue rows, merged by id) by id.
 
 A day's partials are merged into the folders of its names. Where a product of one chain came, changed or got
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricebasket.operators import consolidate
-from pricebasket.session import broadcast_if_small, stage
+from pricebasket.session import broadcast_if_small, is_small, stage
 from pricebasket.sources.files import publish_current
 
 LONG = ("id", "name", "chain", "store_id", "price", "chains_count", "stores_count")
@@ -75,14 +75,29 @@ def _numbers(rows: DataFrame) -> list[int]:
 
 
 def _partials(obs: DataFrame) -> DataFrame:
-    return obs.groupBy(F.col("item_name").alias("name"), "chain", "store_id").agg(
-        F.max_by("price", "seq").alias("price"), F.max("seq").alias("last_seq"),
-        F.min(F.struct("chain_rank", "seq", "item_code")).alias("first_seen"))
+    # The last price lies beside its seq, so that a row carries one of them.
+    return obs.groupBy(F.col("item_name").alias("name"), "chain", "store_id").agg(F.max(F.struct("seq", "price")).alias("last")).select(
+        "name", "chain", "store_id", "last.price", F.col("last.seq").alias("last_seq"))
 
 
 def _merged_partials(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("name", "chain", "store_id").agg(
-        F.max_by("price", "last_seq").alias("price"), F.max("last_seq").alias("last_seq"), F.min("first_seen").alias("first_seen"))
+    """Partials of one key as one; ``parts`` lie by bucket already, so they are merged where they are."""
+    return parts.groupBy("bucket", "name", "chain", "store_id").agg(F.max(F.struct("last_seq", "price")).alias("last")).select(
+        "name", "chain", "store_id", "last.price", "last.last_seq", "bucket")
+
+
+def _first_seen(obs: DataFrame) -> DataFrame:
+    """When each exact name was first seen, and with which code."""
+    return obs.groupBy(F.col("item_name").alias("name")).agg(F.min(F.struct("chain_rank", "seq", "item_code")).alias("first_seen"))
+
+
+def _products(partials: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The rows of ``consolidate.products_of``, from partials and the names' first sightings."""
+    counts = partials.groupBy("name", "chain").agg(F.count(F.lit(1)).alias("stores")).groupBy("name").agg(
+        F.count(F.lit(1)).cast("int").alias("chains_count"), F.sum("stores").cast("int").alias("stores_count"))
+    firsts = firsts.withColumnRenamed("name", "first_name")
+    return counts.join(firsts, F.col("name").eqNullSafe(F.col("first_name"))).select(
+        "name", "first_seen", "chains_count", "stores_count", F.col("first_seen.item_code").alias("id"))
 
 
 def _of_names(rows: DataFrame, names: DataFrame, how: str) -> DataFrame:
@@ -95,13 +110,13 @@ def _singles(partials: DataFrame, products: DataFrame) -> DataFrame:
     """Prices of the products that one chain has and that have an id."""
     single = products.filter((F.col("chains_count") == 1) & F.col("id").isNotNull()).select(
         F.col("name").alias("single_name"), "id", F.col("first_seen").alias("born"), "stores_count")
-    return partials.join(single, F.col("name").eqNullSafe(F.col("single_name"))).select(
+    return partials.join(broadcast_if_small(single), F.col("name").eqNullSafe(F.col("single_name"))).select(
         "id", "name", "chain", "store_id", "price", F.col("born").alias("first_seen"), "stores_count")
 
 
 def _multi(partials: DataFrame, products: DataFrame) -> DataFrame:
     several = products.filter("chains_count > 1").select(F.col("name").alias("several_name"), "id", "chains_count", "stores_count")
-    return partials.join(several, F.col("name").eqNullSafe(F.col("several_name"))).select(*LONG)
+    return partials.join(broadcast_if_small(several), F.col("name").eqNullSafe(F.col("several_name"))).select(*LONG)
 
 
 def _merged(singles: DataFrame) -> DataFrame:
@@ -123,11 +138,12 @@ class _Version:
         self.folders = dict(before.folders) if before else {}
         self.kinds = dict(before.kinds) if before else {}
 
-    def write(self, part: str, rows: DataFrame, touched: Sequence[int]) -> DataFrame:
-        """Replace the ``touched`` buckets of a table by ``rows``, which have a column ``bucket``."""
+    def write(self, part: str, rows: DataFrame, touched: Sequence[int], dealt: bool = False) -> DataFrame:
+        """Replace the ``touched`` buckets of a table by ``rows``, which have a column ``bucket`` and may be ``dealt`` by it already."""
         kind = T.StructType([field for field in rows.schema if field.name != "bucket"])
         path = f"{self.root}/{part}/{self.name}"
-        rows.repartition(max(1, len(touched)), "bucket").write.partitionBy("bucket").parquet(path)
+        by_bucket = rows if dealt else rows.repartition(max(1, len(touched)), "bucket")
+        by_bucket.write.partitionBy("bucket").parquet(path)
         written = self.spark.read.schema(T.StructType([*kind, T.StructField("bucket", T.IntegerType())])).parquet(path)
         held = set(_numbers(written))
         for bucket in touched:
@@ -149,7 +165,7 @@ def add_observations(spark: SparkSession, root: str, table: str, obs: DataFrame,
     """Take a day's (or any) observations into the catalogue that ``table`` names, and its ``stores`` if given.
 
     The result equals ``consolidate.catalog`` over all observations taken in so far, in whatever order they came;
-    observations taken in again change nothing. ``buckets`` is fixed by the first call. No observation
+    observations taken in again change nothing. ``obs`` is read twice: pass a stored table. ``buckets`` is fixed by the first call. No observation
     still gives a version, with new stores if there are any.
     """
     before = current(spark, table)
@@ -158,18 +174,24 @@ def add_observations(spark: SparkSession, root: str, table: str, obs: DataFrame,
         before = Snapshot(spark, {}, {})
     else:
         buckets = before.read("buckets").first()["buckets"]
-    delta = stage(_partials(obs).withColumn("bucket", _bucket("name", buckets)), "delta")
-    touched = _numbers(delta)
-    names = delta.select("name").distinct()
-    kept = before.read("partials", touched) if "partials" in before.kinds else None
-    fresh = delta.drop("bucket")
-    partials = made.write("partials", _merged_partials(fresh if kept is None else kept.unionByName(fresh)).withColumn(
-        "bucket", _bucket("name", buckets)), touched)
-    products = made.write("products", consolidate.products_of(partials).withColumn("bucket", _bucket("name", buckets)), touched)
-    made.write("multi", _multi(partials, products).withColumn("bucket", _bucket("name", buckets)), touched)
+    if "partials" in before.kinds:
+        delta = stage(_partials(obs).withColumn("bucket", _bucket("name", buckets)), "delta")
+        touched, names = _numbers(delta), stage(delta.select("name").distinct(), "names")
+        kept = before.read("partials", touched).withColumn("bucket", _bucket("name", buckets))
+        both = kept.unionByName(delta).repartition(max(1, len(touched)), "bucket")
+        partials = made.write("partials", _merged_partials(both), touched, dealt=True)
+        seen = before.read("products", touched).select("name", "first_seen").unionByName(_first_seen(obs))
+        firsts = seen.groupBy("name").agg(F.min("first_seen").alias("first_seen"))
+    else:
+        partials = made.write("partials", _partials(obs).withColumn("bucket", _bucket("name", buckets)), range(buckets))
+        touched, names = _numbers(partials), stage(partials.select("name").distinct(), "names")
+        firsts = _first_seen(obs)
+    products = made.write("products", _products(partials, firsts).withColumn("bucket", _bucket("name", buckets)), touched)
+    # With few products a broadcast leaves the partials' files as they lie, by bucket.
+    made.write("multi", _multi(partials, products).withColumn("bucket", _bucket("name", buckets)), touched, dealt=is_small(products))
 
     # Products of one chain: out of the folders of the ids that they had, into those of the ids that they have.
-    arrived = stage(_singles(_of_names(partials.drop("bucket"), names, "left_semi"), products).withColumn("bucket", _bucket("id", buckets)), "arrived")
+    arrived = stage(_of_names(_singles(partials.drop("bucket"), products), names, "left_semi").withColumn("bucket", _bucket("id", buckets)), "arrived")
     left = None
     if "products" in before.kinds:
         old = _of_names(before.read("products", touched), names, "left_semi")
