@@ -26,9 +26,10 @@ def last_prices(obs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The last price seen per product, chain and store, and when the triple was first seen."""
     keys = [*by, F.col("item_name").alias("name"), "chain", "store_id"]
     # These aggregates sort. Led by a hash, rows compare by one number; names and dates alone
-    # share long prefixes and would be compared whole.
-    lead = F.xxhash64(*by, "item_name", "chain", "store_id").alias("lead")
-    return obs.groupBy(lead, *keys).agg(
+    # share long prefixes and would be compared whole. Numbered names need no such column.
+    texts = obs.schema["item_name"].dataType.simpleString() == "string"
+    lead = [F.xxhash64(*by, "item_name", "chain", "store_id").alias("lead")] if texts else []
+    return obs.groupBy(*lead, *keys).agg(
         F.max_by("price", "seq").alias("price"),
         F.min(F.struct("chain_rank", "seq", "item_code")).alias("first_seen"),
     ).drop("lead")

@@ -93,8 +93,12 @@ def extend_intervals(intervals: DataFrame, daily: DataFrame, stale_after: int |
     Only each line's last interval can change; closed ones are passed through. A day at or before the
     last one stored for its product and store ends the job.
     """
-    last = F.max("valid_from").over(Window.partitionBy(*KEYS))
-    marked = intervals.withColumn("is_last", F.col("valid_from") == last)
+    if stale_after is None:
+        # Each interval but a line's last one ends where the next begins.
+        marked = intervals.withColumn("is_last", F.col("valid_to").isNull())
+    else:
+        last = F.max("valid_from").over(Window.partitionBy(*KEYS))
+        marked = intervals.withColumn("is_last", F.col("valid_from") == last)
     closed = marked.filter(~F.col("is_last")).drop("is_last")
     ends = marked.filter("is_last").select(*KEYS, "price", "valid_from", "last_seen", "days")
     return closed.select(*KEYS, "price", "valid_from", "last_seen", "valid_to", "days").unionByName(
@@ -110,7 +114,9 @@ def price_as_of(requests: DataFrame, intervals: DataFrame, day: str = "day") ->
     AQE splits where one of them is hot. Before the first price, after ``valid_to``, on a blank price and
     without a day the price is null.
     """
-    asked = requests.filter(F.col(day).isNotNull()).select(*KEYS, F.col(day).alias("at")).distinct()
+    # One shuffle by line, after which the starts, which lie by line too, meet the days without another.
+    asked = requests.filter(F.col(day).isNotNull()).groupBy(*KEYS).agg(F.collect_set(day).alias("days")).select(
+        *KEYS, F.explode("days").alias("at"))
     held = F.struct("price", "valid_from", "valid_to")
     starts = intervals.select(*KEYS, F.col("valid_from").alias("at"), F.lit(0).alias("kind"), held.alias("held"))
     none = F.lit(None).cast(starts.schema["held"].dataType)

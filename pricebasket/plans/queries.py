@@ -491,12 +491,13 @@ def price_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def price_intervals_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervals of the years before 1999, then of 1999, then of the rest, each step on what the one before stored."""
-    daily = stage(_daily(spark, sf_dir), "daily")
+    numbers = tables.numbers(spark, sf_dir)
+    daily = stage(history.daily_prices(tables.numbered_obs(spark, sf_dir, numbers)), "daily")
     year = F.year("pulling_date")
     found = stage(history.price_intervals(daily.filter(year < 1999)), "intervals")
     for part in (daily.filter(year == 1999), daily.filter(year > 1999)):
         found = stage(history.extend_intervals(found, part), "intervals")
-    return found
+    return numbers.named(found)
 
 
 @query
@@ -512,8 +513,10 @@ def chain_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def price_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The price of every order line's product and store on the order's day; prices not seen for a year are unknown."""
-    intervals = history.price_intervals(_daily(spark, sf_dir), stale_after=365)
-    return history.price_as_of(tables.price_requests(spark, sf_dir), intervals)
+    numbers = tables.numbers(spark, sf_dir)
+    daily = history.daily_prices(tables.numbered_obs(spark, sf_dir, numbers))
+    intervals = history.price_intervals(daily, stale_after=365)
+    return numbers.named(history.price_as_of(tables.price_requests(spark, sf_dir, numbers), intervals))
 
 
 # ---- streams ------------------------------------------------------------------------------

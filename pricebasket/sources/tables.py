@@ -6,11 +6,14 @@ chain, a part the product. Every row of every table takes part.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricebasket import constants, schemas
 from pricebasket.functions import text
+from pricebasket.session import broadcast_if_small, stage
 
 # What a long shopping list asks for besides its own part, each of the part's brand.
 LONG_LIST = ("small ring", "red widget", "blue bolt", "old gear", "new plate")
@@ -78,6 +81,56 @@ def price_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Numbers:
+    """Names and stores by number, so that long shuffles carry two numbers and not three texts."""
+
+    names: DataFrame
+    stores: DataFrame
+
+    def named(self, rows: DataFrame) -> DataFrame:
+        """``rows`` of numbered keys with the texts in their place."""
+        keys = {"name": "name_no", "store_id": "store_no"}
+        return (
+            rows.drop("chain").withColumnsRenamed(keys)
+            .join(broadcast_if_small(self.names), "name_no")
+            .join(broadcast_if_small(self.stores), "store_no")
+            .withColumnRenamed("item_name", "name")
+            .select(*rows.columns)
+        )
+
+
+def numbers(spark: SparkSession, sf_dir: str) -> Numbers:
+    """Every name of a part and every (chain, store_id), numbered once and stored."""
+    number = F.monotonically_increasing_id()
+    names = table(spark, sf_dir, "part").select(item_name().alias("item_name")).distinct()
+    stores = store_dim(spark, sf_dir).select("chain", "store_id").distinct()
+    return Numbers(
+        stage(names.withColumn("name_no", number), "numbered-names"), stage(stores.withColumn("store_no", number), "numbered-stores"))
+
+
+def _numbered_lines(lineitem: DataFrame, spark: SparkSession, sf_dir: str, by: Numbers) -> DataFrame:
+    """Order lines with item_name, chain and store_id as numbers; the chain is part of the store's."""
+    part = table(spark, sf_dir, "part").select("p_partkey", item_name().alias("item_name")).join(broadcast_if_small(by.names), "item_name")
+    shops, known = store_dim(spark, sf_dir), by.stores.withColumnsRenamed({"chain": "known_chain", "store_id": "known_id"})
+    same = F.col("chain").eqNullSafe(F.col("known_chain")) & F.col("store_id").eqNullSafe(F.col("known_id"))
+    shops = shops.join(broadcast_if_small(known), same).select("s_suppkey", "store_no")
+    # Parts are joined before the stores are known, and stores by broadcast where they are few.
+    return (
+        lineitem.join(part.select("p_partkey", F.col("name_no").alias("item_name")), F.col("l_partkey") == F.col("p_partkey"))
+        .join(shops, F.col("l_suppkey") == F.col("s_suppkey"))
+        .withColumns({"chain": F.lit(0), "store_id": F.col("store_no")})
+    )
+
+
+def numbered_obs(spark: SparkSession, sf_dir: str, by: Numbers) -> DataFrame:
+    """``price_obs`` with numbers for item_name, chain and store_id. A store is one supplier, whose key then orders nothing in ``seq``."""
+    return _numbered_lines(table(spark, sf_dir, "lineitem"), spark, sf_dir, by).select(
+        "chain", F.lit(0).alias("chain_rank"), "store_id", (F.col("p_partkey") % 97).cast("string").alias("item_code"), "item_name",
+        F.col("l_extendedprice").cast(schemas.PRICE).alias("price"), F.to_date("l_shipdate").alias("pulling_date"),
+        F.struct(*(column for column in SEQ if column != "l_suppkey")).alias("seq"))
+
+
 def chain_stores(spark: SparkSession, sf_dir: str, chain: str) -> DataFrame:
     """One chain's stores as its own file would list them."""
     return (
@@ -173,10 +226,11 @@ def order_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def price_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each order line's product cost in its store on the day of the order, as a question."""
+def price_requests(spark: SparkSession, sf_dir: str, by: Numbers) -> DataFrame:
+    """What each order line's product cost in its store on the day of the order, as a question in numbered keys."""
     ordered = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("day"))
-    return raw_observations(spark, sf_dir).join(ordered, "l_orderkey").select(
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(ordered, "l_orderkey")
+    return _numbered_lines(lines, spark, sf_dir, by).select(
         "l_orderkey", "l_linenumber", F.col("item_name").alias("name"), "chain", "store_id", "day")
 
 
