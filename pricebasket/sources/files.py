@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pricebasket import constants, schemas
 from pricebasket.functions import text
 from pricebasket.operators.stores import parse_file_name
+from pricebasket.session import few_listing_tasks
 
 # Root and repeated element of each chain's price file.
 PRICE_TAGS = {
@@ -28,6 +29,9 @@ STORE_FIELDS = {
 }
 ITEM_FIELDS = "ItemCode STRING, ItemName STRING, ItemPrice STRING, PriceUpdateDate STRING"
 
+# Hadoop's settings for a writer of very many small files; they mean nothing to other stores than a local disk.
+PLAIN_LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 
 def price_file_paths(spark: SparkSession, folder: str, allowed: list[str] | None = None) -> list[str]:
     """Paths to read for a day: the newest full price file of each store, of allowed stores if given.
@@ -57,14 +61,9 @@ def read_price_files(spark: SparkSession, path: str | list[str], chain: str, pul
     the job, as its rows would belong to no store. ``seq`` is the place of the item: file, then
     order within it.
     """
-    items = (
-        spark.read.format("xml")
-        .schema(ITEM_FIELDS)
-        .option("rowTag", PRICE_TAGS[chain][1])
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("*", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("place"))
-    )
+    with few_listing_tasks(spark):
+        found = spark.read.format("xml").schema(ITEM_FIELDS).option("rowTag", PRICE_TAGS[chain][1]).option("recursiveFileLookup", "true").load(path)
+    items = found.select("*", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("place"))
     name = parse_file_name(F.regexp_extract("file_path", r"PriceFull\d+-\d+-\d+", 0))
     unknown = F.raise_error(F.concat(F.lit("no price file's name: "), F.col("file_path")))
     return items.withColumn("file", name).withColumn(
@@ -118,7 +117,8 @@ def write_xml(rows: DataFrame, path: str, root_tag: str, row_tag: str, encoding:
     """Write rows as XML elements; with ``partition``, one folder per value of that column.
 
     Rows of one folder are brought together first so that few files result; the rebalance
-    splits a folder that holds very many rows.
+    splits a folder that holds very many rows. On a local disk files are written without side
+    files of checksums (gzip holds one of its own): with them Hadoop starts four processes for each file.
     """
     if partition:
         rows = rows.hint("rebalance", partition)
@@ -127,7 +127,7 @@ def write_xml(rows: DataFrame, path: str, root_tag: str, row_tag: str, encoding:
         .option("declaration", f"version='1.0' encoding='{encoding}'")
     )
     if partition:
-        writer = writer.option("compression", "gzip").partitionBy(partition)
+        writer = writer.options(**PLAIN_LOCAL_FILES).option("compression", "gzip").partitionBy(partition)
     writer.save(path)
 
 

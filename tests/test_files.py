@@ -208,3 +208,25 @@ def test_typed_table_is_created_once(spark):
     types = {f.name: f.dataType.simpleString() for f in spark.table("posts_table").schema}
     assert types["url"] == "string" and types["followers_count"] == "int" and types["current_ts"] == "timestamp"
     spark.sql("DROP TABLE posts_table")
+
+
+def test_many_stores_are_listed_by_few_tasks_and_written_without_side_files(spark, tmp_path):
+    """A file per store: neither a listing task each, nor a second file of checksums each."""
+    path = str(tmp_path / "prices")
+    rows = spark.range(60).select(
+        F.concat(F.lit("PriceFull7290696200003-"), F.lpad(F.col("id").cast("string"), 3, "0"), F.lit("-202301010300")).alias("file"),
+        F.lit("2023-01-01 03:00").alias("PriceUpdateDate"), F.col("id").cast("string").alias("ItemCode"), F.lit("milk").alias("ItemName"),
+        F.lit("5.90").alias("ItemPrice"))
+    files.write_xml(rows, path, *files.PRICE_TAGS["victory"], partition="file")
+    assert not list((tmp_path / "prices").glob("*/.*.crc"))
+    context, before = spark.sparkContext, spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    context.setJobGroup("listing of stores", "")
+    try:
+        read = files.read_price_files(spark, path, "victory", "2023-01-01")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [stage for job in tracker.getJobIdsForGroup("listing of stores") for stage in tracker.getJobInfo(job).stageIds]
+    assert stages and max(tracker.getStageInfo(stage).numTasks for stage in stages) <= 4
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+    assert sorted(row["item_code"] for row in read.collect()) == sorted(str(n) for n in range(60))
