@@ -514,7 +514,9 @@ def price_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = tables.numbers(spark, sf_dir)
     daily = history.daily_prices(tables.numbered_obs(spark, sf_dir, numbers))
     intervals = history.price_intervals(daily, stale_after=365)
-    return numbers.named(history.price_as_of(tables.price_requests(spark, sf_dir, numbers), intervals))
+    # Read for their days and again for their answers, of which the plan would join twice.
+    requests = stage(tables.price_requests(spark, sf_dir, numbers), "price-requests")
+    return numbers.named(history.price_as_of(requests, intervals))
 
 
 # ---- streams ------------------------------------------------------------------------------

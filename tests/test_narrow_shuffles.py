@@ -31,6 +31,22 @@ def test_days_asked_for_are_dealt_by_line_once(spark):
     assert [tuple(r)[4] for r in answers.collect()] == [3]
 
 
+def test_price_as_of_deals_lines_once_and_joins_requests_once(spark, sf_dir):
+    """Numbered lines keep their place from the folded days to the answers; the plan reads stored requests, not order lines twice."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbers = tables.numbers(spark, sf_dir)
+        daily = history.daily_prices(tables.numbered_obs(spark, sf_dir, numbers))
+        asked = stage(tables.price_requests(spark, sf_dir, numbers), "asked")
+        answers = history.price_as_of(asked, history.price_intervals(daily, stale_after=365))
+        # The days with prices, and the days asked for; none of them again once they lie together.
+        assert len([line for line in exchanges(answers) if "hashpartitioning(name#" in line]) == 2
+        text = plan(QUERIES["price_as_of"](spark, sf_dir))
+        assert "l_partkey" in text and "o_orderkey" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_history_shuffles_numbers_not_names(spark, sf_dir):
     numbers = tables.numbers(spark, sf_dir)
     obs = tables.numbered_obs(spark, sf_dir, numbers)
