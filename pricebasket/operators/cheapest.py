@@ -51,9 +51,12 @@ def _write_shard(uri: str, name_no: np.ndarray, slot: np.ndarray, price: np.ndar
         flags = np.zeros((bits.shape[1], width), bool)
         flags[place[index[held]], slot[held]] = True
         bits[level] = np.packbits(flags, axis=1, bitorder="little").view("<i8")
+    # How many offers of the name lie in words before each: an offer's place is that and its bit's rank.
+    ones = np.bitwise_count(bits[0].view(np.uint64)).astype(np.int32)
+    before = np.cumsum(ones, axis=1, dtype=np.int32) - ones
     array_files.write_arrays(uri, {
         "names": names, "starts": starts.astype(np.int64), "counts": counts.astype(np.int64), "place": place.astype(np.int64), "cuts": cuts.ravel(),
-        "low": price[by_price[starts]], "high": price[by_price[starts + counts - 1]], "keys": index * width + slot, "price": price, "bits": bits.ravel()})
+        "low": price[by_price[starts]], "high": price[by_price[starts + counts - 1]], "keys": index * width + slot, "price": price, "bits": bits.ravel(), "before": before.ravel()})
 
 
 def write_offers(words: DataFrame, names: DataFrame) -> tuple[str, int, list[int], int]:
@@ -102,7 +105,8 @@ class _Offers:
         for column in ("starts", "counts", "place", "low", "high"):
             setattr(self, column, np.concatenate([shard[column] for shard in self.shards]))
         self.cuts = np.concatenate([shard["cuts"].reshape(LEVELS, -1) for shard in self.shards], axis=1)
-        self.bits = [shard["bits"].reshape(LEVELS, -1, words) for shard in self.shards]
+        self.bits = [np.asarray(shard["bits"]).reshape(LEVELS, -1, words) for shard in self.shards]
+        self.before = [np.asarray(shard["before"]).reshape(-1, words) for shard in self.shards]
         names = np.concatenate([shard["names"] for shard in self.shards])
         self._order = np.argsort(names)
         self._sorted = names[self._order]
@@ -122,9 +126,19 @@ class _Offers:
         """Prices of names in stores, and whether they are on sale there."""
         price, there = np.zeros(names.size, np.int64), np.zeros(names.size, bool)
         for shard, rows in self.by_shard(names):
-            keys, wanted = self.shards[shard]["keys"], (names[rows] - self.base[shard]) * self.width + slots[rows]
-            at = np.minimum(np.searchsorted(keys, wanted), keys.size - 1)
-            there[rows], price[rows] = keys[at] == wanted, self.shards[shard]["price"][at]
+            dense = self.place[names[rows]] >= 0
+            mine, slot = names[rows[dense]], slots[rows[dense]]
+            place, word, bit = self.place[mine], slot // basket.WORD_BITS, (slot % basket.WORD_BITS).astype(np.uint64)
+            bits, one = self.bits[shard][0][place, word].view(np.uint64), np.uint64(1)
+            there[rows[dense]] = (bits >> bit) & one == one
+            at = self.starts[mine] + self.before[shard][place, word] + np.bitwise_count(bits & ((one << bit) - one))
+            values = self.shards[shard]["price"]
+            price[rows[dense]] = values[np.minimum(at, values.size - 1)]
+            few = rows[~dense]
+            if few.size:
+                keys, wanted = self.shards[shard]["keys"], (names[few] - self.base[shard]) * self.width + slots[few]
+                at = np.minimum(np.searchsorted(keys, wanted), keys.size - 1)
+                there[few], price[few] = keys[at] == wanted, values[at]
         return price, there
 
     def slots(self, name: int) -> np.ndarray:
